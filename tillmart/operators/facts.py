@@ -62,7 +62,8 @@ def replace_by_date(existing: DataFrame, incoming: DataFrame, column: str = "sal
     effect from a dynamic partition overwrite, without this join.
     """
     dates = incoming.select(column).distinct()
-    return existing.join(dates, column, "left_anti").unionByName(incoming)
+    kept = existing.join(dates, column, "left_anti").select(*existing.columns)
+    return kept.unionByName(incoming)
 
 
 def with_fact_columns(facts: DataFrame, as_of: datetime | str) -> DataFrame:

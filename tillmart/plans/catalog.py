@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.functions.timefmt import as_date, plus_seconds
+from tillmart.functions.timefmt import as_date, as_timestamp, plus_seconds
 from tillmart.operators import dims, facts, joblog, lookups, quality, runlog, staging, summary, views
+from tillmart.session import scratch_dir
 from tillmart.sources import adapters, extracts
 from tillmart.sources.adapters import table
+from tillmart.streaming import run_status
 
 DAY = "1997-06-15"
 RANGE_START, RANGE_END = "1997-06-01", "1997-06-30"
@@ -501,3 +503,30 @@ def run_status_batch(spark: SparkSession, folder: str) -> DataFrame:
     return joblog.latest_status(
         table(spark, folder, "events"), "user_id", "event_id", "event_type"
     )
+
+
+def _run_events(events: DataFrame) -> DataFrame:
+    return events.select(
+        F.col("user_id").alias("run_id"),
+        F.col("event_id").alias("instance_id"),
+        adapters.run_status_code().alias("status"),
+        F.col("ts").alias("event_time"),
+    )
+
+
+@query
+def run_timeouts(spark: SparkSession, folder: str) -> DataFrame:
+    events = _run_events(table(spark, folder, "events"))
+    return run_status.run_timeouts(events, as_timestamp(LOG_AS_OF))
+
+
+@query
+def run_status_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """All events as a stream, run to its end; the result is read from the change log."""
+    changes = run_status.track_runs(_run_events(run_status.event_stream(spark, folder, "events")))
+    target = scratch_dir(spark, "run-changes")
+    stream = run_status.write_changes(
+        changes, f"{target}/changes", f"{target}/checkpoint", once=True
+    )
+    stream.awaitTermination()
+    return run_status.current_status(spark.read.parquet(f"{target}/changes"))

@@ -529,4 +529,22 @@ ORACLE: dict[str, str] = {
             (select r_regionkey from region where r_name = 'EUROPE'))""",
     "run_status_batch": """select user_id, arg_max(event_type, event_id) last_event_type,
         max(event_id) last_event_id from events group by user_id""",
+    "run_timeouts": _sql(
+        "job_history",
+        """select run_id, started, started + to_seconds(3600) deadline
+           from (select e.user_id run_id, min(ts) started,
+                        min(ts) filter (where run_status in (0, 1, 3)) ended
+                 from job_history h join events e on h.instance_id = e.event_id
+                 where run_status is not null group by e.user_id)
+           where started + to_seconds(3600) <= timestamp '2024-02-15 00:00:00'
+             and (ended is null or ended > started + to_seconds(3600))""",
+    ),
+    "run_status_stream": _sql(
+        "job_history",
+        f"""select run_id, instance_id, run_status status, {_RUN_STATUS} status_text
+            from (select e.user_id run_id, h.instance_id, h.run_status,
+                         row_number() over (partition by e.user_id order by e.event_id desc) rn
+                  from job_history h join events e on h.instance_id = e.event_id)
+            where rn = 1""",
+    ),
 }

@@ -85,13 +85,17 @@ def _named(prefix: str, value: Column) -> Column:
 RUN_STATUS_OF_EVENT = {"error": 0, "purchase": 1, "signup": 2, "view": 3, "click": 4}
 
 
+def run_status_code() -> Column:
+    return _event_code(RUN_STATUS_OF_EVENT)
+
+
 def job_history(spark: SparkSession, folder: str) -> DataFrame:
     ts, length = F.col("ts"), F.floor(F.col("value") * 37).cast("int")
     return table(spark, folder, "events").select(
         F.col("event_id").alias("instance_id"),
         _named("job_", F.col("user_id")).alias("job_name"),
         (F.col("event_id") % 2).cast("int").alias("step_id"),
-        _event_code(RUN_STATUS_OF_EVENT).alias("run_status"),
+        run_status_code().alias("run_status"),
         (F.year(ts) * 10000 + F.month(ts) * 100 + F.day(ts)).cast("int").alias("run_date"),
         (F.hour(ts) * 10000 + F.minute(ts) * 100 + F.second(ts)).cast("int").alias("run_time"),
         (
