@@ -21,16 +21,15 @@ def dense_index(ids: DataFrame, column: str, name: str, start: int = 0) -> DataF
     data, and both have that fixed bound. The cuts enter the plan as literals, so
     a recomputed task puts every id into the same bin.
     """
-    total, cuts = ids.agg(
-        F.count(column), F.percentile_approx(column, [i / BINS for i in range(1, BINS)], 10_000)
-    ).first()
-    bins = min(BINS, total // ROWS_PER_BIN + 1)
     in_order = Window.orderBy(column)
-    if bins == 1:
-        # No more than ROWS_PER_BIN ids: one task is enough.
+    total = ids.select(column).count()
+    if total <= ROWS_PER_BIN:
+        # So few ids that one task is enough.
         return ids.withColumn(name, (F.row_number().over(in_order) + start).cast("bigint"))
-    chosen = sorted({cuts[i * BINS // bins - 1] for i in range(1, bins)})
-    edges = F.array(*[F.lit(cut).cast("bigint") for cut in chosen])
+    bins = min(BINS, total // ROWS_PER_BIN + 1)
+    shares = ", ".join(str(i / bins) for i in range(1, bins))
+    cuts = ids.selectExpr(f"percentile_approx({column}, array({shares}), 10000)").first()[0]
+    edges = F.expr("array(" + ", ".join(f"{cut}L" for cut in sorted(set(cuts))) + ")")
     binned = ids.withColumn("_bin", F.size(F.filter(edges, lambda edge: edge < F.col(column))))
     # At most BINS rows from here on, so one task and a broadcast are safe.
     before = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)

@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.functions.money import money_avg, money_sum, row_count, whole_sum
+from tillmart.functions.money import (
+    average_cents,
+    cents_sum,
+    from_cents,
+    row_count,
+    whole_sum,
+)
 from tillmart.functions.timefmt import as_date
 
 DAILY_MEASURES = [
@@ -35,14 +41,14 @@ def daily_sales(sales: DataFrame, customer: str = "customer_id") -> DataFrame:
             F.countDistinct(customer).alias("unique_customers"),
             row_count().alias("total_orders"),
             whole_sum("quantity").alias("total_items_sold"),
-            F.sum("total_amount").alias("_total"),
+            cents_sum("total_amount").alias("_cents"),
             F.min("total_amount").alias("min_order_value"),
             F.max("total_amount").alias("max_order_value"),
         )
         .withColumns(
             {
-                "total_revenue": F.col("_total").cast("decimal(38,2)"),
-                "avg_order_value": money_avg(F.col("_total"), F.col("total_orders")),
+                "total_revenue": from_cents("_cents"),
+                "avg_order_value": average_cents(F.col("_cents"), F.col("total_orders")),
             }
         )
         .select("sale_date", *DAILY_MEASURES)
@@ -54,10 +60,10 @@ def product_revenue(fact: DataFrame, dim_products: DataFrame, day: date | str) -
     return (
         fact.where(F.col("sale_date") == as_date(day))
         .groupBy("product_key")
-        .agg(money_sum("total_amount").alias("_revenue"))
+        .agg(cents_sum("total_amount").alias("_cents"))
         .join(dim_products.select("product_key", "product_id", "product_name"), "product_key")
         .groupBy("product_id", "product_name")
-        .agg(money_sum("_revenue").alias("revenue"))
+        .agg(from_cents(F.sum("_cents")).alias("revenue"))
     )
 
 
@@ -66,48 +72,50 @@ def top_product(revenue: DataFrame) -> DataFrame:
     return revenue.orderBy(F.desc("revenue"), "product_id").limit(1)
 
 
-def _by_day_and_product(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("sale_date", "product_key").agg(
-        row_count().alias("_orders"),
-        F.sum("quantity").alias("_items"),
-        F.sum("total_amount").alias("_revenue"),
-        F.min("total_amount").alias("_min"),
-        F.max("total_amount").alias("_max"),
-    )
+# Ids stay below this number: see _winner.
+ID_LIMIT = 10**16
 
 
-def _winner():
-    """Aggregate over one date's products: highest revenue, then lowest id."""
-    return F.max(
-        F.when(
-            F.col("product_id").isNotNull(),
-            F.struct(
-                F.col("_revenue").cast("decimal(38,2)").alias("revenue"),
-                (-F.col("product_id")).alias("rank"),
-                F.col("product_name").alias("name"),
-            ),
-        )
+def _winner() -> Column:
+    """Aggregate over one date's products: most revenue, then lowest id.
+
+    Revenue in cents and id are packed into one number, which a hash aggregate
+    can keep in its buffer; the maximum of a struct would sort all rows.
+    """
+    packed = F.col("_cents").cast("decimal(21,0)") * F.lit(ID_LIMIT).cast("decimal(17,0)") + (
+        F.lit(ID_LIMIT - 1) - F.col("product_id")
+    ).cast("decimal(17,0)")
+    return F.max(F.when(F.col("product_id").isNotNull(), packed.cast("decimal(38,0)")))
+
+
+def _with_top_product(days: DataFrame, dim_products: DataFrame) -> DataFrame:
+    """Unpack the winner and add its name; a day without a winner drops out."""
+    names = dim_products.select(
+        F.col("product_id").alias("top_product_id"),
+        F.col("product_name").alias("top_product_name"),
+    )
+    limit = F.lit(ID_LIMIT).cast("decimal(17,0)")
+    rest = F.pmod(F.col("_top"), limit)
+    return (
+        days.withColumn("top_product_id", (F.lit(ID_LIMIT - 1) - rest).cast("bigint"))
+        .withColumn("_top_cents", ((F.col("_top") - rest) / limit).cast("bigint"))
+        .join(names, "top_product_id")
+        .withColumn("top_product_revenue", from_cents("_top_cents"))
     )
 
 
 def top_product_per_day(fact: DataFrame, dim_products: DataFrame) -> DataFrame:
     """Top product of every day in one pass."""
-    return (
+    days = (
         fact.groupBy("sale_date", "product_key")
-        .agg(F.sum("total_amount").alias("_revenue"))
-        .join(dim_products.select("product_key", "product_id", "product_name"), "product_key")
+        .agg(cents_sum("total_amount").alias("_cents"))
+        .join(dim_products.select("product_key", "product_id"), "product_key")
         .groupBy(F.col("sale_date").alias("summary_date"))
         .agg(_winner().alias("_top"))
-        .select("summary_date", *_top_columns())
     )
-
-
-def _top_columns() -> list:
-    return [
-        (-F.col("_top.rank")).alias("top_product_id"),
-        F.col("_top.name").alias("top_product_name"),
-        F.col("_top.revenue").alias("top_product_revenue"),
-    ]
+    return _with_top_product(days, dim_products).select(
+        "summary_date", "top_product_id", "top_product_name", "top_product_revenue"
+    )
 
 
 def daily_summary(
@@ -115,41 +123,57 @@ def daily_summary(
 ) -> DataFrame:
     """Seven measures and the top product of one day, or of all days.
 
-    Facts are summed by (date, product) once; both the totals and the top product
-    come from those sums. The distinct customers take a second, two-column pass.
-    Neither shuffle is keyed by the date alone, so a hot date is spread. A day on
-    which no fact has a product row gets no summary. ``dim_products`` holds one
-    row per product, as the load writes it.
+    The facts are read once: grouping sets sum them by (date, product), which
+    gives the totals and the top product, and by (date, customer), which gives
+    the distinct customers. No shuffle of the facts is keyed by the date alone,
+    so a hot date is spread. A day on which no fact has a product row gets no
+    summary. ``dim_products`` holds one row per product, as the load writes it.
     """
     facts = fact if day is None else fact.where(F.col("sale_date") == as_date(day))
-    products = dim_products.select("product_key", "product_id", "product_name")
-    totals = (
-        _by_day_and_product(facts)
-        .join(products, "product_key", "left")
+    grouped = facts.groupingSets(
+        [["sale_date", "product_key"], ["sale_date", "customer_key"]],
+        "sale_date",
+        "product_key",
+        "customer_key",
+    ).agg(
+        (F.grouping("product_key") == 1).alias("_by_customer"),
+        row_count().alias("_orders"),
+        F.sum("quantity").alias("_items"),
+        cents_sum("total_amount").alias("_cents"),
+        F.min("total_amount").alias("_min"),
+        F.max("total_amount").alias("_max"),
+    )
+    by_customer = F.col("_by_customer")
+    # Rows by customer have no product; each gets a negative number, which no key
+    # equals, so that a shuffled join does not send all of them to one task.
+    no_key = -1 - F.pmod(F.xxhash64("sale_date", "customer_key"), F.lit(1 << 40))
+    products = dim_products.select(F.col("product_key").alias("_key"), "product_id")
+    days = (
+        grouped.withColumn("_lookup", F.when(by_customer, no_key).otherwise(F.col("product_key")))
+        .join(products, F.col("_lookup") == F.col("_key"), "left")
         .groupBy("sale_date")
         .agg(
-            whole_sum("_orders").alias("total_orders"),
-            whole_sum("_items").alias("total_items_sold"),
-            F.sum("_revenue").alias("_total"),
+            F.count_if(by_customer & F.col("customer_key").isNotNull()).alias("unique_customers"),
+            whole_sum(F.when(~by_customer, F.col("_orders"))).alias("total_orders"),
+            whole_sum(F.when(~by_customer, F.col("_items"))).alias("total_items_sold"),
+            F.sum(F.when(~by_customer, F.col("_cents"))).alias("_total"),
             F.min("_min").alias("min_order_value"),
             F.max("_max").alias("max_order_value"),
             _winner().alias("_top"),
         )
-        .where(F.col("_top").isNotNull())
-    )
-    buyers = facts.groupBy("sale_date").agg(
-        F.countDistinct("customer_key").alias("unique_customers")
     )
-    return totals.join(buyers, "sale_date").select(
+    return _with_top_product(days, dim_products).select(
         F.col("sale_date").alias("summary_date"),
         "unique_customers",
         "total_orders",
         "total_items_sold",
-        F.col("_total").cast("decimal(38,2)").alias("total_revenue"),
-        money_avg(F.col("_total"), F.col("total_orders")).alias("avg_order_value"),
+        from_cents("_total").alias("total_revenue"),
+        average_cents(F.col("_total"), F.col("total_orders")).alias("avg_order_value"),
         "min_order_value",
         "max_order_value",
-        *_top_columns(),
+        "top_product_id",
+        "top_product_name",
+        "top_product_revenue",
     )
 
 

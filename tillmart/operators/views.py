@@ -7,7 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.functions.money import money_avg, money_sum, row_count, whole_sum
+from tillmart.functions.money import (
+    average_cents,
+    cents_sum,
+    from_cents,
+    row_count,
+    whole_sum,
+)
 
 
 def sales_analysis(fact: DataFrame, dim_customers: DataFrame, dim_products: DataFrame) -> DataFrame:
@@ -50,16 +56,22 @@ def top_products(
         .agg(
             row_count().alias("_orders"),
             F.sum("quantity").alias("_items"),
-            F.sum("total_amount").alias("_revenue"),
+            cents_sum("total_amount").alias("_cents"),
         )
         .join(dim_products.select("product_key", *by), "product_key")
         .groupBy(*by)
         .agg(
             whole_sum("_orders").alias("total_orders"),
             whole_sum("_items").alias("total_quantity_sold"),
-            money_sum("_revenue").alias("total_revenue"),
+            F.sum("_cents").alias("_cents"),
+        )
+        .select(
+            *by,
+            "total_orders",
+            "total_quantity_sold",
+            from_cents("_cents").alias("total_revenue"),
+            average_cents(F.col("_cents"), F.col("total_orders")).alias("avg_order_value"),
         )
-        .withColumn("avg_order_value", money_avg(F.col("total_revenue"), F.col("total_orders")))
     )
 
 
@@ -87,7 +99,7 @@ def customer_value(
             F.countDistinct("sale_date").alias("purchase_days"),
             row_count().alias("total_orders"),
             whole_sum("quantity").alias("total_items_purchased"),
-            money_sum("total_amount").alias("lifetime_value"),
+            cents_sum("total_amount").alias("_cents"),
             F.max("sale_date").alias("last_purchase_date"),
         )
     )
@@ -96,8 +108,8 @@ def customer_value(
         "purchase_days",
         "total_orders",
         "total_items_purchased",
-        "lifetime_value",
-        money_avg(F.col("lifetime_value"), F.col("total_orders")).alias("avg_order_value"),
+        from_cents("_cents").alias("lifetime_value"),
+        average_cents(F.col("_cents"), F.col("total_orders")).alias("avg_order_value"),
         "last_purchase_date",
     )
 

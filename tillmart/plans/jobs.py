@@ -59,6 +59,11 @@ class Mart:
     def fact_sales(self) -> DataFrame:
         return tables.read_facts(self.spark, self.path("fact_sales"))
 
+    def facts_between(self, start: date | str, end: date | str) -> DataFrame:
+        if str(start) == str(end):
+            return tables.read_facts(self.spark, self.path("fact_sales"), start)
+        return extracts.sales_between(self.fact_sales, start, end)
+
     @property
     def sales_summary_daily(self) -> DataFrame:
         return self._small("sales_summary_daily", schemas.SALES_SUMMARY_DAILY)
@@ -140,9 +145,8 @@ def load_facts(
     return {"extracted": counts["extracted"], "accepted": counts["accepted"]}
 
 
-def load_summary(mart: Mart, start: date | str, end: date | str, as_of: datetime) -> None:
-    """Recompute and upsert the summaries of the range."""
-    loaded = extracts.sales_between(mart.fact_sales, start, end)
+def load_summary(mart: Mart, loaded: DataFrame, as_of: datetime) -> None:
+    """Recompute and upsert the summaries of the dates of the given facts."""
     stamp = F.lit(str(as_of)).cast("timestamp")
     incoming = summary.daily_summary(loaded, mart.dim_products).withColumns(
         {"loaded_at": stamp, "updated_at": stamp}
@@ -154,18 +158,17 @@ def load_summary(mart: Mart, start: date | str, end: date | str, as_of: datetime
 
 
 def load_checks(
-    mart: Mart, start: date | str, end: date | str, as_of: datetime, accepted: int
+    mart: Mart, loaded: DataFrame, day: date | str, as_of: datetime, accepted: int
 ) -> DataFrame:
     """Checks of the dates this load replaced: row count, null keys, summaries.
 
-    One pass over the range. A row left over from an earlier load of a replaced
+    One pass over the facts of the range. A row left over from an earlier load of a replaced
     date shows as a wrong count.
     """
     mine = F.col("loaded_at") == F.lit(str(as_of)).cast("timestamp")
     no_key = F.col("customer_key").isNull() | F.col("product_key").isNull()
     days = (
-        extracts.sales_between(mart.fact_sales, start, end)
-        .groupBy("sale_date")
+        loaded.groupBy("sale_date")
         .agg(
             row_count().alias("rows"),
             F.count_if(mine).alias("mine"),
@@ -188,7 +191,7 @@ def load_checks(
         .select(
             "check_name",
             F.lit("error").alias("severity"),
-            F.lit(str(start)).cast("date").alias("subject_date"),
+            F.lit(str(day)).cast("date").alias("subject_date"),
             "expected",
             "actual",
             (F.col("expected") == F.col("actual")).alias("passed"),
@@ -197,7 +200,7 @@ def load_checks(
     no_data = mart.spark.range(1).select(
         F.lit("no_data").alias("check_name"),
         F.lit("warn").alias("severity"),
-        F.lit(str(start)).cast("date").alias("subject_date"),
+        F.lit(str(day)).cast("date").alias("subject_date"),
         F.lit(1).cast("bigint").alias("expected"),
         F.lit(accepted).cast("bigint").alias("actual"),
         F.lit(accepted > 0).alias("passed"),
@@ -230,9 +233,10 @@ def run_range(
         rejected = counts["extracted"] - counts["accepted"]
         if rejected:
             log.warning("%d sales without a dimension row were left out", rejected)
-        load_summary(mart, start, end, at)
+        loaded = mart.facts_between(start, end)
+        load_summary(mart, loaded, at)
         checks = quality.raise_on_failure(
-            load_checks(mart, start, end, at, counts["accepted"])
+            load_checks(mart, loaded, start, at, counts["accepted"])
         )
     except Exception as error:
         runlog.update_run(

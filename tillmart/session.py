@@ -38,6 +38,8 @@ def local_session(cores: str = "8", app: str = "tillmart") -> SparkSession:
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # The default lists a table of many dates with one task per folder.
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "16")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     )
     spark = configure(builder.getOrCreate())

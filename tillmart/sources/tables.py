@@ -9,6 +9,7 @@ committed, so a job that dies leaves the last good state. One writer at a time.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -61,10 +62,17 @@ def write_snapshot(df: DataFrame, path: str, schema: T.StructType) -> None:
         fs.delete(_folder(spark, f"{path}/{SNAPSHOT}{old}")[1], True)
 
 
-def read_facts(spark: SparkSession, path: str) -> DataFrame:
-    if not exists(spark, path):
+def read_facts(spark: SparkSession, path: str, day: date | str | None = None) -> DataFrame:
+    """All facts, or those of one day.
+
+    One day is read from its own folder, so a daily load does not list the
+    folders of all the days before it.
+    """
+    folder = path if day is None else f"{path}/sale_date={day}"
+    if not exists(spark, folder):
         return empty_frame(spark, schemas.FACT_SALES)
-    return spark.read.schema(schemas.frame_schema(schemas.FACT_SALES)).parquet(path)
+    schema = schemas.frame_schema(schemas.FACT_SALES)
+    return spark.read.schema(schema).option("basePath", path).parquet(folder)
 
 
 def write_fact_dates(facts: DataFrame, path: str) -> None:

@@ -204,8 +204,11 @@ def current_status(changes: DataFrame) -> DataFrame:
     return (
         changes.where(F.col("status").isNotNull())
         .groupBy("run_id")
-        .agg(F.max_by(F.struct("instance_id", "status", "status_text"), "instance_id").alias("_row"))
-        .select("run_id", "_row.*")
+        .agg(
+            F.max("instance_id").alias("instance_id"),
+            F.max_by("status", "instance_id").alias("status"),
+        )
+        .withColumn("status_text", run_status_text(F.col("status")))
     )
 
 
