@@ -94,6 +94,7 @@ def test_top_product_tie_takes_lowest_id(spark):
 def test_daily_run_reports_figures(spark, root):
     result = jobs.run_daily(spark, golden.source(spark), root, golden.TODAY)
     assert result["rows_loaded"] == 10
+    assert result["dim_rows"] == {"dim_customers": 5, "dim_products": 10}
     assert result["stats"]["total_revenue"] == 227.0 * M
     assert result["stats"]["top_product"] == "product 2"
     log = jobs.Mart(spark, root).etl_log.collect()

@@ -82,6 +82,8 @@ def test_audit(spark):
     assert all(len(r.errors) <= 5 for r in found["failures"].collect())
     assert not found["stage_rows"].first().passed
     assert found["latest_messages"].count() == 20
+    report = found["day_report"].collect()
+    assert report and {r.rows_loaded for r in report} == {0}
     good = logs.executions.withColumn("status", F.lit(7))
     jobs.run_audit(jobs.Logs(good, logs.messages), stage, "2024-01-30", "2024-02-15")
 

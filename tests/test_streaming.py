@@ -72,6 +72,13 @@ def test_busy_run_equals_batch(spark, root):
     }
 
 
+def test_timeout_on_the_wall_clock(spark, root):
+    """Under processing time a run is reported although no newer event arrives."""
+    changes = run_over(spark, root, [FILES[0], [(9, 7, 4, at(1))]], clock="ProcessingTime")
+    overdue = {r.run_id for r in changes.where("status_text = 'TIMEOUT'").collect()}
+    assert {1, 2, 3} <= overdue
+
+
 def test_latest_status_on_a_stream(spark, root):
     """The batch aggregate runs unchanged on a stream in update mode."""
     frame = spark.createDataFrame([row for rows in FILES for row in rows], EVENTS)

@@ -29,8 +29,7 @@ def dense_index(ids: DataFrame, column: str, name: str, start: int = 0) -> DataF
     bins = min(BINS, total // ROWS_PER_BIN + 1)
     shares = ", ".join(str(i / bins) for i in range(1, bins))
     cuts = ids.selectExpr(f"percentile_approx({column}, array({shares}), 10000)").first()[0]
-    edges = F.expr("array(" + ", ".join(f"{cut}L" for cut in sorted(set(cuts))) + ")")
-    binned = ids.withColumn("_bin", F.size(F.filter(edges, lambda edge: edge < F.col(column))))
+    binned = _with_bin(ids, column, sorted(set(cuts)))
     # At most BINS rows from here on, so one task and a broadcast are safe.
     before = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -47,6 +46,19 @@ def dense_index(ids: DataFrame, column: str, name: str, start: int = 0) -> DataF
     )
 
 
+def _with_bin(ids: DataFrame, column: str, cuts: list[int]) -> DataFrame:
+    """Add ``_bin``, the number of cuts below the id, by a binary search in compiled steps."""
+    step = 1 << (len(cuts).bit_length() - 1)
+    padded = cuts + [2**63 - 1] * (2 * step - 1 - len(cuts))
+    edges = F.expr("array(" + ", ".join(f"{cut}L" for cut in padded) + ")")
+    binned = ids.withColumn("_bin", F.lit(0))
+    while step:
+        above = F.get(edges, F.col("_bin") + F.lit(step - 1)) < F.col(column)
+        binned = binned.withColumn("_bin", F.col("_bin") + F.when(above, step).otherwise(0))
+        step //= 2
+    return binned
+
+
 def assign_keys(
     source: DataFrame, natural: str, key: str, existing: DataFrame | None = None
 ) -> DataFrame:

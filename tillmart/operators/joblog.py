@@ -280,6 +280,21 @@ def run_report(executions: DataFrame, messages: DataFrame) -> DataFrame:
     )
 
 
+def day_report(latest: DataFrame, loaded: DataFrame, day: date | str) -> DataFrame:
+    """One line per newest execution of a day, with the number of rows loaded that day."""
+    rows = loaded.agg(row_count().alias("rows")).scalar()
+    return latest.select(
+        as_date(day).alias("execution_date"),
+        "execution_id",
+        "folder_name",
+        "project_name",
+        "package_name",
+        "duration_seconds",
+        rows.alias("rows_loaded"),
+        "status_text",
+    )
+
+
 def jobs_with_category(jobs: DataFrame, categories: DataFrame) -> DataFrame:
     """Every job with its category's name, NULL when it has none."""
     return jobs.join(categories, "category_id", "left").select("job_name", "category_name")

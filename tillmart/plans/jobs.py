@@ -85,11 +85,14 @@ def now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def load_dims(source: Source, mart: Mart, as_of: datetime, cascade: bool = False) -> None:
-    """Type-1 refresh of both dimensions; keys of known rows stay.
+def load_dims(
+    source: Source, mart: Mart, as_of: datetime, cascade: bool = False
+) -> dict[str, int]:
+    """Type-1 refresh of both dimensions; keys of known rows stay. Returns the rows written.
 
     ``cascade`` also empties the fact table, as a cascading truncate would.
     """
+    written = {}
     for name, schema, frame, natural, key in (
         (
             "dim_customers",
@@ -110,9 +113,13 @@ def load_dims(source: Source, mart: Mart, as_of: datetime, cascade: bool = False
             raise quality.CheckFailed(f"{natural} repeats in the source of {name}")
         existing = tables.read_snapshot(mart.spark, mart.path(name), schema)
         refreshed = dims.refresh_dim(frame, natural, key, as_of, existing)
-        tables.write_snapshot(refreshed, mart.path(name), schema)
+        seen = Observation()
+        counted = refreshed.observe(seen, row_count().alias("rows"))
+        tables.write_snapshot(counted, mart.path(name), schema)
+        written[name] = seen.get["rows"]
     if cascade:
         tables.truncate_facts(mart.spark, mart.path("fact_sales"))
+    return written
 
 
 def load_facts(
@@ -226,7 +233,7 @@ def run_range(
     log_path = mart.path("etl_log")
     log_id = runlog.start_run(spark, log_path, JOB_NAME, TASK_NAME, start, at)
     try:
-        load_dims(source, mart, at, cascade)
+        dim_rows = load_dims(source, mart, at, cascade)
         counts = load_facts(source, mart, start, end, at)
         if counts["extracted"] == 0:
             log.warning("no sales from %s to %s", start, end)
@@ -256,6 +263,7 @@ def run_range(
         "log_id": log_id,
         "rows_extracted": counts["extracted"],
         "rows_loaded": counts["accepted"],
+        "dim_rows": dim_rows,
         "checks": checks,
     }
 
@@ -354,5 +362,6 @@ def run_audit(
         "component_stats": joblog.component_stats(logs.messages),
         "latest_messages": joblog.latest_messages(logs.messages),
         "run_report": joblog.run_report(logs.executions, logs.messages),
+        "day_report": joblog.day_report(latest, extracts.rows_of_day(stage, day), day),
         "retention": joblog.purge(logs.executions, as_of),
     }

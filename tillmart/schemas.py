@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(10, 2)
@@ -156,44 +155,42 @@ def frame_schema(schema: T.StructType) -> T.StructType:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the schema's columns and cast them; a value that does not fit fails the job.
+    """Select the schema's columns in its types; a value that does not fit fails the job.
 
     The checks do not depend on ANSI mode: a conversion that would give NULL
-    raises, as does a text longer than its declared length.
+    raises, as does a text longer than its declared length. Columns that have
+    the type already pass through untouched.
     """
-    return df.select(*[_fit(f).alias(f.name) for f in schema])
-
-
-def _fit(field: T.StructField) -> Column:
-    value = F.col(field.name)
-    if isinstance(field.dataType, T.VarcharType):
-        limit = field.dataType.length
-        text = value.cast("string")
-        return F.when(
-            F.length(text) > limit,
-            F.raise_error(F.lit(f"{field.name} is longer than {limit} characters")),
-        ).otherwise(text)
-    cast = value.try_cast(field.dataType)
-    return F.when(
-        value.isNotNull() & cast.isNull(),
-        F.raise_error(F.lit(f"{field.name} does not fit {field.dataType.simpleString()}")),
-    ).otherwise(cast)
+    have = {f.name: f.dataType for f in df.schema}
+    return df.selectExpr(*[_fit(f, have[f.name]) for f in schema])
 
 
 def enforce(df: DataFrame, schema: T.StructType) -> DataFrame:
     """`conform` plus the NOT NULL constraints of the table."""
-    fitted = conform(df, schema)
-    required = {f.name for f in schema if not f.nullable}
-    return fitted.select(
-        *[
-            F.when(F.col(name).isNull(), F.raise_error(F.lit(f"{name} must not be null")))
-            .otherwise(F.col(name))
-            .alias(name)
-            if name in required
-            else F.col(name)
-            for name in columns(schema)
-        ]
-    )
+    have = {f.name: f.dataType for f in df.schema}
+    return df.selectExpr(*[_fit(f, have[f.name], not f.nullable) for f in schema])
+
+
+def _fit(field: T.StructField, have: T.DataType, required: bool = False) -> str:
+    """SQL expression for one column of a checked row."""
+    name, branches = field.name, []
+    if required:
+        branches.append((f"{name} is null", f"{name} must not be null"))
+    if isinstance(field.dataType, T.VarcharType):
+        value, limit = f"cast({name} as string)", field.dataType.length
+        branches.append((f"length({value}) > {limit}", f"{name} is longer than {limit} characters"))
+    elif have == field.dataType:
+        value = name
+    else:
+        wanted = field.dataType.simpleString()
+        value = f"try_cast({name} as {wanted})"
+        branches.append(
+            (f"{name} is not null and {value} is null", f"{name} does not fit {wanted}")
+        )
+    if not branches:
+        return name
+    checks = " ".join(f"when {when} then raise_error('{text}')" for when, text in branches)
+    return f"case {checks} else {value} end as {name}"
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
