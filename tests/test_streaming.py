@@ -1,14 +1,17 @@
 """The run tracker over several micro-batches."""
 
+import time
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
 from tillmart.operators import joblog
+from tillmart.sources import tables
 from tillmart.streaming import run_status
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
 EVENTS = "run_id bigint, instance_id bigint, status int, event_time timestamp"
+CHANGES = "run_id bigint, instance_id bigint, status int, status_text string, event_time timestamp"
 
 
 def at(seconds):
@@ -74,9 +77,26 @@ def test_busy_run_equals_batch(spark, root):
 
 def test_timeout_on_the_wall_clock(spark, root):
     """Under processing time a run is reported although no newer event arrives."""
-    changes = run_over(spark, root, [FILES[0], [(9, 7, 4, at(1))]], clock="ProcessingTime")
-    overdue = {r.run_id for r in changes.where("status_text = 'TIMEOUT'").collect()}
-    assert {1, 2, 3} <= overdue
+    source, folder = f"{root}/in", f"{root}/changes"
+    frame = spark.createDataFrame(FILES[0], EVENTS).coalesce(1)
+    frame.write.parquet(source)
+    events = spark.readStream.schema(frame.schema).parquet(source)
+    query = run_status.write_changes(
+        run_status.track_runs(events, clock="ProcessingTime"),
+        folder,
+        f"{root}/ckpt",
+        poll_seconds=1,
+    )
+    overdue, give_up = set(), time.time() + 60
+    try:
+        while overdue != {1, 2, 3} and time.time() < give_up:
+            time.sleep(2)
+            if query.lastProgress is not None and tables.exists(spark, f"{folder}/_spark_metadata"):
+                found = spark.read.schema(CHANGES).parquet(folder)
+                overdue = {r.run_id for r in found.where("status_text = 'TIMEOUT'").collect()}
+    finally:
+        query.stop()
+    assert overdue == {1, 2, 3}
 
 
 def test_latest_status_on_a_stream(spark, root):

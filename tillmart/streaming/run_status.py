@@ -185,9 +185,17 @@ def track_runs(
 
 
 def write_changes(
-    changes: DataFrame, folder: str, checkpoint: str, once: bool = False
+    changes: DataFrame,
+    folder: str,
+    checkpoint: str,
+    once: bool = False,
+    poll_seconds: int = POLL_SECONDS,
 ) -> StreamingQuery:
-    """Append the changes to a parquet folder, each exactly once."""
+    """Append the changes to a parquet folder, each exactly once.
+
+    ``once`` stops after the events at hand. It suits event time only: with
+    processing time there is always another timer to wait for.
+    """
     writer = (
         changes.writeStream.format("parquet")
         .outputMode("append")
@@ -196,7 +204,7 @@ def write_changes(
     )
     if once:
         return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{POLL_SECONDS} seconds").start()
+    return writer.trigger(processingTime=f"{poll_seconds} seconds").start()
 
 
 def current_status(changes: DataFrame) -> DataFrame:
