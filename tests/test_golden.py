@@ -66,6 +66,12 @@ def test_views(spark, root):
     assert spark.table("vw_sales_analysis").count() == 70
 
 
+def test_source_view(spark):
+    views.register_source_views(spark, golden.sales(spark))
+    rows = spark.sql("select * from vw_daily_sales_summary where total_revenue = 227000000")
+    assert rows.count() == 7
+
+
 def test_equal_names_merge_in_views(spark, root):
     mart = loaded(spark, root)
     same = mart.dim_customers.withColumns(

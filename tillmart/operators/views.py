@@ -14,6 +14,7 @@ from tillmart.functions.money import (
     row_count,
     whole_sum,
 )
+from tillmart.operators.summary import daily_sales
 
 
 def sales_analysis(fact: DataFrame, dim_customers: DataFrame, dim_products: DataFrame) -> DataFrame:
@@ -119,6 +120,11 @@ def top_n(view: DataFrame, measure: str, n: int, ties: Sequence[str] = ()) -> Da
     return view.orderBy(F.desc_nulls_last(measure), *ties).limit(n)
 
 
+def register_source_views(spark: SparkSession, sales: DataFrame) -> None:
+    """Make the summary over the source sales readable from SQL."""
+    daily_sales(sales).createOrReplaceTempView("vw_daily_sales_summary")
+
+
 def register_views(
     spark: SparkSession, fact: DataFrame, dim_customers: DataFrame, dim_products: DataFrame
 ) -> None:
