@@ -2,8 +2,8 @@
 
 Sums of money run over whole cents in a ``bigint``. A sum over ``decimal(10,2)``
 has 20 digits, which Spark keeps as an object per group and in 24 bytes of every
-shuffled row; the cents take 8 bytes, stay exact, and raise an error if a sum
-ever leaves the range.
+shuffled row; the cents take 8 bytes and stay exact up to 9 * 10**16 in a sum.
+Beyond that ANSI mode, which `session.configure` sets, raises an error.
 """
 
 from __future__ import annotations
@@ -35,10 +35,6 @@ def from_cents(value: str | Column) -> Column:
     return (whole.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(38,2)")
 
 
-def money_sum(amount: str | Column) -> Column:
-    return from_cents(cents_sum(amount))
-
-
 def average_cents(total: Column, rows: Column) -> Column:
     """Average of a sum in cents, rounded once, half away from zero, to two places.
 

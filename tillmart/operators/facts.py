@@ -55,7 +55,9 @@ def fact_rejects(sales: DataFrame, customer_map: DataFrame, product_map: DataFra
     )
 
 
-def replace_by_date(existing: DataFrame, incoming: DataFrame, column: str = "sale_date") -> DataFrame:
+def replace_by_date(
+    existing: DataFrame, incoming: DataFrame, column: str = "sale_date"
+) -> DataFrame:
     """State after every date in ``incoming`` was deleted and loaded again.
 
     An empty ``incoming`` changes nothing. The stored fact table gets the same

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.functions.decode import ERROR_MESSAGE, EXECUTION_SUCCEEDED
+from tillmart.functions.decode import EXECUTION_SUCCEEDED
 from tillmart.functions.money import row_count
 from tillmart.functions.timefmt import as_date
 from tillmart.sources.extracts import rows_of_day
@@ -168,9 +168,8 @@ def constraint_violations(
     results: list[DataFrame] = []
     if primary_key:
         repeated = duplicate_keys(df, [primary_key]).agg(row_count().alias("violations"))
-        results.append(
-            repeated.select(F.lit(f"{name}_pk_{primary_key}").alias("constraint_name"), "violations")
-        )
+        label = F.lit(f"{name}_pk_{primary_key}").alias("constraint_name")
+        results.append(repeated.select(label, "violations"))
     if required:
         # One scan for all columns, then one row per column.
         counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])

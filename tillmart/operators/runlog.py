@@ -48,9 +48,13 @@ def update_runs(log: DataFrame, updates: DataFrame) -> DataFrame:
     )
 
 
-def complete_runs(log: DataFrame, completed: DataFrame, end_time: Column | None = None) -> DataFrame:
+def complete_runs(
+    log: DataFrame, completed: DataFrame, end_time: Column | None = None
+) -> DataFrame:
     """Log after the runs in ``completed`` (log_id, rows_loaded) succeeded."""
-    done = completed.select("log_id", F.col("rows_loaded").alias("_rows"), F.lit(True).alias("_done"))
+    done = completed.select(
+        "log_id", F.col("rows_loaded").alias("_rows"), F.lit(True).alias("_done")
+    )
     ended = F.current_timestamp() if end_time is None else end_time
     return (
         log.join(done, "log_id", "left")

@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmart.functions.timefmt import as_date, as_timestamp, plus_seconds
-from tillmart.operators import dims, facts, joblog, lookups, quality, runlog, staging, summary, views
+from tillmart.operators import (
+    dims,
+    facts,
+    joblog,
+    lookups,
+    quality,
+    runlog,
+    staging,
+    summary,
+    views,
+)
 from tillmart.session import scratch_dir
 from tillmart.sources import adapters, extracts
 from tillmart.sources.adapters import table
@@ -134,7 +144,8 @@ def dim_key_map(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def dim_surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
     ids = adapters.customers(spark, folder).select("customer_id")
-    existing = dims.dense_index(ids.where(F.col("customer_id") % 2 == 0), "customer_id", "customer_key")
+    even = ids.where(F.col("customer_id") % 2 == 0)
+    existing = dims.dense_index(even, "customer_id", "customer_key")
     return dims.assign_keys(ids, "customer_id", "customer_key", existing)
 
 

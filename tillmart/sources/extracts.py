@@ -140,7 +140,7 @@ def sample_sales(
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table with its number of rows."""
     counted = [
-        frame.agg(row_count().alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        frame.agg(F.lit(name).alias("table_name"), row_count().alias("row_count"))
         for name, frame in tables.items()
     ]
     result = counted[0]

@@ -6,20 +6,27 @@ the option maps, so that a large table is read in parallel slices.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
+from tillmart import schemas
+
 # The connection limits and batch size the loads run with.
 QUERY_TIMEOUT_SECONDS = 30
 BATCH_SIZE = 1000
 
-SALES_QUERY = (
-    "SELECT sale_id, customer_id, product_id, quantity, unit_price, total_amount, sale_date "
-    "FROM Sales"
-)
-CUSTOMERS_QUERY = (
-    "SELECT customer_id, customer_name, email, city, country, created_date FROM Customers"
+
+def select_query(table: str, columns: Sequence[str]) -> str:
+    """Query for named columns, so that the source sends no others."""
+    return f"SELECT {', '.join(columns)} FROM {table}"
+
+
+SALES_QUERY = select_query("Sales", schemas.columns(schemas.SALES))
+CUSTOMERS_QUERY = select_query("Customers", schemas.columns(schemas.CUSTOMERS))
+PRODUCTS_QUERY = select_query(
+    "Products", [c for c in schemas.columns(schemas.PRODUCTS) if c != "stock_quantity"]
 )
-PRODUCTS_QUERY = "SELECT product_id, product_name, category, unit_price FROM Products"
 
 
 def connection(url: str, user: str, password: str, driver: str | None = None) -> dict[str, str]:
