@@ -227,11 +227,12 @@ def run_range(
     """Load an inclusive range of dates in one go, without a loop over days.
 
     Running it again leaves the same state. A failure is written to the run log
-    with its text and raised again.
+    with its text and raised again. ``as_of`` stamps the rows of this load and
+    tells them from older ones, so every run needs its own.
     """
     mart, at = Mart(spark, root), as_of or now()
     log_path = mart.path("etl_log")
-    log_id = runlog.start_run(spark, log_path, JOB_NAME, TASK_NAME, start, at)
+    log_id = runlog.start_run(spark, log_path, JOB_NAME, TASK_NAME, start, now())
     try:
         dim_rows = load_dims(source, mart, at, cascade)
         counts = load_facts(source, mart, start, end, at)
