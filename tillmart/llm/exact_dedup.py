@@ -1,11 +1,13 @@
 """Exact dedup by content sort (operator 7), DataFrame functions only.
 
 Sampled splitters range-partition the texts, each partition is sorted, and equal
-texts, now adjacent, are compared in full by a window whose key is the text. A
-group of copies may hold a third of all rows, so the sort key is (text, salt):
-each salted part is bounded, and the few results of the parts of one text meet
-again under its SHA-256 after map-side aggregation. Which row stays is a
-parameter; the query keeps the largest doc_id.
+texts, now adjacent, are compared in full by a window whose key is the text. The
+splitters are taken from the first `HEAD` characters, a hash and a salt, so that
+the sample the driver sees has short rows; the whole text follows in the sort key.
+A group of copies may hold a third of all rows: the salt bounds each part of it,
+and the few results of the parts of one text meet again under its SHA-256 after
+map-side aggregation. Which row stays is a parameter; the query keeps the largest
+doc_id.
 
 Defined results: a null text equals the empty text. A null id sorts below all
 ids. Rows repeated with the same id and text are copies of which one stays. An
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from tillmart.llm.common import written
 
 ROWS_PER_SALT = 1_000
+HEAD = 24
 
 
 def content_groups(
@@ -41,10 +44,12 @@ def content_groups(
         F.col(id_col).alias("id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts)).alias("salt"),
-    )
-    part = Window.partitionBy("text", "salt")
+    ).select("*", F.left("text", F.lit(HEAD)).alias("head"), F.xxhash64("text").alias("hash"))
+    # The range partitioning by the first three serves the window by all four.
+    splitters = ["head", "hash", "salt"]
+    part = Window.partitionBy(*splitters, "text")
     runs = (
-        rows.repartitionByRange("text", "salt")
+        rows.repartitionByRange(*splitters)
         .withColumn("place", F.row_number().over(part.orderBy(order(F.col("id")))))
         .withColumn("part_best", best(F.col("id")).over(part))
         .withColumn("part_size", F.count(F.lit(1)).over(part))
@@ -62,6 +67,8 @@ def content_groups(
         .groupBy("digest")
         .agg(best(F.col("part_best")).alias("keep_id"), F.sum("part_size").alias("group_size"))
     )
+    # As a table of its own, the join can split the partition of a text with many copies.
+    groups = written(groups, "content-groups")
     return runs.join(groups, "digest").select(
         F.col("id").alias(id_col),
         "keep_id",

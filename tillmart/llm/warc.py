@@ -29,9 +29,10 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmart.llm.common import written
 from tillmart.session import scratch_dir
 
 CHUNK_BYTES = 64 << 10
@@ -70,12 +71,13 @@ def with_roles(
         F.translate(F.coalesce(F.col(url_col), F.lit("")), "\r\n", "").alias("url"),
         F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"),
     ).withColumn("digest", F.unhex(F.sha1("payload")))
-    # A repeated id is told apart by nothing, so each group names how many of its rows have the largest id.
     groups = (
         rows.filter(F.octet_length("payload") >= revisit_from)
         .groupBy("digest")
         .agg(F.max("page_id").alias("response_id"))
     )
+    # As a table of its own, the join can split the partition of a payload with many copies.
+    groups = written(groups, "payload-groups")
     return rows.join(groups, "digest", "left").select(
         "page_id",
         "url",
