@@ -60,8 +60,10 @@ class _PowerTable:
     """Powers of the multiplier and of its inverse, grown to the longest run seen."""
 
     def __init__(self) -> None:
-        self.up = _powers(_BASE, 1 << 16)
-        self.down = _powers(_INVERSE, 1 << 16)
+        self.up = self.down = np.empty(0, dtype=np.uint64)
+
+    def __reduce__(self):
+        return type(self), ()  # tasks grow their own
 
     def reach(self, count: int) -> None:
         if count > len(self.up):

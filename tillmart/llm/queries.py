@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillmart.llm import exact_dedup, mixing, quality_rules, warc
+from tillmart.llm import exact_dedup, mixing, quality_rules, secrets, toxicity, warc
 from tillmart.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -29,6 +30,22 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = toxicity.train(docs, _table(spark, folder, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(toxicity.fold("doc_id", toxicity.FOLDS) == toxicity.HELD_OUT, F.lit(False)).alias(
+            "held_out"
+        ),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "n_exact",
+        "n_near",
+        "n_quoted",
+    )
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents"))
 
@@ -37,13 +54,30 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.content_groups(_table(spark, folder, "documents"))
 
 
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(_table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "row.doc_id",
+        *map(count, secrets.KINDS),
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text().alias("spans"),
+    )
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_round_trip(_table(spark, folder, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
 }
