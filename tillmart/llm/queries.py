@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.llm import exact_dedup, mixing, quality_rules, secrets, toxicity, warc
+from tillmart.llm import (
+    exact_dedup,
+    mixing,
+    quality_neighbours,
+    quality_rules,
+    secrets,
+    toxicity,
+    warc,
+)
 from tillmart.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -54,6 +62,18 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.content_groups(_table(spark, folder, "documents"))
 
 
+def op8_quality_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = quality_neighbours.train(docs, _table(spark, folder, "labels"))
+    held_out = toxicity.fold("doc_id", quality_neighbours.FOLDS) == quality_neighbours.HELD_OUT
+    return quality_neighbours.score(docs, model).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_neighbours.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(_table(spark, folder, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["base"])
@@ -78,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_quality_neighbours": op8_quality_neighbours,
     "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
 }
