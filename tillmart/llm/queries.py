@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillmart.llm import (
     exact_dedup,
     mixing,
+    pieces,
     quality_neighbours,
     quality_rules,
     secrets,
@@ -58,6 +59,21 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, folder, "documents"))
 
 
+def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = pieces.load()
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    encoded = pieces.encode(docs, vocabulary).select(
+        "row.doc_id", F.sha2(F.coalesce("row.text", F.lit("")), 256).alias("text_sha256"), "ids"
+    )
+    return pieces.decode(encoded, vocabulary).select(
+        "row.doc_id",
+        F.size("row.ids").cast("long").alias("n_pieces"),
+        "row.ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.sha2("decoded", 256) == F.col("row.text_sha256")).alias("exact"),
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.content_groups(_table(spark, folder, "documents"))
 
@@ -97,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
+    "op5_pieces": op5_pieces,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_quality_neighbours": op8_quality_neighbours,
     "op9_secrets": op9_secrets,
