@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-KEEP = 300_000
+KEEP = 100_000
 MARK = "▁"  # fixed: how the format writes a space
 UNKNOWN_PENALTY = 10.0  # fixed: how far an unknown character scores below the worst piece
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillmart.llm import (
     exact_dedup,
     mixing,
+    near_dedup,
     pieces,
     quality_neighbours,
     quality_rules,
@@ -74,6 +75,10 @@ def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.components(_table(spark, folder, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.content_groups(_table(spark, folder, "documents"))
 
@@ -114,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
     "op5_pieces": op5_pieces,
+    "op6_near_dedup": op6_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_quality_neighbours": op8_quality_neighbours,
     "op9_secrets": op9_secrets,
