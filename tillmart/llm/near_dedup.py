@@ -115,7 +115,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     # An id may repeat; the class it stands for has the same set in each of its rows or is
     # told apart by the sets' own rows, of which the largest text is taken.
     involved = written(
-        texts.join(named, "id").groupBy("id").agg(F.max("text").alias("text")), "candidate-texts"
+        texts.join(named.hint("merge"), "id").groupBy("id").agg(F.max("text").alias("text")), "candidate-texts"
     )
     left = pairs.join(involved.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(involved.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
