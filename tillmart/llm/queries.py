@@ -15,6 +15,7 @@ from tillmart.llm import (
     quality_neighbours,
     quality_rules,
     secrets,
+    substring_dedup,
     toxicity,
     warc,
 )
@@ -27,6 +28,12 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(_table(spark, folder, "documents")).select(
         "row.doc_id",
@@ -115,6 +122,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
