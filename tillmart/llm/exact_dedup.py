@@ -79,11 +79,18 @@ def content_groups(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; ids must not repeat."""
-    kept = content_groups(docs, id_col, text_col).filter("kept").select(
-        F.col(id_col).alias("_kept_id")
+    """The rows that stay, with all their columns: one for each text."""
+    groups = content_groups(docs, id_col, text_col)
+    kept = (
+        groups.filter("kept")
+        .select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_digest"))
+        .hint("merge")
     )
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
+    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    rows = docs.join(kept, docs[id_col].eqNullSafe(F.col("_id")) & (digest == F.col("_digest")), "left_semi")
+    again = groups.filter(~F.col("kept") & F.col(id_col).eqNullSafe(F.col("keep_id")))
+    # Rows with the id and the text of one that stays: left to the last step, which few tables need.
+    return rows if again.isEmpty() else rows.dropDuplicates([id_col, text_col])
 
 
 def _choice(keep: str):

@@ -24,7 +24,7 @@ Defined results: a null text and a text without words have size 0 and nothing is
 taken; a null source is a source of its own, last in order; rows repeated are
 separate documents; with no words at all every target is 0; an empty table gives
 an empty result. Other columns are ignored by `mix_sources` and kept by
-`repeat_documents`.
+`mixed_documents`.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import word_count, written
+from tillmart.llm.common import word_array, word_count, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -44,6 +44,52 @@ SEED = 17
 
 
 def mix_sources(
+    docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options
+) -> DataFrame:
+    """One row per input row: id, size, source_size, target, taken; `options` as in `allocate`."""
+    return allocate(docs, id_col, source_col, text_col, **options).select(
+        F.col("id").alias(id_col), "size", "source_size", "target", "taken"
+    )
+
+
+def mixed_documents(
+    docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options
+) -> DataFrame:
+    """The mix itself, with the columns of the input: a row for each whole pass over a document and
+    one for each part of it, whose words are joined by one space.
+
+    Rows repeated with one id get the allocation of one of them.
+    """
+    given = (
+        allocate(docs, id_col, source_col, text_col, **options)
+        .filter("taken > 0")
+        .select(F.col("id").alias("_id"), "size", "passes", "skip1", "take1", "skip2", "take2")
+        .dropDuplicates(["_id"])
+    )
+    given = given.select("_id", F.struct(*given.columns[1:]).alias("_given"))
+    words = word_array(text_col)
+
+    def part(skip: str, take: str) -> Column:
+        skip, take = F.col(f"_given.{skip}"), F.col(f"_given.{take}")
+        return F.when(take <= 0, F.array().cast("array<string>")).otherwise(
+            F.array(
+                F.when(take == F.col("_given.size"), F.col(text_col)).otherwise(
+                    F.array_join(F.slice(words, (skip + 1).cast("int"), take.cast("int")), " ")
+                )
+            )
+        )
+
+    copies = F.concat(
+        F.array_repeat(F.col(text_col), F.col("_given.passes").cast("int")),
+        part("skip1", "take1"),
+        part("skip2", "take2"),
+    )
+    joined = docs.join(given.hint("merge"), docs[id_col].eqNullSafe(F.col("_id")))
+    others = [F.explode(copies).alias(c) if c == text_col else F.col(c) for c in docs.columns]
+    return joined.select(*others)
+
+
+def allocate(
     docs: DataFrame,
     id_col: str = "doc_id",
     source_col: str = "source",
@@ -55,7 +101,8 @@ def mix_sources(
     shard_words: int = SHARD_WORDS,
     seed: int = SEED,
 ) -> DataFrame:
-    """One row per input row: id, size, source_size, target, taken."""
+    """id, size, source_size, target, taken, and what is taken of each row: `passes` over it, and
+    two parts of `take` words behind `skip` words."""
     sized = written(
         docs.select(
             F.col(id_col).alias("id"),
@@ -97,38 +144,25 @@ def mix_sources(
         .select("key", "shard", "passes", "from1", "to1", "to2")
     )
     end = F.col("begin") + F.col("size")
-    taken = (
-        F.col("passes") * F.col("size")
-        + F.greatest(F.least(end, F.col("to1")) - F.greatest(F.col("begin"), F.col("from1")), F.lit(0))
-        + F.greatest(F.least(end, F.col("to2")) - F.col("begin"), F.lit(0))
-    )
     totals = sources.select("key", "source_size", "target")
+
+    def overlap(start: Column, stop: str) -> Column:
+        return F.greatest(F.least(end, F.col(stop)) - F.greatest(F.col("begin"), start), F.lit(0))
+
     return (
         placed.join(chosen, ["key", "shard"])
         .join(F.broadcast(totals) if _few(sources) else totals, "key")
+        .withColumn("take1", overlap(F.col("from1"), "to1"))
+        .withColumn("take2", overlap(F.lit(0), "to2"))
+        .withColumn("skip1", F.greatest(F.col("from1") - F.col("begin"), F.lit(0)))
+        .withColumn("skip2", F.lit(0))
+        .withColumn("taken", (F.col("passes") * F.col("size") + F.col("take1") + F.col("take2")).cast("long"))
         .select(
-            F.col("id").alias(id_col),
-            "size",
-            "source_size",
-            "target",
-            taken.cast("long").alias("taken"),
+            "id", "size", "source_size", "target", "taken", "passes", "skip1", "take1", "skip2", "take2"
         )
     )
 
 
-def repeat_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """Rows of which the mix takes at least one word, with their columns and texts.
-
-    Ids must not repeat. How often a document's words are taken is in `mix_sources`.
-    """
-    taken = mix_sources(docs, id_col=id_col, **options).filter("taken > 0")
-    return docs.join(
-        taken.select(F.col(id_col).alias("_taken_id")),
-        docs[id_col].eqNullSafe(F.col("_taken_id")),
-        "left_semi",
-    )
-
-
 def source_key(source: Column) -> Column:
     """Source as a join key that is never null and tells null from any text."""
     return F.coalesce(F.concat(F.lit("="), source), F.lit("null"))

@@ -86,7 +86,7 @@ def components(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns: one document of each component."""
     kept = components(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_kept_id"))
-    return docs.join(kept.distinct(), docs[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
+    return docs.join(kept.distinct().hint("merge"), docs[id_col].eqNullSafe(F.col("_kept_id")), "left_semi")
 
 
 def candidates(classes: DataFrame) -> DataFrame:

@@ -118,11 +118,31 @@ def score(
     return rows.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows whose text scores at least `threshold`, with all their columns."""
-    model = train(docs, labels)
-    good = score(docs, model).filter(F.col("score") >= threshold).select(F.col("doc_id").alias("_good_id"))
-    return docs.join(good.distinct(), docs["doc_id"].eqNullSafe(F.col("_good_id")), "left_semi")
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    threshold: float = THRESHOLD,
+    text_col: str = "text",
+    learn_from: DataFrame | None = None,
+) -> DataFrame:
+    """Rows whose text scores at least `threshold`, with all their columns, by a scan alone.
+
+    The model learns from `learn_from`, by default `docs` themselves.
+    """
+    model = train(docs if learn_from is None else learn_from, labels, text_col=text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(F.struct("*").alias("row"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.column("row").slice(at, BLOCK)
+                texts = text_bytes(part.field(text_col))
+                scores = vote(shared.value, np.array([features(t) for t in texts]))
+                good = part.filter(pa.array(scores >= threshold))
+                yield pa.RecordBatch.from_arrays([good], names=["row"])
+
+    return rows.mapInArrow(run, rows.schema).select("row.*")
 
 
 def vote(model: Model, x: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:

@@ -16,8 +16,8 @@ largest id is the response and the others revisit it; smaller ones are all
 responses. Groups are found from 20-byte digests with map-side aggregation.
 
 Defined results: a null payload is an empty one; a null id is written as an empty
-one and comes back null; pages repeated with the same id are separate records of
-which one is the response; an empty table gives an empty archive and an empty
+one and comes back null; pages repeated with one id are separate records, which are
+all responses if theirs is the largest id; an empty table gives an empty archive and an empty
 result. Columns other than those named are not archived; a url's line ends are
 dropped.
 """
