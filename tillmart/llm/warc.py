@@ -218,22 +218,44 @@ def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[bytes]:
 
 
 def _records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each record; a block that holds the separator arrives in parts."""
-    gap = END.encode()
-    for piece in pieces:
-        if not piece.startswith(b"WARC/"):
-            raise ValueError(f"no WARC record starts with {piece[:40]!r}")
-        lines = piece.decode().split("\r\n")[1:]
-        headers = dict(line.split(": ", 1) for line in lines)
+    """(headers, block) of each record.
+
+    A block may hold separators or end with a part of one, so pieces are joined again and
+    cut by Content-Length; no more than a record and a piece is held.
+    """
+    gap, held = END.encode(), b""
+
+    def more() -> bytes:
+        piece = next(pieces, None)
+        if piece is None:
+            raise ValueError(f"an archive ends within a record: {held[:40]!r}")
+        return piece + gap
+
+    while True:
+        # A file's last separator may have been read as a piece of its own.
+        held = held.lstrip(b"\r\n")
+        if not held:
+            piece = next(pieces, None)
+            if piece is None:
+                return
+            held = piece + gap
+            continue
+        while gap not in held:
+            held += more()
+        head, held = held.split(gap, 1)
+        if not head.startswith(b"WARC/"):
+            raise ValueError(f"no WARC record starts with {head[:40]!r}")
+        headers = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
         length = int(headers["Content-Length"])
-        parts = [next(pieces)]
-        have = len(parts[0])
-        while have < length:
-            parts.append(next(pieces))
-            have += len(gap) + len(parts[-1])
-        block = gap.join(parts)
-        if len(block) != length:
-            raise ValueError(f"record {headers.get('WARC-Record-ID')} has {len(block)} of {length} bytes")
+        parts = [held]
+        have = len(held)
+        while have < length + len(gap):
+            parts.append(more())
+            have += len(parts[-1])
+        held = b"".join(parts)
+        block, end, held = held[:length], held[length : length + len(gap)], held[length + len(gap) :]
+        if end != gap:
+            raise ValueError(f"record {headers.get('WARC-Record-ID')} is not {length} bytes long")
         yield headers, block
 
 
