@@ -4,7 +4,9 @@ from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tillmart import schemas
 from tillmart.operators import dims, facts, summary
 from tillmart.plans import jobs
 from tillmart.sources import adapters, extracts
@@ -86,7 +88,7 @@ def test_empty_replacement_changes_nothing(spark):
 
 @pytest.mark.parametrize("bin_rows", [7, 1000])
 def test_dense_index_over_uneven_ids(spark, monkeypatch, bin_rows):
-    monkeypatch.setattr(dims, "ROWS_PER_BIN", bin_rows)
+    monkeypatch.setattr(dims, "ROWS_PER_RANGE", bin_rows)
     ids = list(range(-50, 100)) + [10**6 + i * 37 for i in range(80)] + [2**62, -(2**61)]
     frame = spark.createDataFrame([(i,) for i in reversed(ids)], "id bigint").repartition(5)
     numbered = dims.dense_index(frame, "id", "key", start=5).collect()
@@ -164,3 +166,50 @@ def test_stored_dates_are_spread_over_files(spark, root):
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+
+
+def test_any_id_can_be_the_top_product(spark):
+    """Ids over the whole range of the type, with a tie that goes to the lowest."""
+    ids = [-5, 10**16 + 7, 2**63 - 1, -(2**63), 3]
+    products = spark.createDataFrame(
+        [(k, i, f"p{i}") for k, i in enumerate(ids)],
+        "product_key bigint, product_id bigint, product_name string",
+    )
+    rows = [(day, k, k, 1, 10 if k == day else 1) for day in range(5) for k in range(5)]
+    rows += [(5, k, k, 1, 2) for k in (0, 1, 2)]
+    fact = spark.createDataFrame(
+        rows, "day int, product_key bigint, customer_key bigint, quantity int, amount int"
+    ).selectExpr(
+        "date_add(date '2024-01-01', day) sale_date", "product_key", "customer_key", "quantity",
+        "cast(amount as decimal(10,2)) total_amount",
+    )
+    for found in (summary.daily_summary(fact, products), summary.top_product_per_day(fact, products)):
+        top = {r.summary_date.day - 1: r.top_product_id for r in found.collect()}
+        assert top == {**dict(enumerate(ids)), 5: -5}
+
+
+def test_a_key_is_never_given_twice(spark, root):
+    """A product leaves, another arrives: old facts do not become the new product's."""
+    sales = golden.sales(spark)
+    every, at = golden.products(spark), "2025-01-01"
+    without = every.where("product_id <> 10")
+    arrived = without.unionAll(
+        every.where("product_id = 10").selectExpr(
+            "cast(11 as bigint) product_id", "'new' product_name", "category", "unit_price", "stock_quantity"
+        )
+    )
+    keys = []
+    for day, products in enumerate((every, without, arrived)):
+        source = jobs.Source(golden.customers(spark), products, sales)
+        jobs.load_dims(source, jobs.Mart(spark, root), datetime(2025, 1, day + 1, tzinfo=timezone.utc))
+        keys.append({r.product_id: r.product_key for r in jobs.Mart(spark, root).dim_products.collect()})
+    assert keys[0][10] == 10 and 10 not in keys[1] and keys[2][11] == 11
+
+
+@pytest.mark.parametrize("value, wanted", [("2.7D", "int"), ("1.239", "decimal(10,2)"), ("300", "tinyint")])
+def test_a_lost_digit_fails(spark, value, wanted):
+    frame = spark.sql(f"select {value} as v")
+    with pytest.raises(Exception, match="loses digits|does not fit"):
+        schemas.conform(frame, T.StructType.fromDDL(f"v {wanted}")).collect()
+    kept = schemas.conform(spark.sql("select 2.0D as v"), T.StructType.fromDDL("v int"))
+    assert kept.first().v == 2

@@ -7,69 +7,63 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 256
-ROWS_PER_BIN = 100_000
+from tillmart.session import scratch_dir
+
+ROWS_PER_RANGE = 100_000
 
 
 def dense_index(ids: DataFrame, column: str, name: str, start: int = 0) -> DataFrame:
     """Number the distinct integer ids of ``column`` start+1, start+2, … in id order.
 
     A ``row_number`` over the whole table would sort everything in one task. Here
-    the ids are cut at approximate quantiles into at most 256 bins of about equal
-    size, however the ids are spread; rows are numbered inside their bin, and the
-    bin's offset is added. Only the cut points and one count per bin are small
-    data, and both have that fixed bound. The cuts enter the plan as literals, so
-    a recomputed task puts every id into the same bin.
+    the rows are range-partitioned by id, as many ranges as there are multiples of
+    ``ROWS_PER_RANGE`` rows, and written with the number of their range to the
+    shared scratch folder; rows are numbered inside their range, and the range's
+    offset, a running sum with one row per range, is added. All numbers come from
+    the written rows, so a source that changes meanwhile cannot give two rows one key.
     """
-    in_order = Window.orderBy(column)
-    total = ids.select(column).count()
-    if total <= ROWS_PER_BIN:
-        # So few ids that one task is enough.
-        return ids.withColumn(name, (F.row_number().over(in_order) + start).cast("bigint"))
-    bins = min(BINS, total // ROWS_PER_BIN + 1)
-    shares = ", ".join(str(i / bins) for i in range(1, bins))
-    cuts = ids.selectExpr(f"percentile_approx({column}, array({shares}), 10000)").first()[0]
-    binned = _with_bin(ids, column, sorted(set(cuts)))
-    # At most BINS rows from here on, so one task and a broadcast are safe.
-    before = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    spark = ids.sparkSession
+    ranges = ids.select(column).count() // ROWS_PER_RANGE + 1
+    path = scratch_dir(spark, "ranges")
+    ranged = ids.repartitionByRange(ranges, column).withColumn("_range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    rows = spark.read.schema(ranged.schema).parquet(path)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        binned.groupBy("_bin")
+        rows.groupBy("_range")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_bin", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    within = Window.partitionBy("_bin").orderBy(column)
+    within = Window.partitionBy("_range").orderBy(column)
     return (
-        binned.withColumn("_rank", F.row_number().over(within))
-        .join(F.broadcast(offsets), "_bin")
+        rows.withColumn("_rank", F.row_number().over(within))
+        .join(offsets, "_range")
         .withColumn(name, (F.col("_offset") + F.col("_rank") + start).cast("bigint"))
-        .drop("_bin", "_rank", "_offset")
+        .drop("_range", "_rank", "_offset")
     )
 
 
-def _with_bin(ids: DataFrame, column: str, cuts: list[int]) -> DataFrame:
-    """Add ``_bin``, the number of cuts below the id, by a binary search in compiled steps."""
-    step = 1 << (len(cuts).bit_length() - 1)
-    padded = cuts + [2**63 - 1] * (2 * step - 1 - len(cuts))
-    edges = F.expr("array(" + ", ".join(f"{cut}L" for cut in padded) + ")")
-    binned = ids.withColumn("_bin", F.lit(0))
-    while step:
-        above = F.get(edges, F.col("_bin") + F.lit(step - 1)) < F.col(column)
-        binned = binned.withColumn("_bin", F.col("_bin") + F.when(above, step).otherwise(0))
-        step //= 2
-    return binned
+def highest_key(dim: DataFrame | None, key: str) -> int:
+    """Largest surrogate key of a dimension, 0 before its first load."""
+    return 0 if dim is None else dim.agg(F.max(key)).first()[0] or 0
 
 
 def assign_keys(
-    source: DataFrame, natural: str, key: str, existing: DataFrame | None = None
+    source: DataFrame,
+    natural: str,
+    key: str,
+    existing: DataFrame | None = None,
+    highest: int = 0,
 ) -> DataFrame:
     """Add a surrogate key: known natural keys keep theirs, new ones follow the largest.
 
     ``source`` holds one row per natural key; ``existing`` maps natural key to key.
+    ``highest`` is the largest key ever given, also to rows that are gone since.
     """
     if existing is None:
-        return dense_index(source, natural, key)
+        return dense_index(source, natural, key, highest)
     known = existing.select(natural, F.col(key).alias("_known"))
-    largest = known.agg(F.max("_known")).first()[0] or 0
+    largest = max(highest, highest_key(existing, key))
     fresh = dense_index(
         source.select(natural).join(known, natural, "left_anti"), natural, "_fresh", largest
     )
@@ -92,20 +86,22 @@ def refresh_dim(
     key: str,
     as_of: datetime | str,
     existing: DataFrame | None = None,
+    highest: int = 0,
 ) -> DataFrame:
     """The whole dimension after a type-1 reload from ``source``.
 
-    Rows gone from the source go; known rows keep key and ``loaded_at``;
-    ``updated_at`` moves only when an attribute changed.
+    Rows gone from the source go, and their keys with them: no other row gets a key
+    up to ``highest``. Known rows keep key and ``loaded_at``; ``updated_at`` moves only
+    when an attribute changed.
     """
     stamp = F.lit(str(as_of)).cast("timestamp")
     if existing is None:
-        keyed = assign_keys(source, natural, key)
+        keyed = assign_keys(source, natural, key, highest=highest)
         return keyed.select(
             key, *source.columns, stamp.alias("loaded_at"), stamp.alias("updated_at")
         )
     attributes = [name for name in source.columns if name != natural]
-    keyed = assign_keys(source, natural, key, existing)
+    keyed = assign_keys(source, natural, key, existing, highest)
     before = existing.select(
         natural,
         F.struct(*attributes).alias("_before"),

@@ -205,7 +205,9 @@ def latest_messages(
     if operation_id is not None:
         picked = picked.where(F.col("operation_id") == operation_id)
     return (
-        picked.orderBy(F.desc("message_time"))
+        picked.orderBy(
+            F.desc("message_time"), "operation_id", "message_source_name", "message_type", "message"
+        )
         .limit(n)
         .select(
             "message_time",

@@ -72,33 +72,28 @@ def top_product(revenue: DataFrame) -> DataFrame:
     return revenue.orderBy(F.desc("revenue"), "product_id").limit(1)
 
 
-# Ids stay below this number: see _winner.
-ID_LIMIT = 10**16
-
-
 def _winner() -> Column:
-    """Aggregate over one date's products: most revenue, then lowest id.
+    """Aggregate over one date's products: the one with most revenue, then the lowest id.
 
-    Revenue in cents and id are packed into one number, which a hash aggregate
-    can keep in its buffer; the maximum of a struct would sort all rows.
+    A struct of plain numbers, so any id a ``bigint`` holds has its order.
     """
-    packed = F.col("_cents").cast("decimal(21,0)") * F.lit(ID_LIMIT).cast("decimal(17,0)") + (
-        F.lit(ID_LIMIT - 1) - F.col("product_id")
-    ).cast("decimal(17,0)")
-    return F.max(F.when(F.col("product_id").isNotNull(), packed.cast("decimal(38,0)")))
+    found = F.struct(
+        F.col("_cents").alias("cents"),
+        # The complement turns the order of ids around without overflow.
+        F.bitwise_not("product_id").alias("turned"),
+    )
+    return F.max(F.when(F.col("product_id").isNotNull(), found))
 
 
 def _with_top_product(days: DataFrame, dim_products: DataFrame) -> DataFrame:
-    """Unpack the winner and add its name; a day without a winner drops out."""
+    """Take the winner apart and add its name; a day without a winner drops out."""
     names = dim_products.select(
         F.col("product_id").alias("top_product_id"),
         F.col("product_name").alias("top_product_name"),
     )
-    limit = F.lit(ID_LIMIT).cast("decimal(17,0)")
-    rest = F.pmod(F.col("_top"), limit)
     return (
-        days.withColumn("top_product_id", (F.lit(ID_LIMIT - 1) - rest).cast("bigint"))
-        .withColumn("_top_cents", ((F.col("_top") - rest) / limit).cast("bigint"))
+        days.withColumn("top_product_id", F.bitwise_not("_top.turned"))
+        .withColumn("_top_cents", F.col("_top.cents"))
         .join(names, "top_product_id")
         .withColumn("top_product_revenue", from_cents("_top_cents"))
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Collection
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
@@ -68,6 +69,10 @@ class Mart:
     def sales_summary_daily(self) -> DataFrame:
         return self._small("sales_summary_daily", schemas.SALES_SUMMARY_DAILY)
 
+    @property
+    def key_highs(self) -> DataFrame:
+        return self._small("key_highs", schemas.KEY_HIGHS)
+
     @property
     def stage_sales(self) -> DataFrame:
         return tables.read_rows(self.spark, self.path("stage_sales"), schemas.STAGE_SALES)
@@ -90,9 +95,12 @@ def load_dims(
 ) -> dict[str, int]:
     """Type-1 refresh of both dimensions; keys of known rows stay. Returns the rows written.
 
+    A key is never given twice, even after its row left: the largest ones are kept.
+
     ``cascade`` also empties the fact table, as a cascading truncate would.
     """
     written = {}
+    highs = {row["dimension"]: row["highest"] for row in mart.key_highs.collect()}
     for name, schema, frame, natural, key in (
         (
             "dim_customers",
@@ -112,11 +120,20 @@ def load_dims(
         if not quality.duplicate_keys(frame, [natural]).isEmpty():
             raise quality.CheckFailed(f"{natural} repeats in the source of {name}")
         existing = tables.read_snapshot(mart.spark, mart.path(name), schema)
-        refreshed = dims.refresh_dim(frame, natural, key, as_of, existing)
+        highs[name] = max(highs.get(name, 0), dims.highest_key(existing, key))
+        refreshed = dims.refresh_dim(frame, natural, key, as_of, existing, highs[name])
         seen = Observation()
-        counted = refreshed.observe(seen, row_count().alias("rows"))
+        counted = refreshed.observe(
+            seen, row_count().alias("rows"), F.max(key).alias("highest")
+        )
         tables.write_snapshot(counted, mart.path(name), schema)
         written[name] = seen.get["rows"]
+        highs[name] = max(highs[name], seen.get["highest"] or 0)
+    tables.write_snapshot(
+        mart.spark.createDataFrame(list(highs.items()), schemas.frame_schema(schemas.KEY_HIGHS)),
+        mart.path("key_highs"),
+        schemas.KEY_HIGHS,
+    )
     if cascade:
         tables.truncate_facts(mart.spark, mart.path("fact_sales"))
     return written
@@ -149,18 +166,24 @@ def load_facts(
     counts = seen.get
     emptied = set(counts["dates"]) - set(counts["loaded_dates"])
     tables.drop_fact_dates(mart.spark, path, emptied)
-    return {"extracted": counts["extracted"], "accepted": counts["accepted"]}
+    return {"extracted": counts["extracted"], "accepted": counts["accepted"], "emptied": emptied}
 
 
-def load_summary(mart: Mart, loaded: DataFrame, as_of: datetime) -> None:
-    """Recompute and upsert the summaries of the dates of the given facts."""
+def load_summary(
+    mart: Mart, loaded: DataFrame, as_of: datetime, emptied: Collection[date] = ()
+) -> None:
+    """Recompute and upsert the summaries of the dates of the given facts.
+
+    The summaries of ``emptied`` dates, whose facts this load took away, go.
+    """
     stamp = F.lit(str(as_of)).cast("timestamp")
     incoming = summary.daily_summary(loaded, mart.dim_products).withColumns(
         {"loaded_at": stamp, "updated_at": stamp}
     )
-    merged = summary.upsert(
-        mart.sales_summary_daily, incoming, ["summary_date"], keep=["loaded_at"]
-    )
+    existing = mart.sales_summary_daily
+    if emptied:
+        existing = existing.where(~F.col("summary_date").isin(list(emptied)))
+    merged = summary.upsert(existing, incoming, ["summary_date"], keep=["loaded_at"])
     tables.write_snapshot(merged, mart.path("sales_summary_daily"), schemas.SALES_SUMMARY_DAILY)
 
 
@@ -242,13 +265,13 @@ def run_range(
         if rejected:
             log.warning("%d sales without a dimension row were left out", rejected)
         loaded = mart.facts_between(start, end)
-        load_summary(mart, loaded, at)
+        load_summary(mart, loaded, at, counts["emptied"])
         checks = quality.raise_on_failure(
             load_checks(mart, loaded, start, at, counts["accepted"])
         )
     except Exception as error:
         runlog.update_run(
-            spark, log_path, log_id, runlog.FAILED, now(), error_message=str(error)[:4000]
+            spark, log_path, log_id, runlog.FAILED, now(), error_message=str(error)
         )
         raise
     runlog.update_run(

@@ -486,7 +486,7 @@ ORACLE: dict[str, str] = {
                   when 70 then 'INFO' else cast(message_type as varchar) end "type",
                   message_source_name, substr(message, 1, 200) message
            from messages where message_type in (70, 110, 120)
-           order by message_time desc limit 20""",
+           order by message_time desc, operation_id, message_source_name, message_type, message limit 20""",
     ),
     "execution_errors": _sql(
         "messages",

@@ -92,6 +92,12 @@ DIM_PRODUCTS = _table(
     ("updated_at", T.TimestampType()),
 )
 
+# The largest key a dimension has ever given, so that none is given twice.
+KEY_HIGHS = _table(
+    ("dimension", T.VarcharType(100), "required"),
+    ("highest", ID, "required"),
+)
+
 FACT_SALES = _table(
     ("sale_key", ID, "required"),
     ("sale_id", ID, "required"),
@@ -158,7 +164,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the schema's columns in its types; a value that does not fit fails the job.
 
     The checks do not depend on ANSI mode: a conversion that would give NULL
-    raises, as does a text longer than its declared length. Columns that have
+    raises, as does one of numbers that would lose digits and a text longer than
+    its declared length. Columns that have
     the type already pass through untouched.
     """
     have = {f.name: f.dataType for f in df.schema}
@@ -187,6 +194,9 @@ def _fit(field: T.StructField, have: T.DataType, required: bool = False) -> str:
         branches.append(
             (f"{name} is not null and {value} is null", f"{name} does not fit {wanted}")
         )
+        if isinstance(have, T.NumericType) and isinstance(field.dataType, T.NumericType):
+            # Equal after the cast only if no digit was cut or rounded away.
+            branches.append((f"{value} <> {name}", f"{name} loses digits as {wanted}"))
     if not branches:
         return name
     checks = " ".join(f"when {when} then raise_error('{text}')" for when, text in branches)
