@@ -225,7 +225,7 @@ def summary_upsert(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def summary_stats(spark: SparkSession, folder: str) -> DataFrame:
     fact, _, dim_p = _mart(spark, folder)
-    return summary.summary_stats(summary.daily_summary(fact, dim_p), DAY)
+    return summary.summary_stats(summary.daily_summary(fact, dim_p, DAY), DAY)
 
 
 # --- views -----------------------------------------------------------------
@@ -305,7 +305,7 @@ def dq_report(spark: SparkSession, folder: str) -> DataFrame:
     checks = quality.report(
         quality.check_count(fact, DAY, incoming),
         quality.check_null_keys(fact, DAY),
-        quality.check_summary(summary.daily_summary(fact, dim_p), DAY),
+        quality.check_summary(summary.daily_summary(fact, dim_p, DAY), DAY),
     )
     return checks.select("check_name", "expected", "actual", "passed")
 
