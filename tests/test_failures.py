@@ -37,6 +37,58 @@ def test_date_with_only_orphans_is_emptied(spark, root):
     assert [r[0] for r in days.collect()] == ["2025-12-02"]
 
 
+def test_emptied_date_loses_its_summary_and_keeps_its_rejects(spark, root):
+    source = golden.source(spark)
+    jobs.run_daily(spark, source, root, golden.TODAY)
+    unknown = source.sales.withColumn("customer_id", F.lit(99).cast("bigint"))
+    jobs.run_daily(spark, replace(source, sales=unknown), root, golden.TODAY)
+    mart = jobs.Mart(spark, root)
+    assert mart.fact_sales.isEmpty() and mart.sales_summary_daily.isEmpty()
+    rejects = mart.fact_rejects.collect()
+    assert len(rejects) == 10 and {r.reason for r in rejects} == {"customer"}
+
+
+def test_load_checks_see_what_is_wrong(spark, root):
+    """Facts without parent, a stale summary, a missing one, and a row too many."""
+    source, at = golden.source(spark), datetime(2025, 1, 1, tzinfo=timezone.utc)
+    jobs.run_range(spark, source, root, "2025-12-01", golden.TODAY, at)
+    mart = jobs.Mart(spark, root)
+    loaded, stored = mart.fact_sales, mart.sales_summary_daily
+    parents = {
+        "customer_key": mart.dim_customers.where("customer_key > 1"),
+        "product_key": mart.dim_products,
+    }
+    day_off = stored.selectExpr("* except (summary_date)", "date_add(summary_date, 1) summary_date")
+
+    def actual(**given):
+        args = {"loaded": loaded, "summary": stored, "parents": parents, "accepted": 20} | given
+        checks = quality.check_load(day="2025-12-01", as_of=at, **args).collect()
+        return {c.check_name: (c.actual, c.passed) for c in checks}
+
+    assert actual() == {
+        "fact_count": (20, True),
+        "null_keys": (0, True),
+        "missing_summaries": (0, True),
+        "stale_summaries": (0, True),
+        "facts_without_parent": (4, False),
+    }
+    wrong = actual(summary=day_off, accepted=19)
+    assert wrong["missing_summaries"] == wrong["stale_summaries"] == (1, False)
+    assert wrong["fact_count"] == (20, False)
+    no_key = loaded.withColumn("product_key", F.lit(None).cast("bigint"))
+    assert actual(loaded=no_key)["null_keys"] == (20, False)
+
+
+def test_constraints_of_an_empty_and_a_skewed_table(spark):
+    parent = spark.range(1, 3).selectExpr("id k")
+    rows = spark.range(9000).selectExpr("id", "if(id % 3 = 0, 7L, if(id = 1, null, 1L)) k", "'x' t")
+    args = ("t", "id", ["k", "t"], {"k": parent})
+    found = {r[0]: r[1] for r in quality.constraint_violations(rows, *args).collect()}
+    assert found == {"t_pk_id": 0, "t_not_null_k": 1, "t_not_null_t": 0, "t_fk_k": 3000}
+    none = quality.constraint_violations(rows.where("1 = 0"), *args).collect()
+    assert {r[1] for r in none} == {0} and len(none) == 4
+
+
 def test_duplicate_natural_key(spark):
     first = dims.new_dim(golden.customers(spark), "customer_id", "customer_key")
     twice = first.unionByName(

@@ -84,6 +84,10 @@ def test_audit(spark):
     assert found["latest_messages"].count() == 20
     report = found["day_report"].collect()
     assert report and {r.rows_loaded for r in report} == {0}
+    latest = {r.operation_id for r in found["latest_execution"].collect()}
+    counted = {r.operation_id for r in found["message_type_counts"].collect()}
+    everyone = logs.messages.select("operation_id").distinct().count()
+    assert counted <= latest and 0 < len(counted) < everyone
     good = logs.executions.withColumn("status", F.lit(7))
     jobs.run_audit(jobs.Logs(good, logs.messages), stage, "2024-01-30", "2024-02-15")
 

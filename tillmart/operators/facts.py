@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -40,7 +41,12 @@ def fact_rows(sales: DataFrame, customer_map: DataFrame, product_map: DataFrame)
     return lookup_keys(sales, customer_map, product_map, "inner").select(*FACT_COLUMNS)
 
 
-def fact_rejects(sales: DataFrame, customer_map: DataFrame, product_map: DataFrame) -> DataFrame:
+def fact_rejects(
+    sales: DataFrame,
+    customer_map: DataFrame,
+    product_map: DataFrame,
+    more: Sequence[str] = (),
+) -> DataFrame:
     """Sales the fact load leaves out, with the dimension that has no row for them."""
     no_customer, no_product = F.col("customer_key").isNull(), F.col("product_key").isNull()
     reason = (
@@ -51,7 +57,7 @@ def fact_rejects(sales: DataFrame, customer_map: DataFrame, product_map: DataFra
     return (
         lookup_keys(sales, customer_map, product_map)
         .where(no_customer | no_product)
-        .select("sale_id", "customer_id", "product_id", reason.alias("reason"))
+        .select("sale_id", "customer_id", "product_id", reason.alias("reason"), *more)
     )
 
 

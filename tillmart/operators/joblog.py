@@ -164,8 +164,15 @@ def current_steps(activity: DataFrame) -> DataFrame:
     )
 
 
-def message_type_counts(messages: DataFrame) -> DataFrame:
-    """Errors, warnings and infos of every operation."""
+def of_operations(messages: DataFrame, executions: DataFrame) -> DataFrame:
+    """Messages of the operations of the given executions."""
+    return messages.join(executions.select("operation_id"), "operation_id", "left_semi")
+
+
+def message_type_counts(messages: DataFrame, operation_id: int | None = None) -> DataFrame:
+    """Errors, warnings and infos of every operation, or of one."""
+    if operation_id is not None:
+        messages = messages.where(F.col("operation_id") == operation_id)
 
     def count_of(code: int) -> Column:
         return F.count_if(F.col("message_type") == code)
@@ -269,16 +276,50 @@ def purge(
     return executions.where(~F.coalesce(old, F.lit(False)))
 
 
-def run_report(executions: DataFrame, messages: DataFrame) -> DataFrame:
-    """Newest execution of every operation with the number of its error messages."""
-    newest = _newest(executions, ["operation_id"], "execution_id")
+def run_report(executions: DataFrame, messages: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Newest execution of every operation: what ran when, its errors, the rows of its day.
+
+    ``loaded`` has the rows a load brought, by ``sale_date``. The executions are narrow, so
+    the newest is picked in one pass, without a second look at the table.
+    """
+    newest = (
+        executions.groupBy("operation_id")
+        .agg(
+            F.max_by(
+                F.struct(
+                    "execution_id",
+                    "folder_name",
+                    "project_name",
+                    "package_name",
+                    "status",
+                    "start_time",
+                    "end_time",
+                ),
+                "execution_id",
+            ).alias("_run")
+        )
+        .select("operation_id", "_run.*")
+        .withColumn("execution_date", F.col("start_time").cast("date"))
+    )
     errors = message_type_counts(messages).select("operation_id", "error_count")
-    return newest.join(errors, "operation_id", "left").select(
-        "operation_id",
-        "execution_id",
-        execution_status_text(F.col("status")).alias("status_text"),
-        duration_seconds().alias("duration_seconds"),
-        F.coalesce("error_count", F.lit(0)).alias("error_count"),
+    rows = loaded.groupBy(F.col("sale_date").alias("execution_date")).agg(
+        row_count().alias("rows_loaded")
+    )
+    return (
+        newest.join(errors, "operation_id", "left")
+        .join(rows, "execution_date", "left")
+        .select(
+            "operation_id",
+            "execution_id",
+            "execution_date",
+            "folder_name",
+            "project_name",
+            "package_name",
+            execution_status_text(F.col("status")).alias("status_text"),
+            duration_seconds().alias("duration_seconds"),
+            F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded"),
+            F.coalesce("error_count", F.lit(0)).alias("error_count"),
+        )
     )
 
 

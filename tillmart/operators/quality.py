@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmart.functions.decode import EXECUTION_SUCCEEDED
@@ -67,6 +67,82 @@ def check_null_keys(fact: DataFrame, day: date | str | None) -> DataFrame:
     return _check(counted, "null_keys", F.lit(0), day, F.col("actual") == 0)
 
 
+def check_facts(keyed: DataFrame, day: date | str | None, expected: Column | None = None) -> DataFrame:
+    """Row count and null keys in one pass over rows that went through the key lookup.
+
+    Without ``expected`` every row of ``keyed`` should have both keys; ``expected`` is an
+    aggregate over the rows otherwise.
+    """
+    rows = row_count()
+    found = _of_day(keyed, day).agg(
+        F.coalesce(rows if expected is None else expected, F.lit(0)).alias("wanted"),
+        F.count_if(~_has_null_key()).alias("fact_count"),
+        F.count_if(_has_null_key()).alias("null_keys"),
+    )
+    return _all_equal(found, {"fact_count": F.col("wanted"), "null_keys": F.lit(0)}, day)
+
+
+def _all_equal(found: DataFrame, wanted: Mapping[str, Column], day: date | str | None) -> DataFrame:
+    """One check per column of a single row of figures: it equals the wanted figure."""
+    figures = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("check_name"),
+                figure.cast("bigint").alias("expected"),
+                F.col(name).cast("bigint").alias("actual"),
+            )
+            for name, figure in wanted.items()
+        ]
+    )
+    return found.select(F.inline(figures)).select(
+        "check_name",
+        F.lit("error").alias("severity"),
+        (F.lit(None).cast("date") if day is None else as_date(day)).alias("subject_date"),
+        "expected",
+        "actual",
+        (F.col("expected") == F.col("actual")).alias("passed"),
+    )
+
+
+def check_load(
+    loaded: DataFrame,
+    summary: DataFrame,
+    parents: Mapping[str, DataFrame],
+    day: date | str | None,
+    as_of: datetime | str,
+    accepted: int,
+) -> DataFrame:
+    """The checks behind a load, over ``loaded``, the facts of the range it replaced.
+
+    Row count and null keys of the dates this load wrote, where a row left over from an
+    earlier load shows as a wrong count; facts whose key has no row in its dimension, as
+    a dimension reload can leave behind (a warning: history is kept); dates with facts but
+    without a summary; summaries of the range without facts. ``summary`` is cut to the range.
+    """
+    mine = F.col("loaded_at") == F.lit(str(as_of)).cast("timestamp")
+    dates = loaded.groupBy("sale_date").agg(
+        row_count().alias("rows"),
+        F.count_if(mine).alias("mine"),
+        F.count_if(_has_null_key()).alias("no_key"),
+    )
+    wrote = F.col("mine") > 0
+    figures = dates.agg(
+        F.coalesce(F.sum(F.when(wrote, F.col("rows"))), F.lit(0)).alias("fact_count"),
+        F.coalesce(F.sum(F.when(wrote, F.col("no_key"))), F.lit(0)).alias("null_keys"),
+    )
+    checks = report(
+        _all_equal(figures, {"fact_count": F.lit(accepted), "null_keys": F.lit(0)}, day),
+        check_missing_summaries(loaded.where(mine), summary, day),
+        check_stale_summaries(loaded, summary, day),
+    )
+    orphans = constraint_violations(loaded, "fact", foreign_keys=parents).agg(
+        F.sum("violations").alias("actual")
+    )
+    return checks.unionByName(
+        _check(orphans, "facts_without_parent", F.lit(0), day, F.col("actual") == 0, "warn")
+    )
+
+
 def check_summary(summary: DataFrame, day: date | str) -> DataFrame:
     """The day has a summary row."""
     counted = rows_of_day(summary, day, "summary_date").agg(row_count().alias("actual"))
@@ -87,9 +163,24 @@ def missing_summaries(fact: DataFrame, summary: DataFrame) -> DataFrame:
     )
 
 
-def check_missing_summaries(fact: DataFrame, summary: DataFrame) -> DataFrame:
+def check_missing_summaries(
+    fact: DataFrame, summary: DataFrame, day: date | str | None = None
+) -> DataFrame:
     counted = missing_summaries(fact, summary).agg(row_count().alias("actual"))
-    return _check(counted, "missing_summaries", F.lit(0), None, F.col("actual") == 0)
+    return _check(counted, "missing_summaries", F.lit(0), day, F.col("actual") == 0)
+
+
+def stale_summaries(fact: DataFrame, summary: DataFrame) -> DataFrame:
+    """Dates that have a summary but no facts."""
+    dates = fact.select(F.col("sale_date").alias("summary_date")).distinct()
+    return summary.select("summary_date").join(dates, "summary_date", "left_anti")
+
+
+def check_stale_summaries(
+    fact: DataFrame, summary: DataFrame, day: date | str | None = None
+) -> DataFrame:
+    counted = stale_summaries(fact, summary).agg(row_count().alias("actual"))
+    return _check(counted, "stale_summaries", F.lit(0), day, F.col("actual") == 0)
 
 
 def load_verification(
@@ -107,6 +198,12 @@ def check_loaded(table: DataFrame, day: date | str) -> DataFrame:
     return _check(counted, "rows_loaded", F.lit(1), day, F.col("actual") > 0)
 
 
+def check_any_rows(spark: SparkSession, day: date | str, loaded: int) -> DataFrame:
+    """A load that brought no rows is a warning."""
+    counted = spark.range(1).select(F.lit(loaded).alias("actual"))
+    return _check(counted, "no_data", F.lit(1), day, F.col("actual") > 0, "warn")
+
+
 def warn_if_empty(stage: DataFrame, day: date | str) -> DataFrame:
     """As ``check_loaded``, but an empty day is only a warning."""
     counted = rows_of_day(stage, day).agg(row_count().alias("actual"))
@@ -162,38 +259,53 @@ def constraint_violations(
     """Violations per declared constraint of one table: (constraint_name, violations).
 
     A primary key counts its repeated values, NOT NULL its rows, a foreign key the
-    rows without a parent. Foreign keys are counted per value before the parent
-    joins, so a value on a third of all rows is a single row in the join.
+    rows without a parent; keys are whole numbers. The table is read once: every row
+    gives one (column, value) pair per constrained column, and the pairs are summed up
+    before the shuffle and before the parents join, so a value on a third of all rows
+    is a single row there. Of a column that is only required, the value is left out.
     """
-    results: list[DataFrame] = []
-    if primary_key:
-        repeated = duplicate_keys(df, [primary_key]).agg(row_count().alias("violations"))
-        label = F.lit(f"{name}_pk_{primary_key}").alias("constraint_name")
-        results.append(repeated.select(label, "violations"))
-    if required:
-        # One scan for all columns, then one row per column.
-        counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])
-        results.append(
-            counted.unpivot([], list(required), "column", "violations").select(
-                F.concat(F.lit(f"{name}_not_null_"), "column").alias("constraint_name"),
-                "violations",
+    parents = dict(foreign_keys or {})
+    keys = dict.fromkeys([*([primary_key] if primary_key else []), *parents])
+    pairs = F.array(
+        *[
+            F.struct(
+                F.lit(column).alias("column"),
+                (
+                    F.col(column).cast("bigint")
+                    if column in keys
+                    else F.when(F.col(column).isNotNull(), F.lit(0).cast("bigint"))
+                ).alias("value"),
             )
-        )
-    for column, parent in (foreign_keys or {}).items():
-        orphans = (
-            df.where(F.col(column).isNotNull())
-            .groupBy(column)
-            .agg(row_count().alias("rows"))
-            .join(parent.select(column), column, "left_anti")
-            .agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations"))
-        )
-        results.append(
-            orphans.select(F.lit(f"{name}_fk_{column}").alias("constraint_name"), "violations")
-        )
-    combined = results[0]
-    for frame in results[1:]:
-        combined = combined.unionByName(frame)
-    return combined
+            for column in dict.fromkeys([*keys, *required])
+        ]
+    )
+    counts = df.select(F.inline(pairs)).groupBy("column", "value").agg(row_count().alias("rows"))
+    known = F.lit(True)
+    if parents:
+        given = None
+        for column, parent in parents.items():
+            ids = parent.select(
+                F.lit(column).alias("column"), F.col(column).cast("bigint").alias("value")
+            )
+            given = ids if given is None else given.unionByName(ids)
+        given = given.distinct().withColumn("known", F.lit(True))
+        counts, known = counts.join(given, ["column", "value"], "left"), F.col("known")
+
+    def rows_where(column: str, condition: Column) -> Column:
+        hit = (F.col("column") == column) & condition
+        return F.coalesce(F.sum(F.when(hit, F.col("rows"))), F.lit(0))
+
+    found: dict[str, Column] = {}
+    if primary_key:
+        repeated = (F.col("column") == primary_key) & (F.col("rows") > 1)
+        found[f"{name}_pk_{primary_key}"] = F.count_if(repeated)
+    for column in required:
+        found[f"{name}_not_null_{column}"] = rows_where(column, F.col("value").isNull())
+    for column in parents:
+        orphan = F.col("value").isNotNull() & known.isNull()
+        found[f"{name}_fk_{column}"] = rows_where(column, orphan)
+    figures = counts.agg(*[count.alias(label) for label, count in found.items()])
+    return figures.unpivot([], list(found), "constraint_name", "violations")
 
 
 def report(*checks: DataFrame) -> DataFrame:

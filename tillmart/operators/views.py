@@ -86,21 +86,27 @@ def customer_value(
     Customers equal in all three are merged, so their purchase days are a union
     and cannot be added up per key. The facts are therefore grouped by a number
     that stands for the merged customer, which keeps the three texts out of the
-    large shuffles; the texts join at the end.
+    large shuffles; the texts join at the end. They are first summed by customer and
+    day, so the join with the customers sees a row per customer and day.
     """
     groups = dim_customers.groupBy(*by).agg(F.min("customer_key").alias("_group"))
     members = dim_customers.alias("d").join(
         groups.alias("g"),
         [F.col(f"d.{name}").eqNullSafe(F.col(f"g.{name}")) for name in by],
     )
+    days = fact.groupBy("customer_key", "sale_date").agg(
+        row_count().alias("_orders"),
+        F.sum("quantity").alias("_items"),
+        cents_sum("total_amount").alias("_cents"),
+    )
     valued = (
-        fact.join(members.select("customer_key", "_group"), "customer_key")
+        days.join(members.select("customer_key", "_group"), "customer_key")
         .groupBy("_group")
         .agg(
             F.countDistinct("sale_date").alias("purchase_days"),
-            row_count().alias("total_orders"),
-            whole_sum("quantity").alias("total_items_purchased"),
-            cents_sum("total_amount").alias("_cents"),
+            whole_sum("_orders").alias("total_orders"),
+            whole_sum("_items").alias("total_items_purchased"),
+            F.sum("_cents").alias("_cents"),
             F.max("sale_date").alias("last_purchase_date"),
         )
     )

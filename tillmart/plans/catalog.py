@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmart.functions.timefmt import as_date, as_timestamp, plus_seconds
@@ -19,6 +20,7 @@ from tillmart.operators import (
     summary,
     views,
 )
+from tillmart.plans import jobs
 from tillmart.session import scratch_dir
 from tillmart.sources import adapters, extracts
 from tillmart.sources.adapters import table
@@ -26,7 +28,6 @@ from tillmart.streaming import run_status
 
 DAY = "1997-06-15"
 RANGE_START, RANGE_END = "1997-06-01", "1997-06-30"
-SAMPLE_TODAY = "2025-12-02"
 LOG_AS_OF = "2024-02-15 00:00:00"
 LOG_DAY = "2024-01-30"
 
@@ -60,11 +61,10 @@ def _mart(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataF
     return _fact(spark, folder, dim_c, dim_p), dim_c, dim_p
 
 
-def _reduced_dims(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Dimensions with some ids missing, so that sales without a match exist."""
-    dim_c = _dim_customers(spark, folder).where(F.col("customer_id") % 97 != 0)
-    dim_p = _dim_products(spark, folder).where(F.col("product_id") % 89 != 0)
-    return dim_c, dim_p
+def _keyed(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales behind the key lookup, of which some have no row in a dimension."""
+    dim_c, dim_p = _dim_customers(spark, folder), _dim_products(spark, folder)
+    return facts.lookup_keys(adapters.unmatched_sales(spark, folder), dim_c, dim_p)
 
 
 # --- extracts --------------------------------------------------------------
@@ -96,22 +96,6 @@ def sales_by_date_range(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
-def sample_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Sample rows from a template with one row per product of the given table."""
-    products = adapters.products(spark, folder)
-    template = products.select(
-        F.col("product_id").alias("n"),
-        (F.col("product_id") % 5 + 1).alias("customer_id"),
-        "product_id",
-        F.col("stock_quantity").alias("quantity"),
-        "unit_price",
-        (F.col("unit_price") * F.col("stock_quantity")).alias("total_amount"),
-    )
-    stride = products.agg(F.max("product_id") + 1).scalar()
-    return extracts.sample_sales(template, SAMPLE_TODAY, stride)
-
-
 @query
 def row_counts(spark: SparkSession, folder: str) -> DataFrame:
     return extracts.row_counts(
@@ -145,8 +129,11 @@ def dim_key_map(spark: SparkSession, folder: str) -> DataFrame:
 def dim_surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
     ids = adapters.customers(spark, folder).select("customer_id")
     even = ids.where(F.col("customer_id") % 2 == 0)
-    existing = dims.dense_index(even, "customer_id", "customer_key")
-    return dims.assign_keys(ids, "customer_id", "customer_key", existing)
+    given = dims.dense_index(even, "customer_id", "customer_key")
+    # The customer with the largest key leaves and comes back: it gets a new key.
+    highest = dims.highest_key(given, "customer_key")
+    existing = given.where(F.col("customer_key") < highest)
+    return dims.assign_keys(ids, "customer_id", "customer_key", existing, highest)
 
 
 # --- facts -----------------------------------------------------------------
@@ -154,20 +141,20 @@ def dim_surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def fact_load(spark: SparkSession, folder: str) -> DataFrame:
-    return facts.fact_rows(adapters.sales(spark, folder), *_reduced_dims(spark, folder))
+    sales = adapters.unmatched_sales(spark, folder)
+    return facts.fact_rows(sales, _dim_customers(spark, folder), _dim_products(spark, folder))
 
 
 @query
 def fact_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    return facts.fact_rejects(adapters.sales(spark, folder), *_reduced_dims(spark, folder))
+    sales = adapters.unmatched_sales(spark, folder)
+    return facts.fact_rejects(sales, _dim_customers(spark, folder), _dim_products(spark, folder))
 
 
 @query
 def fact_replace_by_date(spark: SparkSession, folder: str) -> DataFrame:
     sales = adapters.sales(spark, folder).select("sale_id", "sale_date", "quantity", "total_amount")
-    existing = extracts.sales_between(sales, RANGE_START, RANGE_END).withColumn(
-        "quantity", F.col("quantity") + 1
-    )
+    existing = sales.withColumn("quantity", F.col("quantity") + 1)
     incoming = extracts.sales_between(sales, "1997-06-10", "1997-06-20")
     return facts.replace_by_date(existing, incoming)
 
@@ -300,34 +287,29 @@ def load_verification(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dq_report(spark: SparkSession, folder: str) -> DataFrame:
-    fact, _, dim_p = _mart(spark, folder)
-    incoming = extracts.rows_of_day(adapters.sales(spark, folder), DAY)
-    checks = quality.report(
-        quality.check_count(fact, DAY, incoming),
-        quality.check_null_keys(fact, DAY),
-        quality.check_summary(summary.daily_summary(fact, dim_p, DAY), DAY),
-    )
+    keyed = _keyed(spark, folder)
+    fact = keyed.where(F.col("customer_key").isNotNull() & F.col("product_key").isNotNull())
+    by_day = summary.daily_summary(fact, _dim_products(spark, folder), DAY)
+    checks = quality.report(quality.check_facts(keyed, DAY), quality.check_summary(by_day, DAY))
     return checks.select("check_name", "expected", "actual", "passed")
 
 
 @query
 def dq_null_keys(spark: SparkSession, folder: str) -> DataFrame:
-    keyed = facts.lookup_keys(adapters.sales(spark, folder), *_reduced_dims(spark, folder))
-    return quality.null_key_counts(keyed)
+    return quality.null_key_counts(_keyed(spark, folder))
 
 
 @query
 def dq_missing_summaries(spark: SparkSession, folder: str) -> DataFrame:
     fact, _, dim_p = _mart(spark, folder)
-    early = summary.daily_summary(fact, dim_p).where(
-        F.col("summary_date") < as_date("1998-01-01")
-    )
-    return quality.missing_summaries(fact, early)
+    # A summary that has not caught up with the facts of the last year.
+    behind = summary.daily_summary(fact.where(F.col("sale_date") < as_date("1998-01-01")), dim_p)
+    return quality.missing_summaries(fact, behind)
 
 
 @query
 def dq_constraints(spark: SparkSession, folder: str) -> DataFrame:
-    sales = adapters.sales(spark, folder)
+    sales = adapters.flawed_sales(spark, folder)
     customers, products = adapters.customers(spark, folder), adapters.products(spark, folder)
     return (
         quality.constraint_violations(
@@ -335,10 +317,7 @@ def dq_constraints(spark: SparkSession, folder: str) -> DataFrame:
             "sales",
             "sale_id",
             ["customer_id", "product_id", "quantity", "unit_price", "total_amount", "sale_date"],
-            {
-                "customer_id": customers.where(F.col("customer_id") % 97 != 0),
-                "product_id": products.where(F.col("product_id") % 89 != 0),
-            },
+            {"customer_id": customers, "product_id": products},
         )
         .unionByName(
             quality.constraint_violations(
@@ -353,6 +332,73 @@ def dq_constraints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- the stored mart -------------------------------------------------------
+
+FIRST_LOAD, SECOND_LOAD = "2024-05-01 00:00:00", "2024-05-02 00:00:00"
+
+
+def _stored_mart(spark: SparkSession, folder: str) -> jobs.Mart:
+    """A mart in the scratch folder: all dates loaded, then one month again by the jobs."""
+    root = scratch_dir(spark, "mart")
+    source = jobs.Source(
+        adapters.customers(spark, folder),
+        adapters.products(spark, folder),
+        adapters.unmatched_sales(spark, folder),
+    )
+    for start, end, at in (
+        ("1990-01-01", "2010-12-31", FIRST_LOAD),
+        (RANGE_START, RANGE_END, SECOND_LOAD),
+    ):
+        as_of = datetime.fromisoformat(at).replace(tzinfo=timezone.utc)
+        jobs.run_range(spark, source, root, start, end, as_of)
+    return jobs.Mart(spark, root)
+
+
+def _stamp(name: str) -> Column:
+    return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
+
+
+@query
+def mart_facts(spark: SparkSession, folder: str) -> DataFrame:
+    fact = _stored_mart(spark, folder).fact_sales
+    return fact.select(*facts.FACT_COLUMNS, _stamp("loaded_at"))
+
+
+@query
+def mart_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """Summaries as stored: a month loaded again keeps its ``loaded_at``."""
+    stored = _stored_mart(spark, folder).sales_summary_daily
+    return stored.withColumns({n: _stamp(n) for n in ("loaded_at", "updated_at")})
+
+
+@query
+def mart_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Rejects as stored, one set per load, with the counts of the run log beside them."""
+    mart = _stored_mart(spark, folder)
+    runs = mart.etl_log.groupBy("execution_date").agg(
+        F.max("status").alias("status"),
+        F.max(F.col("rows_extracted") - F.col("rows_loaded")).alias("rows_rejected"),
+    )
+    first = F.when(F.col("loaded_at") == F.lit(FIRST_LOAD).cast("timestamp"), "1990-01-01")
+    return (
+        mart.fact_rejects.withColumn(
+            "execution_date", first.otherwise(RANGE_START).cast("date")
+        )
+        .join(runs, "execution_date")
+        .withColumn("loaded_at", _stamp("loaded_at"))
+    )
+
+
+@query
+def mart_stage(spark: SparkSession, folder: str) -> DataFrame:
+    """The staging table after a batch of all sales and one of a single day."""
+    root = scratch_dir(spark, "mart")
+    source = jobs.Source.from_parquet(spark, folder)
+    jobs.run_staging(spark, source, root, "Production", 1)
+    jobs.run_staging(spark, source, root, "Test", 2, day=DAY)
+    return jobs.Mart(spark, root).stage_sales.drop("load_timestamp")
+
+
 # --- run log ---------------------------------------------------------------
 
 
@@ -424,11 +470,18 @@ def latest_run_per_job(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def latest_execution(spark: SparkSession, folder: str) -> DataFrame:
-    executions = adapters.executions(spark, folder)
-    newest = joblog.latest_execution(executions, LOG_DAY, folder="Retail")
-    folders = executions.select("folder_name").distinct()
-    return joblog.in_folders(newest, folders).select(
-        "project_name", "package_name", "execution_id", "status", "status_text", "duration_seconds"
+    newest = joblog.latest_execution(adapters.executions(spark, folder), LOG_DAY)
+    ours = adapters.folders(spark, folder).where(F.col("owner") != "EUROPE")
+    return joblog.in_folders(newest, ours).select(
+        "execution_id",
+        "folder_name",
+        "project_name",
+        "package_name",
+        "status",
+        "status_text",
+        "start_time",
+        "end_time",
+        "duration_seconds",
     )
 
 
@@ -479,7 +532,11 @@ def retention_candidates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def run_report(spark: SparkSession, folder: str) -> DataFrame:
-    return joblog.run_report(adapters.executions(spark, folder), adapters.messages(spark, folder))
+    return joblog.run_report(
+        adapters.executions(spark, folder),
+        adapters.messages(spark, folder),
+        adapters.events_per_day(spark, folder),
+    )
 
 
 @query

@@ -65,6 +65,10 @@ class Mart:
             return tables.read_facts(self.spark, self.path("fact_sales"), start)
         return extracts.sales_between(self.fact_sales, start, end)
 
+    @property
+    def fact_rejects(self) -> DataFrame:
+        return tables.read_rows(self.spark, self.path("fact_rejects"), schemas.FACT_REJECTS)
+
     @property
     def sales_summary_daily(self) -> DataFrame:
         return self._small("sales_summary_daily", schemas.SALES_SUMMARY_DAILY)
@@ -145,30 +149,52 @@ def load_facts(
     """Replace the facts of all dates in the range that have sales.
 
     The rows are counted as the last stage writes them, where a task that runs
-    again counts once. Rejected rows travel as far as that stage for the count.
+    again counts once. Only when some were rejected is the source read again, to
+    store them in ``fact_rejects``; a date left with rejects alone loses its facts.
     """
     accepted = F.col("customer_key").isNotNull() & F.col("product_key").isNotNull()
     seen = Observation()
-    keyed = facts.lookup_keys(
-        extracts.sales_between(source.sales, start, end), mart.dim_customers, mart.dim_products
-    )
+    sales = extracts.sales_between(source.sales, start, end)
+    keyed = facts.lookup_keys(sales, mart.dim_customers, mart.dim_products)
     # Files of about equal size per date; AQE splits a date far larger than the rest.
     spread = keyed.hint("rebalance", "sale_date").observe(
-        seen,
-        row_count().alias("extracted"),
-        F.count_if(accepted).alias("accepted"),
-        F.collect_set("sale_date").alias("dates"),
-        F.collect_set(F.when(accepted, F.col("sale_date"))).alias("loaded_dates"),
+        seen, row_count().alias("extracted"), F.count_if(accepted).alias("accepted")
     )
     rows = facts.with_fact_columns(spread.where(accepted), as_of)
     path = mart.path("fact_sales")
     tables.write_fact_dates(schemas.enforce(rows, schemas.FACT_SALES), path)
     counts = seen.get
-    emptied = set(counts["dates"]) - set(counts["loaded_dates"])
-    tables.drop_fact_dates(mart.spark, path, emptied)
+    rejected = counts["extracted"] - counts["accepted"]
+    emptied: list[date] = []
+    if rejected:
+        emptied = _store_rejects(mart, sales, start, end, as_of, rejected)
+        tables.drop_fact_dates(mart.spark, path, emptied)
     return {"extracted": counts["extracted"], "accepted": counts["accepted"], "emptied": emptied}
 
 
+def _store_rejects(
+    mart: Mart,
+    sales: DataFrame,
+    start: date | str,
+    end: date | str,
+    as_of: datetime,
+    rejected: int,
+) -> list[date]:
+    """Append the rejects of this load and return the dates that have nothing else."""
+    stamp = F.lit(str(as_of)).cast("timestamp")
+    rows = facts.fact_rejects(sales, mart.dim_customers, mart.dim_products, ["sale_date"])
+    tables.append_rows(
+        rows.withColumn("loaded_at", stamp), mart.path("fact_rejects"), schemas.FACT_REJECTS
+    )
+    stored = mart.fact_rejects.where(F.col("loaded_at") == stamp)
+    if stored.count() != rejected:
+        raise quality.CheckFailed("the sales changed while they were loaded")
+    written = mart.facts_between(start, end).where(F.col("loaded_at") == stamp)
+    # At most one row per day of the range.
+    alone = stored.select("sale_date").distinct().join(written, "sale_date", "left_anti")
+    return [row["sale_date"] for row in alone.collect()]
+
+
 def load_summary(
     mart: Mart, loaded: DataFrame, as_of: datetime, emptied: Collection[date] = ()
 ) -> None:
@@ -188,54 +214,21 @@ def load_summary(
 
 
 def load_checks(
-    mart: Mart, loaded: DataFrame, day: date | str, as_of: datetime, accepted: int
+    mart: Mart,
+    loaded: DataFrame,
+    start: date | str,
+    end: date | str,
+    as_of: datetime,
+    accepted: int,
 ) -> DataFrame:
-    """Checks of the dates this load replaced: row count, null keys, summaries.
-
-    One pass over the facts of the range. A row left over from an earlier load of a replaced
-    date shows as a wrong count.
-    """
-    mine = F.col("loaded_at") == F.lit(str(as_of)).cast("timestamp")
-    no_key = F.col("customer_key").isNull() | F.col("product_key").isNull()
-    days = (
-        loaded.groupBy("sale_date")
-        .agg(
-            row_count().alias("rows"),
-            F.count_if(mine).alias("mine"),
-            F.count_if(no_key).alias("no_key"),
-        )
-        .where(F.col("mine") > 0)
-    )
-    summarised = mart.sales_summary_daily.select(
-        F.col("summary_date").alias("sale_date"), F.lit(True).alias("has_summary")
-    )
-    found = days.join(summarised, "sale_date", "left").agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("fact_count"),
-        F.coalesce(F.sum("no_key"), F.lit(0)).alias("null_keys"),
-        F.count_if(F.col("has_summary").isNull()).alias("missing_summaries"),
-    )
-    expected = F.when(F.col("check_name") == "fact_count", F.lit(accepted)).otherwise(F.lit(0))
-    checks = (
-        found.unpivot([], ["fact_count", "null_keys", "missing_summaries"], "check_name", "actual")
-        .withColumn("expected", expected.cast("bigint"))
-        .select(
-            "check_name",
-            F.lit("error").alias("severity"),
-            F.lit(str(day)).cast("date").alias("subject_date"),
-            "expected",
-            "actual",
-            (F.col("expected") == F.col("actual")).alias("passed"),
-        )
-    )
-    no_data = mart.spark.range(1).select(
-        F.lit("no_data").alias("check_name"),
-        F.lit("warn").alias("severity"),
-        F.lit(str(day)).cast("date").alias("subject_date"),
-        F.lit(1).cast("bigint").alias("expected"),
-        F.lit(accepted).cast("bigint").alias("actual"),
-        F.lit(accepted > 0).alias("passed"),
-    )
-    return checks.unionByName(no_data)
+    """Checks of the range this load replaced, and a warning when it brought nothing."""
+    parents = {
+        "customer_key": mart.dim_customers.select("customer_key"),
+        "product_key": mart.dim_products.select("product_key"),
+    }
+    summaries = extracts.sales_between(mart.sales_summary_daily, start, end, "summary_date")
+    checks = quality.check_load(loaded, summaries, parents, start, as_of, accepted)
+    return checks.unionByName(quality.check_any_rows(mart.spark, start, accepted))
 
 
 def run_range(
@@ -263,11 +256,11 @@ def run_range(
             log.warning("no sales from %s to %s", start, end)
         rejected = counts["extracted"] - counts["accepted"]
         if rejected:
-            log.warning("%d sales without a dimension row were left out", rejected)
+            log.warning("%d sales without a dimension row are in fact_rejects", rejected)
         loaded = mart.facts_between(start, end)
         load_summary(mart, loaded, at, counts["emptied"])
         checks = quality.raise_on_failure(
-            load_checks(mart, loaded, start, at, counts["accepted"])
+            load_checks(mart, loaded, start, end, at, counts["accepted"])
         )
     except Exception as error:
         runlog.update_run(
@@ -378,14 +371,16 @@ def run_audit(
                 f"execution {first.execution_id} ended as {first.status_text}: "
                 + "; ".join(first.errors)
             )
+    # The messages of the verified executions only, not of other operations.
+    messages = joblog.of_operations(logs.messages, latest)
     return {
         "latest_execution": latest,
         "failures": failures,
-        "message_type_counts": joblog.message_type_counts(logs.messages),
+        "message_type_counts": joblog.message_type_counts(messages),
         "stage_rows": quality.warn_if_empty(stage, day),
-        "component_stats": joblog.component_stats(logs.messages),
-        "latest_messages": joblog.latest_messages(logs.messages),
-        "run_report": joblog.run_report(logs.executions, logs.messages),
+        "component_stats": joblog.component_stats(messages),
+        "latest_messages": joblog.latest_messages(messages),
+        "run_report": joblog.run_report(logs.executions, logs.messages, stage),
         "day_report": joblog.day_report(latest, extracts.rows_of_day(stage, day), day),
         "retention": joblog.purge(logs.executions, as_of),
     }

@@ -43,8 +43,35 @@ _RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
         """select row_number() over (order by product_id) product_key, product_id, product_name,
                   category, unit_price from products""",
     ),
-    "dimc_less": (("dimc",), "select * from dimc where customer_id % 97 <> 0"),
-    "dimp_less": (("dimp",), "select * from dimp where product_id % 89 <> 0"),
+    "unmatched": (
+        ("sales",),
+        """select * replace (case when customer_id % 7 = 0 then -customer_id else customer_id end
+                                 as customer_id,
+                             case when product_id % 11 = 0 then -product_id else product_id end
+                                 as product_id)
+           from sales""",
+    ),
+    "flawed": (
+        ("unmatched",),
+        """select * replace (case when sale_id % 10 = 7 then sale_id - 1 else sale_id end as sale_id,
+                             case when sale_id % 10 = 5 then null else quantity end as quantity,
+                             case when sale_id % 10 = 4 then null else product_id end as product_id)
+           from unmatched""",
+    ),
+    "matched": (
+        ("unmatched", "dimc", "dimp"),
+        """select sale_id, customer_key, product_key, sale_date, quantity, s.unit_price,
+                  total_amount
+           from unmatched s join dimc using (customer_id) join dimp using (product_id)""",
+    ),
+    "rejected": (
+        ("unmatched", "dimc", "dimp"),
+        """select sale_id, s.customer_id, s.product_id, sale_date, customer_key, product_key,
+                  case when customer_key is null and product_key is null then 'both'
+                       when customer_key is null then 'customer' else 'product' end reason
+           from unmatched s left join dimc c on s.customer_id = c.customer_id
+                            left join dimp p on s.product_id = p.product_id""",
+    ),
     "fact": (
         ("sales", "dimc", "dimp"),
         """select sale_id, customer_key, product_key, sale_date, quantity, s.unit_price,
@@ -82,7 +109,8 @@ _RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "executions": (
         (),
-        """select event_id execution_id, user_id operation_id, 'Retail' folder_name,
+        """select event_id execution_id, user_id operation_id,
+                  concat('folder_', cast(user_id % 4 as varchar)) folder_name,
                   concat('project_', cast(user_id % 5 as varchar)) project_name,
                   concat('package_', cast(user_id % 3 as varchar)) package_name,
                   case event_type when 'error' then 4 when 'click' then 2 when 'view' then 9
@@ -121,7 +149,10 @@ _RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
         (),
         """select event_id log_id, event_type dag_id,
                   concat('task_', cast(user_id % 4 as varchar)) task_id,
-                  cast(ts as date) execution_date, ts start_time, 'STARTED' status,
+                  cast(ts as date) execution_date, ts start_time,
+                  case when event_id % 5 = 1 then ts + to_seconds(30) end end_time,
+                  case event_id % 5 when 1 then 'SUCCESS' when 2 then 'FAILED'
+                                    else 'STARTED' end status,
                   cast(event_id % 1000 as bigint) rows_extracted,
                   case when event_id % 3 = 0 then null else cast(event_id % 900 as bigint) end
                       rows_loaded
@@ -163,13 +194,13 @@ def _sql(reads: str, body: str) -> str:
         f"{name} as ({_RELATIONS[name][1].replace('{measures_by_key}', _measures('customer_key'))})"
         for name in ordered
     ]
+    if ctes and body.startswith("with "):
+        return "with " + ",\n".join(ctes) + ",\n" + body.removeprefix("with ")
     return ("with " + ",\n".join(ctes) + "\n" if ctes else "") + body
 
 
 _DAY = "date '1997-06-15'"
-_REJECTED = """select sale_id, s.customer_id, s.product_id, sale_date, customer_key, product_key
-    from sales s left join dimc_less c on s.customer_id = c.customer_id
-                 left join dimp_less p on s.product_id = p.product_id"""
+_NO_KEY = "customer_key is null or product_key is null"
 _ANALYSIS = """sale_date, customer_name, city, country, product_name, category, quantity,
     f.unit_price, total_amount"""
 _TOP = """select product_name, category, count(*) total_orders,
@@ -179,6 +210,10 @@ _TOP = """select product_name, category, count(*) total_orders,
 _LATEST = "row_number() over (partition by {by} order by {order} desc) rn"
 
 
+_LOADED = """case when {day} between date '1997-06-01' and date '1997-06-30'
+    then '2024-05-02 00:00:00' else '2024-05-01 00:00:00' end"""
+
+
 def _violations(name: str, table: str, pk: str, required: list[str]) -> str:
     parts = [
         f"""select '{name}_pk_{pk}' constraint_name, count(*) violations
@@ -205,15 +240,6 @@ ORACLE: dict[str, str] = {
            where sale_date between date '1997-06-01' and date '1997-06-30'
            order by sale_date desc, sale_id""",
     ),
-    "sample_sales": _sql(
-        "products",
-        """select cast(d * (select max(product_id) + 1 from products) + product_id as bigint) sale_id,
-                  cast(product_id % 5 + 1 as bigint) customer_id, product_id,
-                  stock_quantity quantity, unit_price,
-                  cast(unit_price * stock_quantity as decimal(10,2)) total_amount,
-                  cast(date '2025-12-02' - cast(d as int) as date) sale_date
-           from products, range(7) t(d)""",
-    ),
     "row_counts": _sql(
         "customers products sales",
         """select 'customers' table_name, count(*) row_count from customers
@@ -225,31 +251,24 @@ ORACLE: dict[str, str] = {
     "dim_key_map": _sql("dimp", "select product_id, product_key from dimp"),
     "dim_surrogate_keys": _sql(
         "customers",
-        """select customer_id, row_number() over (order by customer_id) customer_key
-           from customers where customer_id % 2 = 0
+        """with even as (
+               select customer_id, row_number() over (order by customer_id) customer_key
+               from customers where customer_id % 2 = 0),
+           kept as (select * from even where customer_key < (select max(customer_key) from even))
+           select * from kept
            union all
            select customer_id, row_number() over (order by customer_id)
-                  + (select count(*) from customers where customer_id % 2 = 0)
-           from customers where customer_id % 2 <> 0""",
-    ),
-    "fact_load": _sql(
-        "sales dimc_less dimp_less",
-        """select sale_id, customer_key, product_key, sale_date, quantity, s.unit_price,
-                  total_amount
-           from sales s join dimc_less using (customer_id) join dimp_less using (product_id)""",
+                  + (select max(customer_key) from even)
+           from customers where customer_id not in (select customer_id from kept)""",
     ),
+    "fact_load": _sql("matched", "select * from matched"),
     "fact_rejects": _sql(
-        "sales dimc_less dimp_less",
-        f"""select sale_id, customer_id, product_id,
-                   case when customer_key is null and product_key is null then 'both'
-                        when customer_key is null then 'customer' else 'product' end reason
-            from ({_REJECTED}) where customer_key is null or product_key is null""",
+        "rejected", f"select sale_id, customer_id, product_id, reason from rejected where {_NO_KEY}"
     ),
     "fact_replace_by_date": _sql(
         "sales",
         """select sale_id, sale_date, quantity + 1 quantity, total_amount from sales
-           where sale_date between date '1997-06-01' and date '1997-06-30'
-             and sale_date not in (select sale_date from sales
+           where sale_date not in (select sale_date from sales
                  where sale_date between date '1997-06-10' and date '1997-06-20')
            union all
            select sale_id, sale_date, quantity, total_amount from sales
@@ -341,23 +360,22 @@ ORACLE: dict[str, str] = {
             where sale_date = {_DAY}""",
     ),
     "dq_report": _sql(
-        "sales fact summaries",
+        "rejected matched",
         f"""select check_name, expected, actual, expected = actual passed from (
               select 'fact_count' check_name,
-                     (select count(*) from sales where sale_date = {_DAY}) expected,
-                     (select count(*) from fact where sale_date = {_DAY}) actual
+                     (select count(*) from rejected where sale_date = {_DAY}) expected,
+                     (select count(*) from matched where sale_date = {_DAY}) actual
               union all
-              select 'null_keys', 0, (select count(*) from fact where sale_date = {_DAY}
-                                      and (customer_key is null or product_key is null))
+              select 'null_keys', 0,
+                     (select count(*) from rejected where sale_date = {_DAY} and ({_NO_KEY}))
               union all
               select 'summary_exists', 1,
-                     (select count(*) from summaries where summary_date = {_DAY}))""",
+                     (select count(distinct sale_date) from matched where sale_date = {_DAY}))""",
     ),
     "dq_null_keys": _sql(
-        "sales dimc_less dimp_less",
-        f"""select sale_date,
-                   count(*) filter (where customer_key is null or product_key is null) null_count
-            from ({_REJECTED}) group by sale_date""",
+        "rejected",
+        f"""select sale_date, count(*) filter (where {_NO_KEY}) null_count
+            from rejected group by sale_date""",
     ),
     "dq_missing_summaries": _sql(
         "fact summaries",
@@ -365,26 +383,66 @@ ORACLE: dict[str, str] = {
            (select summary_date from summaries where summary_date < date '1998-01-01')""",
     ),
     "dq_constraints": _sql(
-        "sales customers products",
+        "flawed customers products",
         _violations(
             "sales",
-            "sales",
+            "flawed",
             "sale_id",
             ["customer_id", "product_id", "quantity", "unit_price", "total_amount", "sale_date"],
         )
-        + """ union all select 'sales_fk_customer_id', count(*) from sales
-                where customer_id not in (select customer_id from customers
-                                          where customer_id % 97 <> 0)
-              union all select 'sales_fk_product_id', count(*) from sales
-                where product_id not in (select product_id from products
-                                         where product_id % 89 <> 0)
+        + """ union all select 'sales_fk_customer_id', count(*) from flawed
+                where customer_id not in (select customer_id from customers)
+              union all select 'sales_fk_product_id', count(*) from flawed
+                where product_id not in (select product_id from products)
               union all """
         + _violations("customers", "customers", "customer_id", ["customer_name"])
         + " union all "
         + _violations("products", "products", "product_id", ["product_name", "unit_price"]),
     ),
+    "mart_facts": _sql(
+        "matched", f"select *, {_LOADED.format(day='sale_date')} loaded_at from matched"
+    ),
+    "mart_summary": _sql(
+        "matched dimp",
+        f"""with ranked as (
+              select *, row_number() over (partition by sale_date
+                                           order by revenue desc, product_id) rn
+              from (select sale_date, product_id, product_name, sum(total_amount) revenue
+                    from matched join dimp using (product_key)
+                    group by sale_date, product_id, product_name))
+            select a.*, product_id top_product_id, product_name top_product_name,
+                   cast(revenue as decimal(38,2)) top_product_revenue,
+                   '2024-05-01 00:00:00' loaded_at,
+                   {_LOADED.format(day='summary_date')} updated_at
+            from (select sale_date summary_date, {_measures('customer_key')}
+                  from matched group by sale_date) a
+            join ranked r on r.sale_date = a.summary_date and rn = 1""",
+    ),
+    "mart_rejects": _sql(
+        "rejected",
+        f"""with loads as (
+              select r.*, date '1990-01-01' execution_date, '2024-05-01 00:00:00' loaded_at
+              from rejected r where {_NO_KEY}
+              union all
+              select r.*, date '1997-06-01', '2024-05-02 00:00:00'
+              from rejected r where ({_NO_KEY})
+                and sale_date between date '1997-06-01' and date '1997-06-30')
+            select sale_id, customer_id, product_id, reason, sale_date, execution_date, loaded_at,
+                   'SUCCESS' status, count(*) over (partition by execution_date) rows_rejected
+            from loads""",
+    ),
+    "mart_stage": _sql(
+        "sales",
+        f"""select sale_id, customer_id, product_id, quantity, unit_price, total_amount, sale_date,
+                   cast(1 as int) batch_id, 'Airflow_Production' loaded_by from sales
+            union all
+            select sale_id, customer_id, product_id, quantity, unit_price, total_amount, sale_date,
+                   2, 'Airflow_Test' from sales where sale_date = {_DAY}""",
+    ),
     "run_log_started": _sql(
-        "run_log", "select log_id, dag_id, task_id, execution_date, status from run_log"
+        "run_log",
+        """select log_id, dag_id, task_id, execution_date, status from run_log
+           where status = 'STARTED' and end_time is null""",
     ),
     "run_log_updated": _sql(
         "run_log",
@@ -394,7 +452,8 @@ ORACLE: dict[str, str] = {
                   case when log_id % 2 = 0 and log_id % 4 <> 0 then log_id % 700
                        else rows_loaded end rows_loaded,
                   case when log_id % 4 = 0 then 'step failed' end error_message,
-                  case when log_id % 2 = 0 then start_time + to_seconds(60) end end_time
+                  case when log_id % 2 = 0 then start_time + to_seconds(60)
+                       else end_time end end_time
            from run_log""",
     ),
     "run_log_completed": _sql(
@@ -441,12 +500,13 @@ ORACLE: dict[str, str] = {
     ),
     "latest_execution": _sql(
         "executions",
-        f"""select project_name, package_name, execution_id, status, {_EXEC_STATUS} status_text,
+        f"""select execution_id, folder_name, project_name, package_name, status,
+                   {_EXEC_STATUS} status_text, start_time, end_time,
                    date_diff('second', start_time, end_time) duration_seconds
-            from (select *, {_LATEST.format(by='project_name, package_name', order='execution_id')}
-                  from executions where cast(start_time as date) = date '2024-01-30'
-                    and folder_name = 'Retail')
-            where rn = 1""",
+            from (select *, {_LATEST.format(by='folder_name, project_name, package_name', order='execution_id')}
+                  from executions where cast(start_time as date) = date '2024-01-30')
+            join region on folder_name = concat('folder_', cast(r_regionkey as varchar))
+            where rn = 1 and r_name <> 'EUROPE'""",
     ),
     "runs_in_progress": _sql(
         "job_activity",
@@ -507,12 +567,16 @@ ORACLE: dict[str, str] = {
     ),
     "run_report": _sql(
         "executions messages",
-        f"""select operation_id, execution_id, {_EXEC_STATUS} status_text,
-                   date_diff('second', start_time, end_time) duration_seconds, error_count
+        f"""select operation_id, execution_id, cast(start_time as date) execution_date, folder_name,
+                   project_name, package_name, {_EXEC_STATUS} status_text,
+                   date_diff('second', start_time, end_time) duration_seconds,
+                   rows_loaded, error_count
             from (select *, {_LATEST.format(by='operation_id', order='execution_id')}
                   from executions)
             join (select operation_id, count(*) filter (where message_type = 120) error_count
                   from messages group by operation_id) using (operation_id)
+            join (select cast(ts as date) d, count(*) rows_loaded from events group by 1)
+                 on d = cast(start_time as date)
             where rn = 1""",
     ),
     "jobs_with_category": _sql(

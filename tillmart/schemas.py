@@ -110,6 +110,16 @@ FACT_SALES = _table(
     ("sale_date", T.DateType(), "required"),
 )
 
+# Sales a load left out, each with the dimension that has no row for it.
+FACT_REJECTS = _table(
+    ("sale_id", ID),
+    ("customer_id", ID),
+    ("product_id", ID),
+    ("reason", T.VarcharType(10), "required"),
+    ("sale_date", T.DateType()),
+    ("loaded_at", T.TimestampType()),
+)
+
 SALES_SUMMARY_DAILY = _table(
     ("summary_date", T.DateType(), "required"),
     ("unique_customers", T.LongType()),

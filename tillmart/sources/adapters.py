@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmart import schemas
 from tillmart.functions.timefmt import plus_seconds
 
 
@@ -58,11 +59,36 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("sale_id"),
             F.col("o_custkey").cast("bigint").alias("customer_id"),
             F.col("l_partkey").cast("bigint").alias("product_id"),
-            F.floor("l_quantity").cast("int").alias("quantity"),
-            F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"),
-            F.col("l_extendedprice").cast("decimal(10,2)").alias("total_amount"),
+            F.col("l_quantity").alias("quantity"),
+            F.col("p_retailprice").alias("unit_price"),
+            F.col("l_extendedprice").alias("total_amount"),
             F.col("o_orderdate").cast("date").alias("sale_date"),
         )
+        # The raw amounts are checked: one that would lose digits fails the job.
+        .transform(schemas.conform, schemas.SALES)
+    )
+
+
+def unmatched_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """All sales, of which those of some customers and products carry an unknown id."""
+
+    def unknown(name: str, every: int) -> Column:
+        return F.when(F.col(name) % every == 0, -F.col(name)).otherwise(F.col(name)).alias(name)
+
+    given = sales(spark, folder)
+    changed = {"customer_id": unknown("customer_id", 7), "product_id": unknown("product_id", 11)}
+    return given.withColumns(changed)
+
+
+def flawed_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """As ``unmatched_sales``, also with repeated sale ids and missing values."""
+    sale, line = F.col("sale_id"), F.col("sale_id") % 10
+    return unmatched_sales(spark, folder).withColumns(
+        {
+            "sale_id": F.when(line == 7, sale - 1).otherwise(sale),
+            "quantity": F.when(line != 5, F.col("quantity")),
+            "product_id": F.when(line != 4, F.col("product_id")),
+        }
     )
 
 
@@ -113,7 +139,7 @@ def executions(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         F.col("event_id").alias("execution_id"),
         F.col("user_id").alias("operation_id"),
-        F.lit("Retail").alias("folder_name"),
+        _named("folder_", F.col("user_id") % 4).alias("folder_name"),
         _named("project_", F.col("user_id") % 5).alias("project_name"),
         _named("package_", F.col("user_id") % 3).alias("package_name"),
         _event_code({"error": 4, "click": 2, "view": 9, "signup": 3}, other=7).alias("status"),
@@ -137,6 +163,11 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def events_per_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows an execution's day brought, for reports over the event table."""
+    return table(spark, folder, "events").select(F.col("ts").cast("date").alias("sale_date"))
+
+
 def job_activity(spark: SparkSession, folder: str) -> DataFrame:
     kind = F.col("event_type")
     return table(spark, folder, "events").select(
@@ -165,6 +196,13 @@ def categories(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def folders(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "region").select(
+        _named("folder_", F.col("r_regionkey")).alias("folder_name"),
+        F.col("r_name").alias("owner"),
+    )
+
+
 def run_log(spark: SparkSession, folder: str) -> DataFrame:
     event = F.col("event_id")
     return table(spark, folder, "events").select(
@@ -173,8 +211,11 @@ def run_log(spark: SparkSession, folder: str) -> DataFrame:
         _named("task_", F.col("user_id") % 4).alias("task_id"),
         F.col("ts").cast("date").alias("execution_date"),
         F.col("ts").alias("start_time"),
-        F.when(event < 0, F.col("ts")).alias("end_time"),
-        F.lit("STARTED").alias("status"),
+        F.when(event % 5 == 1, plus_seconds(F.col("ts"), F.lit(30))).alias("end_time"),
+        F.when(event % 5 == 1, "SUCCESS")
+        .when(event % 5 == 2, "FAILED")
+        .otherwise("STARTED")
+        .alias("status"),
         (event % 1000).cast("bigint").alias("rows_extracted"),
         F.when(event % 3 != 0, (event % 900).cast("bigint")).alias("rows_loaded"),
         F.lit(None).cast("string").alias("error_message"),

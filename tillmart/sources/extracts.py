@@ -39,9 +39,11 @@ def scan_sales(sales: DataFrame, day: date | str | None = None) -> DataFrame:
     return schemas.conform(picked, schemas.SALES)
 
 
-def sales_between(sales: DataFrame, start: date | str, end: date | str) -> DataFrame:
+def sales_between(
+    sales: DataFrame, start: date | str, end: date | str, column: str = "sale_date"
+) -> DataFrame:
     """Sales of an inclusive date range."""
-    return sales.where(F.col("sale_date").between(as_date(start), as_date(end)))
+    return sales.where(F.col(column).between(as_date(start), as_date(end)))
 
 
 def sales_by_date_range(
