@@ -588,13 +588,23 @@ def run_timeouts(spark: SparkSession, folder: str) -> DataFrame:
     return run_status.run_timeouts(events, as_timestamp(LOG_AS_OF))
 
 
+def _log_of(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    """The log a stream leaves when it has run to the end of its source."""
+    target = scratch_dir(spark, "run-log")
+    written = run_status.write_changes(stream, f"{target}/log", f"{target}/checkpoint", once=True)
+    written.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{target}/log")
+
+
 @query
 def run_status_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """All events as a stream, run to its end; the result is read from the change log."""
-    changes = run_status.track_runs(_run_events(run_status.event_stream(spark, folder, "events")))
-    target = scratch_dir(spark, "run-changes")
-    stream = run_status.write_changes(
-        changes, f"{target}/changes", f"{target}/checkpoint", once=True
-    )
-    stream.awaitTermination()
-    return run_status.current_status(spark.read.parquet(f"{target}/changes"))
+    """Newest status of every run, from all events as a stream."""
+    events = _run_events(run_status.event_stream(spark, folder, "events"))
+    return run_status.current_status(_log_of(spark, run_status.status_log(events)))
+
+
+@query
+def run_timeouts_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Timed out runs, from all events as a stream."""
+    events = _run_events(run_status.event_stream(spark, folder, "events"))
+    return run_status.timed_out_runs(_log_of(spark, run_status.track_runs(events)))

@@ -603,6 +603,18 @@ ORACLE: dict[str, str] = {
            where started + to_seconds(3600) <= timestamp '2024-02-15 00:00:00'
              and (ended is null or ended > started + to_seconds(3600))""",
     ),
+    # The watermark stands ten minutes behind the newest event.
+    "run_timeouts_stream": _sql(
+        "job_history",
+        """select run_id, started + to_seconds(3600) deadline
+           from (select e.user_id run_id, min(ts) started,
+                        min(ts) filter (where run_status in (0, 1, 3)) ended
+                 from job_history h join events e on h.instance_id = e.event_id
+                 where run_status is not null group by e.user_id)
+           where ended > started + to_seconds(3600)
+              or (ended is null and started + to_seconds(3600)
+                  <= (select max(ts) - to_seconds(600) from events))""",
+    ),
     "run_status_stream": _sql(
         "job_history",
         f"""select run_id, instance_id, run_status status, {_RUN_STATUS} status_text

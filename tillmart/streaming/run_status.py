@@ -1,7 +1,9 @@
 """Run tracking on a stream of status events.
 
-Reports a run when its status changes, and once more, as TIMEOUT, when it has
-not ended within an hour of its start.
+Reports a run when its newest event moves on, marked when its status changed, and
+once more, as TIMEOUT, when it has not ended within an hour of its start. Events later
+than the watermark allows are dropped there. The newest status needs no state: it is
+read from ``status_log``, in which no event is too late and batches do not matter.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ TIMEOUT_SECONDS = 3600
 POLL_SECONDS = 10
 
 FORGET_SECONDS = 7 * 24 * 3600
+FILES_PER_BATCH = 1000
 TIMEOUT = "TIMEOUT"
 
 # Moments cross into Python as microseconds, so no time zone is involved there.
@@ -28,7 +31,10 @@ _COMBINED = (
     "run_id bigint, instance_id bigint, status int, "
     "event_us bigint, started_us bigint, ended_us bigint"
 )
-_CHANGES = "run_id bigint, instance_id bigint, status int, event_us bigint, timed_out boolean"
+_CHANGES = (
+    "run_id bigint, instance_id bigint, status int, event_us bigint, ended_us bigint, "
+    "changed boolean, timed_out boolean"
+)
 _STATE = (
     "instance_id bigint, status int, started_us bigint, ended_us bigint, "
     "timer_ms bigint, timed_out boolean"
@@ -82,7 +88,7 @@ class RunWatch(StatefulProcessor):
         timed_out = False
         if known:
             instance, status, started, ended, timer, timed_out = self.state.get()
-        old_status = status
+        old_status, old_ended = status, ended
         for batch in rows:
             newest = batch.loc[batch["instance_id"].idxmax()]
             if instance is None or newest["instance_id"] > instance:
@@ -94,9 +100,12 @@ class RunWatch(StatefulProcessor):
         deadline = started + self.timeout_us
         if ended is not None and ended > deadline and not timed_out:
             timed_out = True
-            yield self._change(key, instance, None, deadline)
-        if moment is not None and (not known or status != old_status):
-            yield self._change(key, instance, status, moment)
+            yield self._change(key, instance, None, deadline, ended)
+        if moment is not None or ended != old_ended:
+            # Only a late event brings an end without being the newest.
+            at = moment if moment is not None else ended
+            changed = not known or status != old_status
+            yield self._change(key, instance, status, at, ended, changed)
         self._store(instance, status, started, ended, timer, timed_out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -107,7 +116,7 @@ class RunWatch(StatefulProcessor):
             self.state.clear()
             return
         self._store(instance, status, started, ended, None, True)
-        yield self._change(key, instance, None, started + self.timeout_us)
+        yield self._change(key, instance, None, started + self.timeout_us, None)
 
     def close(self) -> None:
         pass
@@ -125,18 +134,41 @@ class RunWatch(StatefulProcessor):
         self.state.update((instance, status, started, ended, wake_ms, timed_out))
 
     @staticmethod
-    def _change(key, instance: int, status: int | None, moment_us: int) -> pd.DataFrame:
+    def _change(
+        key,
+        instance: int,
+        status: int | None,
+        moment_us: int,
+        ended_us: int | None,
+        changed: bool = True,
+    ) -> pd.DataFrame:
         return pd.DataFrame(
             {
                 "run_id": [key[0]],
                 "instance_id": [instance],
                 "status": pd.array([status], dtype="Int32"),
                 "event_us": [moment_us],
+                "ended_us": pd.array([ended_us], dtype="Int64"),
+                "changed": [changed],
                 "timed_out": [status is None],
             }
         )
 
 
+def _status_events(events: DataFrame) -> DataFrame:
+    return events.select(
+        F.col("run_id").cast("bigint").alias("run_id"),
+        F.col("instance_id").cast("bigint").alias("instance_id"),
+        F.col("status").cast("int").alias("status"),
+        F.col("event_time").cast("timestamp").alias("event_time"),
+    ).where(F.col("status").isNotNull() & F.col("run_id").isNotNull())
+
+
+def status_log(events: DataFrame) -> DataFrame:
+    """Narrow log of all status events, built without state; read by ``current_status``."""
+    return _status_events(events).withColumn("status_text", run_status_text(F.col("status")))
+
+
 def track_runs(
     events: DataFrame,
     timeout_seconds: int = TIMEOUT_SECONDS,
@@ -144,24 +176,26 @@ def track_runs(
     clock: str = "EventTime",
     forget_seconds: int = FORGET_SECONDS,
 ) -> DataFrame:
-    """Stream of changes from a stream with the columns run_id, instance_id, status, event_time.
+    """Log of changes from a stream with the columns run_id, instance_id, status, event_time.
+
+    A row per batch and run whose newest event moved on; ``changed`` marks a new status,
+    ``ended_at`` is the first end known so far.
 
     Under ``clock="EventTime"`` a timeout shows when newer events move the
     watermark on; ``"ProcessingTime"`` shows it on a quiet stream too. A run is
     forgotten ``forget_seconds`` after it ended or timed out, which bounds the
-    state by the runs of that span.
+    state by the runs of that span. One that speaks again later starts anew here and may
+    be reported as TIMEOUT again; the log still holds its first end or timeout, by which
+    ``timed_out_runs`` decides. Sets the state store of the session to RocksDB.
     """
     spark = events.sparkSession
     spark.conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
-    known = events.select(
-        F.col("run_id").cast("bigint").alias("run_id"),
-        F.col("instance_id").cast("bigint").alias("instance_id"),
-        F.col("status").cast("int").alias("status"),
-        F.unix_micros(F.col("event_time").cast("timestamp")).alias("event_us"),
-    ).where(F.col("status").isNotNull() & F.col("run_id").isNotNull())
+    known = _status_events(events).select(
+        "run_id", "instance_id", "status", F.unix_micros("event_time").alias("event_us")
+    )
     changes = (
         known.mapInPandas(_combine, _COMBINED)
         .withColumn("event_time", F.timestamp_micros("event_us"))
@@ -181,6 +215,8 @@ def track_runs(
         "status",
         text.alias("status_text"),
         F.timestamp_micros("event_us").alias("event_time"),
+        F.timestamp_micros("ended_us").alias("ended_at"),
+        "changed",
     )
 
 
@@ -208,7 +244,7 @@ def write_changes(
 
 
 def current_status(changes: DataFrame) -> DataFrame:
-    """Newest status of every run in a change log."""
+    """Newest status of every run in a status log or a change log."""
     return (
         changes.where(F.col("status").isNotNull())
         .groupBy("run_id")
@@ -220,6 +256,20 @@ def current_status(changes: DataFrame) -> DataFrame:
     )
 
 
+def timed_out_runs(changes: DataFrame) -> DataFrame:
+    """Runs of a change log that had not ended when their first deadline passed."""
+    late = F.when(F.col("status_text") == TIMEOUT, F.col("event_time"))
+    return (
+        changes.groupBy("run_id")
+        .agg(F.min(late).alias("deadline"), F.min("ended_at").alias("_ended"))
+        .where(
+            F.col("deadline").isNotNull()
+            & (F.col("_ended").isNull() | (F.col("_ended") > F.col("deadline")))
+        )
+        .select("run_id", "deadline")
+    )
+
+
 def run_timeouts(
     events: DataFrame, as_of, timeout_seconds: int = TIMEOUT_SECONDS
 ) -> DataFrame:
@@ -238,8 +288,14 @@ def run_timeouts(
     )
 
 
-def event_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Stream over the parquet files of one table; the schema is read once, up front."""
+def event_stream(
+    spark: SparkSession, folder: str, name: str, files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
+    """Stream over the parquet files of one table; the schema is read once, up front.
+
+    A batch takes at most ``files_per_batch`` files; the others wait for the next one.
+    """
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
     # The file source wants a folder or a pattern; this pattern matches the one name.
-    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parque[t]")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(f"{folder}/{name}.parque[t]")
