@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillmart.functions.decode import EXECUTION_SUCCEEDED
 from tillmart.functions.money import row_count
 from tillmart.functions.timefmt import as_date
+from tillmart.operators import joblog
 from tillmart.sources.extracts import rows_of_day
 
 CHECK_COLUMNS = ["check_name", "severity", "subject_date", "expected", "actual", "passed"]
@@ -224,12 +225,13 @@ def guard_empty(df: DataFrame) -> bool:
     return df.isEmpty()
 
 
-def check_execution(latest: DataFrame, errors: DataFrame) -> DataFrame:
+def check_execution(latest: DataFrame, messages: DataFrame) -> DataFrame:
     """Latest executions that did not succeed, with up to five of their error messages.
 
-    ``latest`` has one row per execution; ``errors`` holds the newest error
-    messages per operation, at most five, as ``joblog.newest_errors`` gives them.
+    ``latest`` has one row per execution. The newest errors of an operation are picked
+    before they are gathered, so its array stays short however many there are.
     """
+    errors = joblog.newest_errors(joblog.of_operations(messages, latest))
     texts = errors.groupBy("operation_id").agg(
         F.sort_array(F.collect_list(F.struct("message_time", "message")), asc=False).alias("_m")
     )

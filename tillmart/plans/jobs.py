@@ -361,7 +361,7 @@ def run_audit(
     Raises when a newest execution of the day did not succeed, unless told not to.
     """
     latest = joblog.latest_execution(logs.executions, day)
-    failures = quality.check_execution(latest, joblog.newest_errors(logs.messages))
+    failures = quality.check_execution(latest, logs.messages)
     if fail_on_error:
         first = failures.first()
         if latest.isEmpty():
