@@ -1,6 +1,7 @@
 """Operators 1, 6 and 7 against brute force."""
 
 import hashlib
+import random
 from collections import Counter
 
 import pytest
@@ -109,6 +110,36 @@ def test_near_dedup_crowd(spark):
     assert found == {i: 0 if i < 400 else i for i, _ in rows}
 
 
+def star_rows(copies):
+    """An original and copies with three words changed in each, like the original but not each other."""
+    base = prose(12, 200).split()
+    rows = [(5000, " ".join(base))]
+    for i in range(copies):
+        words, draw = list(base), random.Random(i)
+        for k, part in enumerate((10, 80, 150)):
+            words[part + draw.randrange(40)] = f"w{i}x{k}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("copies, block, large", [(1000, 512, 64), (120, 50, 10**9)])
+def test_near_dedup_star(spark, monkeypatch, copies, block, large):
+    """Only the original's own links hold a star of copies together."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "LARGE", large)
+    rows = star_rows(copies) + [(6000 + i, prose(700 + i, 200)) for i in range(20)]
+    sets = {i: set(near_dedup.shingle_set(t.encode()).tolist()) for i, t in rows}
+
+    def alike(a, b):
+        return 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+
+    assert all(alike(5000, i) for i in range(copies))
+    assert sum(alike(a, b) for a in range(40) for b in range(a)) < 40
+    got = near_dedup.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    found = {r["doc_id"]: r["component_id"] for r in got.collect()}
+    assert found == {i: 0 if i <= 5000 else i for i, _ in rows}
+
+
 def test_near_dedup_keeps_columns_and_clean_documents(spark):
     docs = frame(spark)
     kept = near_dedup.keep_one(docs)

@@ -4,17 +4,22 @@ A document's set is its distinct `SHINGLE`-word shingles (A-Z in lower case). Do
 equal sets form a class, which its smallest id stands for. Every class has `TREES` MinHash
 signatures of `DEPTH` values. Each tree sorts all signatures by range partitioning, and a
 class meets the `NEIGHBOURS` next in order with which it shares at least `LEAST_DEPTH`
-leading values. Where signatures are crowded the neighbours in order share longer prefixes,
-so the depth adapts to the region without any group being formed: a task scans its rows
-with a look-back of `NEIGHBOURS`, and crowds of any size split over partitions.
+leading values. Where signatures are crowded the neighbours in order share longer prefixes.
 
 Candidates are confirmed on the full sets (64-bit shingle hashes): linked at
 `100 * intersection >= 85 * union`. Components of the links come from alternating stars.
 
+A run of classes that share `LEAST_DEPTH` values and are more than meet each other so is a
+crowd if it still holds several components. Each class of a large crowd meets the one whose
+values are the most frequent there, which is the original of independently edited copies.
+In the crowds that are left, all pairs of different components meet, in blocks of `BLOCK`
+classes; pairs with less than `LEAST_EQUAL` of the 128 values in common are left out. Pairs
+within a component need no link.
+
 At similarity 0.85 two values agree with probability 0.85, a prefix of three in 61 of 100
-trees; sixteen trees all miss a pair with probability 3e-7. A pair of a crowd that is never
-adjacent in any tree is linked through those between. Rows on both sides of a partition's
-border are not compared in that tree.
+trees; sixteen trees all miss a pair with probability 3e-7, and fewer than `LEAST_EQUAL`
+values agree with 1e-10. Rows on both sides of a partition's border are not compared in that
+tree, unless they are of a crowd.
 
 Defined results: a document without words or text has an empty set and is a component of
 its own; with fewer words than a shingle the whole sequence is the only one; rows repeated
@@ -36,6 +41,7 @@ from tillmart.llm.components import connected_components
 
 SHINGLE = 5
 TREES, DEPTH, LEAST_DEPTH, NEIGHBOURS = 16, 8, 3, 2
+BLOCK, LARGE, LEAST_EQUAL = 512, 64, 80
 PART, WHOLE = 85, 100  # linked if WHOLE * intersection >= PART * union
 
 _RNG = np.random.Generator(np.random.PCG64(6))
@@ -62,16 +68,19 @@ def components(
         "shingle-classes",
     )
     links = confirm(candidates(classes), texts)
-    found = connected_components(links)
-    named = written(
-        classes.select("k1", "k2", "rep")
-        .join(found, F.col("rep") == F.col("node"), "left")
-        .select("k1", "k2", F.coalesce("component", "rep").alias("component")),
-        "class-components",
-    )
+    named = _merged(classes.withColumn("component", F.col("rep")), links)
+    members = crowd_members(named)
+    if not members.isEmpty():
+        links = confirm(hub_pairs(members), texts)
+        if not links.isEmpty():
+            named = _merged(named, links)
+            members = crowd_members(named)
+        links = confirm(crowd_pairs(members), texts)
+        if not links.isEmpty():
+            named = _merged(named, links)
     return (
         sets.select("id", "n_shingles", "k1", "k2")
-        .join(named, ["k1", "k2"], "left")
+        .join(named.select("k1", "k2", "component"), ["k1", "k2"], "left")
         .select(
             F.col("id").alias(id_col),
             "n_shingles",
@@ -109,6 +118,86 @@ def candidates(classes: DataFrame) -> DataFrame:
     )
 
 
+def crowd_members(named: DataFrame) -> DataFrame:
+    """run, members, rep, n, component, signature: runs of a tree with pairs that have not met and may be linked."""
+    width = 2 * DEPTH
+    runs = named.select(
+        "rep",
+        "component",
+        F.explode(
+            F.array(
+                *(
+                    F.xxhash64(F.lit(t), F.substring("signature", t * width + 1, 2 * LEAST_DEPTH))
+                    for t in range(TREES)
+                )
+            )
+        ).alias("run"),
+    )
+    crowds = written(
+        runs.groupBy("run")
+        .agg(F.count("*").alias("members"), F.min("component").alias("least"), F.max("component").alias("most"))
+        .filter((F.col("members") > NEIGHBOURS + 1) & (F.col("least") < F.col("most")))
+        .select("run", "members"),
+        "crowds",
+    )
+    return written(
+        runs.select("run", "rep")
+        .join(crowds, "run")
+        .join(named.select("rep", F.col("n").cast("long").alias("n"), "component", "signature"), "rep")
+        .select("run", "members", "rep", "n", "component", "signature"),
+        "crowd-members",
+    )
+
+
+def hub_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of the classes of each large crowd and its most typical one."""
+    large = members.filter(F.col("members") > LARGE).withColumn("block", _block())
+    typical = large.repartition("run", "block").sortWithinPartitions("run", "block").mapInArrow(
+        _typical, "run long, rep long, n long, component long, score double"
+    )
+    hubs = written(
+        typical.groupBy("run").agg(F.max(F.struct("score", "rep", "n", "component")).alias("hub")), "hubs"
+    )
+    met = large.join(hubs, "run").filter(F.col("component") != F.col("hub.component"))
+    met = met.filter(WHOLE * F.least("n", "hub.n") >= PART * F.greatest("n", "hub.n"))
+    return written(
+        met.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct(),
+        "hub-pairs",
+    )
+
+
+def crowd_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of classes of a crowd in different components that may be linked."""
+    rows = members.withColumn("block", _block()).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("members") / BLOCK) - 1))
+    )
+    rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    dealt = rows.drop("members", "other").repartition("run", "low", "high")
+    met = dealt.sortWithinPartitions("run", "low", "high").mapInArrow(_crowd_pairs, "a long, b long")
+    return written(met.distinct(), "crowd-pairs")
+
+
+def _block():
+    return F.pmod(F.xxhash64("rep", F.lit(1)), F.ceil(F.col("members") / BLOCK)).cast("long")
+
+
+def _merged(named: DataFrame, links: DataFrame) -> DataFrame:
+    """`named` with the components that the links between classes make of its own."""
+    names = named.select("rep", "component")
+    joined = (
+        links.join(names.select(F.col("rep").alias("a"), F.col("component").alias("one")), "a")
+        .join(names.select(F.col("rep").alias("b"), F.col("component").alias("two")), "b")
+        .select(F.col("one").alias("a"), F.col("two").alias("b"))
+    )
+    found = connected_components(joined).select("node", F.col("component").alias("found"))
+    return written(
+        named.join(found, F.col("component") == F.col("node"), "left")
+        .withColumn("component", F.coalesce("found", "component"))
+        .drop("node", "found"),
+        "class-components",
+    )
+
+
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose sets are as similar as asked for."""
     named = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
@@ -209,6 +298,64 @@ def _neighbours(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = rows.slice(max(0, rows.num_rows - NEIGHBOURS))
 
 
+def _groups(batches: Iterable[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
+    """The rows of each group, of a stream that is sorted by the keys."""
+    held: pa.Table | None = None
+    for batch in batches:
+        rows = pa.table(batch) if held is None else pa.concat_tables([held, pa.table(batch)]).combine_chunks()
+        marks = [rows.column(key).to_numpy() for key in keys]
+        edges = np.flatnonzero(np.any([m[1:] != m[:-1] for m in marks], axis=0)) + 1
+        begin = 0
+        for edge in edges:
+            yield rows.slice(begin, edge - begin)
+            begin = edge
+        held = rows.slice(begin)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _signatures(rows: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint16).reshape(-1, TREES * DEPTH)
+
+
+def _typical(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each block the class whose signature's values are the most frequent, as a share of the block."""
+    for rows in _groups(batches, "run", "block"):
+        scores = np.zeros(rows.num_rows)
+        for values in _signatures(rows).T:
+            _, inverse, counts = np.unique(values, return_inverse=True, return_counts=True)
+            scores += counts[inverse]
+        scores /= rows.num_rows
+        best = int(np.argmax(scores))
+        chosen = rows.select(["run", "rep", "n", "component"]).slice(best, 1)
+        yield chosen.append_column("score", pa.array(scores[best : best + 1])).to_batches()[0]
+
+
+def _crowd_pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of a block, or of two, in different components with enough equal values."""
+    for rows in _groups(batches, "run", "low", "high"):
+        rep, size, component, block, low, high = (
+            rows.column(c).to_numpy() for c in ("rep", "n", "component", "block", "low", "high")
+        )
+        signatures = _signatures(rows)
+        one, two = [], []
+        for i in range(len(rep) - 1):
+            may = component[i + 1 :] != component[i]
+            if low[0] != high[0]:
+                may &= block[i + 1 :] != block[i]
+            small, large = np.minimum(size[i + 1 :], size[i]), np.maximum(size[i + 1 :], size[i])
+            places = np.flatnonzero(may & (WHOLE * small >= PART * large)) + i + 1
+            equal = (signatures[places] == signatures[i]).sum(axis=1)
+            places = places[equal >= LEAST_EQUAL]
+            one.append(np.full(len(places), rep[i]))
+            two.append(rep[places])
+        if one:
+            a, b = np.concatenate(one), np.concatenate(two)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
+            )
+
+
 def _confirmed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
