@@ -155,5 +155,13 @@ def test_warc_chunks_carry_digests(spark, root):
     assert so_far == data and len(rows) == 7
 
 
+def test_warc_segments_stay_in_one_file(spark):
+    """More records in a task than a file once had, with a page across that border."""
+    rows = [(i, f"u{i}", chr(97 + i) * 7001) for i in range(15)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = warc.archive_round_trip(pages, 1).select("page_id", "payload_bytes", "record_type").collect()
+    assert sorted(map(tuple, got)) == [(i, 7001, "response") for i in range(15)]
+
+
 def test_warc_empty_table(spark):
     assert warc.archive_round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0

@@ -37,7 +37,6 @@ from tillmart.session import scratch_dir
 
 CHUNK_BYTES = 64 << 10
 REVISIT_FROM = 0
-RECORDS_A_FILE = 100_000
 END = "\r\n\r\n"
 # Fixed: SHA-1 digests in WARC headers use the base32 alphabet.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -155,13 +154,16 @@ def write_archives(
     revisit_from: int = REVISIT_FROM,
     **columns: str,
 ) -> None:
-    """Write one gzip WARC file per task; `columns` name id_col, payload_col and url_col."""
+    """Write one gzip WARC file per task; `columns` name id_col, payload_col and url_col.
+
+    A file has no largest number of records, which could part the segments of a page.
+    """
     chunks = chunk_rows(with_roles(pages, revisit_from=revisit_from, **columns), chunk_bytes)
     (
         chunks.select(record_text().alias("value"))
         .write.option("lineSep", END)
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", RECORDS_A_FILE)
+        .option("maxRecordsPerFile", 0)  # also where the session sets one
         .text(path)
     )
 
