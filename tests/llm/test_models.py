@@ -135,6 +135,31 @@ def test_decoded_layers(layer):
         assert 9 <= start < end <= 9 + len(layer)
 
 
+def hidden():
+    raw = SECRET.encode()
+    once = base64.b64encode(raw).decode()
+    long = base64.b64encode(b"some words before it, " * 5 + raw + b" and behind it" * 5).decode()
+    members = gzip.compress(b"nothing here") + gzip.compress(raw)
+    return [
+        base64.b64encode(f"Zugang für Müller\n{SECRET}".encode()).decode(),
+        base64.b64encode(b"\xff\xfe " + raw).decode(),
+        *(f"https://x.com/{'c' * n}/{once}" for n in range(1, 5)),
+        f"https://x.com/cb/{base64.b64encode(gzip.compress(raw)).decode()}",
+        *("\n".join(long[i : i + n] for i in range(0, len(long), n)) for n in (76, 10)),
+        "\r\n".join(long[i : i + 64] for i in range(0, len(long), 64)),
+        base64.b64encode(members).decode(),
+    ]
+
+
+@pytest.mark.parametrize("layer", hidden())
+def test_layers_within_runs_and_lines(layer):
+    text = f"before {layer} after"
+    spans = secrets.find_spans(text)
+    assert any(k == 0 and not base for _, k, _, base in spans)
+    for start, _, end, _ in spans:
+        assert 7 <= start < end <= 7 + len(layer)
+
+
 def test_scan_keeps_rows(spark):
     rows = secrets.scan(frame(spark)).select("row.doc_id", "row.row", "spans").collect()
     assert len(rows) == len(documents()) and all(r["spans"] == [] and r["row"] == "r" for r in rows)

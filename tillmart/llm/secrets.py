@@ -1,8 +1,8 @@
 """Secret scans with a recursive decoding worklist (operator 9).
 
 A text is the first layer. Each layer is scanned for secrets and unwrapped: percent
-escapes, Unicode and character escapes, base64 runs, and gzip or zlib streams inside
-base64. What an unwrapping yields is a new layer on the worklist, with the place in the
+escapes, Unicode and character escapes, base64 runs (also wrapped ones, and those behind
+other characters of the alphabet), and gzip or zlib streams inside base64. What an unwrapping yields is a new layer on the worklist, with the place in the
 text each of its characters comes from, until nothing new turns up; a layer seen before
 (the same kind of content from the same place) is not taken again, which ends cycles. A span
 found in a layer is reported where its characters stand in the text.
@@ -44,6 +44,14 @@ _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # Long runs: the only places of hex secrets and of base64. 18 characters of base64 hold 13 bytes,
 # one less than the shortest secret.
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{18,}={0,2}")
+# Fixed: the first bytes of gzip and of zlib with a 32 KB window.
+_MAGIC = (b"\x1f\x8b\x08", b"x\x01", b"x\x5e", b"x\x9c", b"x\xda")
+# Adjacent lines of base64: all but the first are whole lines.
+_WRAPPED = re.compile(
+    r"[A-Za-z0-9+/_-]++(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++(?![\x20\t]+[^\s]))+={0,2}"
+)
+# What a decoded text must have for a secret or a further layer to be in it.
+_WORTH = re.compile(rb"(?i:passw|secret|token|api_?key)|AKIA|%[0-9A-Fa-f]{2}|\\|&#|[A-Za-z0-9+/_-]{18}|[A-Za-z0-9+/_-]\s+[A-Za-z0-9+/_-]")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(
     r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};"
@@ -141,6 +149,10 @@ def _unwrap(text: str, places: Places) -> Iterator[tuple[str, tuple[list[int], l
         yield from _rewritten(text, places, _ESCAPE, _escape)
     for run in _RUN.finditer(text):
         yield from _base64(run.group(), run.start(), places)
+    if "\n" in text:
+        for run in _WRAPPED.finditer(text):
+            if len(run.group()) >= 18:
+                yield from _base64(run.group(), run.start(), places)
 
 
 def _place(places: Places, start: int, end: int) -> tuple[int, int]:
@@ -213,42 +225,66 @@ def _escape(escape: str):
 
 
 def _base64(run: str, at: int, places: Places):
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        body = body[:-1]
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4))
-    except binascii.Error:
-        return
-    packed = _unpacked(data)
-    if packed is not None:
-        first, last = _place(places, at, at + len(run))
-        text = packed.decode("utf-8", "replace")
-        if text:
-            yield text, ([first] * len(text), [last] * len(text))
-        return
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return
-    if not text or not text.isascii() and not text.isprintable():
-        return
-    starts, ends, byte = [], [], 0
+    """What a run holds, read from each of its first four characters: base64 may begin within it.
+
+    A stream may begin with the run, behind a separator or on a new line.
+    """
+    chars, spots, begins = [], [], {0}
+    for piece in re.finditer(r"[^\s=]+", run):
+        begins.add(len(spots))
+        begins.update(len(spots) + m.end() for m in re.finditer("[/_-]", piece.group()))
+        chars.append(piece.group())
+        spots.extend(range(at + piece.start(), at + piece.end()))
+    body = "".join(chars).replace("-", "+").replace("_", "/")
+    for phase in range(4):
+        part = body[phase:]
+        if len(part) % 4 == 1:
+            part = part[:-1]
+        data = base64.b64decode(part + "=" * (-len(part) % 4))
+        for begin in sorted(b for b in begins if b % 4 == phase):
+            byte = (begin - phase) // 4 * 3
+            packed = _unpacked(data[byte:]) if data.startswith(_MAGIC, byte) else None
+            if packed is not None:
+                first, last = _place(places, spots[begin], at + len(run))
+                text = packed.decode("utf-8", "replace")
+                yield text, ([first] * len(text), [last] * len(text))
+        if not _WORTH.search(data):
+            continue
+        text = data.decode("utf-8", "replace")
+        starts, ends, byte = [], [], 0
+        for char, size in _sizes(data, text):
+            low, high = phase + byte * 4 // 3, phase + -(-(byte + size) * 4 // 3)
+            starts.append(spots[low])
+            ends.append(spots[high - 1] + 1)
+            byte += size
+        if places is not None:
+            starts, ends = [places[0][x] for x in starts], [places[1][x - 1] for x in ends]
+        yield text, (starts, ends)
+
+
+def _sizes(data: bytes, text: str) -> Iterator[tuple[str, int]]:
+    """Each character of a text decoded with replacements, and the bytes it stands for."""
+    at = 0
     for char in text:
         size = len(char.encode())
-        first, last = _place(places, at + byte * 4 // 3, at + -(-(byte + size) * 4 // 3))
-        starts.append(first)
-        ends.append(last)
-        byte += size
-    yield text, (starts, ends)
+        if char == "\ufffd" and data[at : at + 3] != b"\xef\xbf\xbd":
+            size = 1
+            while at + size < len(data) and data[at : at + size + 1].decode("utf-8", "replace") == char:
+                size += 1
+        yield char, size
+        at += size
 
 
 def _unpacked(data: bytes) -> bytes | None:
-    """What a gzip or zlib stream holds, as far as it is whole; None if it is none."""
-    # Fixed: the first bytes of gzip and of zlib with a 32 KB window.
-    if data[:3] != b"\x1f\x8b\x08" and data[:2] not in (b"x\x01", b"x\x5e", b"x\x9c", b"x\xda"):
-        return None
-    try:
-        return zlib.decompressobj(zlib.MAX_WBITS | 32).decompress(data, MAX_UNPACKED) or None
-    except zlib.error:
-        return None
+    """What a zlib stream or the members of a gzip stream hold, as far as they are whole; None if there are none."""
+    out = []
+    left = MAX_UNPACKED
+    while left > 0 and (data[:3] == _MAGIC[0] or not out):
+        stream = zlib.decompressobj(zlib.MAX_WBITS | 32)
+        try:
+            out.append(stream.decompress(data, left))
+        except zlib.error:
+            break
+        left -= len(out[-1])
+        data = stream.unused_data
+    return b"".join(out) or None
