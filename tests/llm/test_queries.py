@@ -18,7 +18,7 @@ def test_query_equals_sql(spark, key):
 
 
 def test_one_query_an_operator():
-    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {k.split("_")[0] for k in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_pipeline(spark):

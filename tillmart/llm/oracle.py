@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillmart.llm import mixing, quality_rules
+from tillmart.llm import collocations, decontamination, divergence, mixing, quality_rules
 
 _QUOTE = "'"
 
@@ -183,9 +183,139 @@ select page_id, octet_length(encode(payload))::bigint as payload_bytes,
 from p join g using (payload)
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11 = rf"""
+with d as (
+  select row_number() over () as row_id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents
+), t as (
+  select lang, source, row_id, unnest(terms) as term from d
+), k as (
+  select lang, term from t group by lang, term having count(distinct row_id) >= {divergence.LEAST_DOCS}
+), v as (
+  select lang, count(*)::hugeint as v from k group by lang
+), g as (
+  select distinct lang, source from d
+), c as (
+  select lang, source, term, count(*) as n from t semi join k using (lang, term) group by lang, source, term
+), dense as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0)::hugeint as n
+  from g join k using (lang) left join c on c.lang = g.lang and c.source = g.source and c.term = k.term
+), p as (
+  select lang, source, term, n,
+    1 + ({divergence.SCALE} * (n + 1)) // (sum(n) over (partition by lang, source)::hugeint + v) as p
+  from dense join v using (lang)
+), l as (
+  select lang, term, 1 + ({divergence.SCALE} * (n + 1)) // (sum(n) over (partition by lang)::hugeint + v) as q
+  from (select lang, term, sum(n)::hugeint as n from dense group by lang, term) join v using (lang)
+), pairs as (
+  select a.lang, a.source, b.source as item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0)::bigint as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+    left join p x on x.lang = a.lang and x.source = a.source
+    left join p y on y.lang = b.lang and y.source = b.source and y.term = x.term
+  group by a.lang, a.source, b.source
+), terms as (
+  select lang, source, term as item, ((p - q) * (p - q) // q)::bigint as value
+  from p join l using (lang, term) where n > 0 and p > q
+), u as (
+  select 'pair' as part, * from pairs union all select 'term' as part, * from terms
+)
+select lang, source, part, item, value,
+  (row_number() over (partition by lang, source, part order by value desc, item))::integer as rank
+from u
+qualify part = 'pair' or rank <= {divergence.TOP}
+"""
+
+_PARTS = range(1, collocations.LONGEST)
+
+OP12 = rf"""
+with pieces as materialized (
+  select coalesce(lang, 'und') as lang,
+    unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+), w as materialized (
+  select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as ws from pieces
+), g as (
+  {" union all ".join(
+      f"select lang, {size} as size, array_to_string(ws[i:i + {size - 1}], ' ') as phrase"
+      f" from (select lang, ws, unnest(range(1, len(ws) - {size - 2})) as i from w)"
+      for size in range(1, collocations.LONGEST + 1)
+  )}
+), f as materialized (
+  select lang, size, phrase, count(*) as n from g group by all
+), t as (
+  select lang, sum(n)::bigint as n from f where size = 1 group by lang
+), c as materialized (
+  select lang, size, phrase, n as a, string_split(phrase, ' ') as ws
+  from f where size > 1 and n >= {collocations.THRESHOLD}
+), cuts as (
+  select c.lang, c.phrase, c.size, c.a, k, x.n as l, y.n as r,
+    (2000000::hugeint * c.a) // (x.n + y.n) as score
+  from (
+    select *, array_to_string(ws[1:k], ' ') as first, array_to_string(ws[k + 1:], ' ') as rest
+    from (select *, unnest(range(1, size)) as k from c)
+  ) c
+    join f x on x.lang = c.lang and x.phrase = c.first
+    join f y on y.lang = c.lang and y.phrase = c.rest
+  qualify row_number() over (partition by c.lang, c.phrase order by score, k) = 1
+), inner_parts as (
+  {" union all ".join(
+      f"select lang, a, array_to_string(ws[i:i + {many - 1}], ' ') as phrase"
+      f" from (select lang, a, ws, unnest(range(1, size - {many - 2})) as i from c where size > {many})"
+      for many in _PARTS if many > 1
+  )}
+), longer as (
+  select lang, phrase, max(a) as longer from inner_parts group by lang, phrase
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase)::integer as rank,
+  phrase, a, l, r, t.n, score::bigint as score
+from cuts left join longer using (lang, phrase) join t using (lang)
+where longer is null or 100::hugeint * longer < {collocations.SHARE}::hugeint * a
+qualify rank <= {collocations.KEEP}
+"""
+
+OP13 = rf"""
+with d as (
+  select row_number() over () as row_id, doc_id,
+    regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+  from documents
+), i as (
+  select item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from benchmark
+), s as (
+  select item_id, ws, least(len(ws), {decontamination.WINDOW}) as size from i where len(ws) > 0
+), windows as (
+  select distinct item_id, size, array_to_string(ws[b:b + size - 1], ' ') as phrase
+  from (select *, unnest(range(1, len(ws) - size + 2)) as b from s)
+), places as (
+  select row_id, size, b, array_to_string(ws[b:b + size - 1], ' ') as phrase
+  from (
+    select *, unnest(range(1, len(ws) - size + 2)) as b
+    from d cross join (select distinct size from windows)
+  )
+), met as (
+  select row_id, b, size, item_id from places join windows using (size, phrase)
+), hit as (
+  select row_id, count(distinct place) as n_hit
+  from (select row_id, unnest(range(b, b + size)) as place from met) group by row_id
+), names as (
+  select row_id, list_sort(list(distinct item_id::varchar)) as items
+  from met where item_id is not null group by row_id
+)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+  coalesce(len(items), 0)::bigint as n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit using (row_id) left join names using (row_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_quality_rules": OP2,
     "op4_mixing": OP4,
     "op7_exact_dedup": OP7,
     "op10_warc": OP10,
+    "op11_divergence": OP11,
+    "op12_collocations": OP12,
+    "op13_decontamination": OP13,
 }

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmart.llm import (
+    collocations,
+    decontamination,
+    divergence,
     exact_dedup,
     mixing,
     near_dedup,
@@ -121,6 +124,26 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_round_trip(_table(spark, folder, "pages"))
 
 
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_table(spark, folder, "documents"))
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(_table(spark, folder, "documents"))
+
+
+def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    return decontamination.find_leaks(docs, items).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -132,4 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_neighbours": op8_quality_neighbours,
     "op9_secrets": op9_secrets,
     "op10_warc": op10_warc,
+    "op11_divergence": op11_divergence,
+    "op12_collocations": op12_collocations,
+    "op13_decontamination": op13_decontamination,
 }
