@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 import re
 
+from pyspark.sql import functions as F
+
 SCHEMA = (
     "doc_id long, text string, source string, id long, row string, ids string, words string, size long, key string"
 )
@@ -29,11 +31,19 @@ def documents() -> list[tuple]:
     ]
     rows = [(i, t, ("a", "b", None)[i % 3], 7, "r", "i", "w", -1, "k") for i, t in enumerate(texts)]
     rows += [rows[6], rows[6], (None, base, "b", 7, "r", "i", "w", -1, "k")]
+    # One id with several texts: a shorter one that shares a passage, null and empty.
+    for number, text in ((13, prose(9, 5) + " " + passage), (13, "short"), (0, ""), (1, None), (15, base)):
+        rows.append((number, text, "c", 7, "r", "i", "w", -1, "k"))
     return rows
 
 
+CLASHING = "_id _kept_id _given _digest given digest number hash head salt kept text_key draw".split()
+
+
 def frame(spark, rows=None):
-    return spark.createDataFrame(documents() if rows is None else rows, SCHEMA)
+    """The documents, with columns named as operators name theirs."""
+    made = spark.createDataFrame(documents() if rows is None else rows, SCHEMA)
+    return made.withColumns({name: F.lit("x") for name in CLASHING})
 
 
 def words_of(text: str | None) -> list[str]:

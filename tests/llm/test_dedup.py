@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tillmart.llm import components, exact_dedup, near_dedup, substring_dedup
+from tillmart.llm import common, components, exact_dedup, near_dedup, substring_dedup
 from tests.llm.cases import documents, frame, lower, prose, words_of
 
 
@@ -110,22 +110,22 @@ def test_near_dedup_crowd(spark):
     assert found == {i: 0 if i < 400 else i for i, _ in rows}
 
 
-def star_rows(copies):
-    """An original and copies with three words changed in each, like the original but not each other."""
+def star_rows(copies, changes=3):
+    """An original and copies with some words changed in each, like the original but not each other."""
     base = prose(12, 200).split()
     rows = [(5000, " ".join(base))]
     for i in range(copies):
         words, draw = list(base), random.Random(i)
-        for k, part in enumerate((10, 80, 150)):
-            words[part + draw.randrange(40)] = f"w{i}x{k}"
+        for k in range(changes):
+            words[draw.randrange(5, 195 // changes) + 195 // changes * k] = f"w{i}x{k}"
         rows.append((i, " ".join(words)))
     return rows
 
 
-@pytest.mark.parametrize("copies, block, large", [(1000, 512, 64), (120, 50, 10**9)])
-def test_near_dedup_star(spark, monkeypatch, copies, block, large):
-    """Only the original's own links hold a star of copies together."""
-    monkeypatch.setattr(near_dedup, "BLOCK", block)
+@pytest.mark.parametrize("copies, cell, large", [(1000, 2048, 64), (120, 2048, 10**9), (120, 30, 10**9)])
+def test_near_dedup_star(spark, monkeypatch, copies, cell, large):
+    """Only the original's own links hold a star of copies together; with and without its hub."""
+    monkeypatch.setattr(near_dedup, "CELL", cell)
     monkeypatch.setattr(near_dedup, "LARGE", large)
     rows = star_rows(copies) + [(6000 + i, prose(700 + i, 200)) for i in range(20)]
     sets = {i: set(near_dedup.shingle_set(t.encode()).tolist()) for i, t in rows}
@@ -140,6 +140,64 @@ def test_near_dedup_star(spark, monkeypatch, copies, block, large):
     assert found == {i: 0 if i <= 5000 else i for i, _ in rows}
 
 
+def test_near_dedup_crowd_of_strangers(spark, monkeypatch):
+    """Copies that are alike at 0.67 and linked to nobody hardly meet, and nothing grows with their square."""
+    rows = [(i, t) for i, t in star_rows(1600, 8) if i < 5000]
+    base = rows[0][1].split()
+    base[60] = "other"
+    rows.append((7000, " ".join(base)))
+    made = {}
+
+    def counted(frame, label):
+        made[label] = made.get(label, 0) + frame.count()
+        return common.written(frame, label)
+
+    monkeypatch.setattr(near_dedup, "written", counted)
+    got = near_dedup.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    found = {r["doc_id"]: r["component_id"] for r in got.collect()}
+    assert found == {i: 0 if i == 7000 else i for i, _ in rows}
+    assert made["hub-pairs"] + made["rare-shingles"] + made["links"] < 20_000
+    assert made["candidates"] <= 2 * near_dedup.NEIGHBOURS * near_dedup.TREES * len(rows)
+    assert made["crowd-sets"] > 1000
+
+
+def brute_cells(rows, percent):
+    sets = {i: set(near_dedup.shingle_set(t.encode()).tolist()) for i, t in rows}
+    label = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]) and label[a] != label[b]:
+                low, high = sorted((label[a], label[b]))
+                label = {i: low if x == high else x for i, x in label.items()}
+    return label
+
+
+@pytest.mark.parametrize("percent", [80, 85, 95])
+def test_crowd_join_is_exact(spark, monkeypatch, percent):
+    """The join by rare shingles alone finds all components, at any similarity and with small blocks."""
+    monkeypatch.setattr(near_dedup, "CELL", 5)
+    draw, bases = random.Random(percent), [prose(40 + i, 60).split() for i in range(3)]
+    rows = []
+    for i in range(90):
+        words = list(bases[i % 3])[: 60 - draw.randrange(8)]
+        for _ in range(draw.randrange(4)):
+            words[draw.randrange(len(words))] = f"w{draw.randrange(30)}"
+        rows.append((i, " ".join(words)))
+    texts = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    members = spark.createDataFrame([(i, 0, i) for i, _ in rows], "rep long, n long, component long")
+    links = near_dedup.crowd_links(members, texts, percent)
+    found = {r["node"]: r["component"] for r in components.connected_components(links).collect()}
+    assert {i: found.get(i, i) for i, _ in rows} == brute_cells(rows, percent)
+
+
+def test_near_dedup_of_repeated_ids(spark):
+    """Any text of an id counts, and its texts hold together."""
+    one, two, three = prose(80, 120), prose(81, 120), prose(82, 120)
+    rows = [(1, one), (1, two), (2, three + " end"), (2, two + " end"), (3, three), (4, None), (4, "four"), (5, "FOUR")]
+    got = near_dedup.components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
+
+
 def test_near_dedup_keeps_columns_and_clean_documents(spark):
     docs = frame(spark)
     kept = near_dedup.keep_one(docs)
@@ -156,8 +214,8 @@ def test_components_of_a_long_chain(spark):
 
 
 @pytest.mark.parametrize("keep", ["largest", "smallest"])
-@pytest.mark.parametrize("per_salt", [1000, 2])
-def test_exact_dedup(spark, keep, per_salt):
+@pytest.mark.parametrize("hot_rows", [1000, 2])
+def test_exact_dedup(spark, keep, hot_rows):
     rows = documents()
     groups: dict[str, list] = {}
     for number, text, *_ in rows:
@@ -168,12 +226,26 @@ def test_exact_dedup(spark, keep, per_salt):
         members = groups[text or ""]
         best = choose(n for n in members if n is not None)
         expected[(number, best, len(members), hashlib.sha256((text or "").encode()).hexdigest())] += 1
-    got = exact_dedup.content_groups(frame(spark, rows), keep=keep, rows_per_salt=per_salt)
+    got = exact_dedup.content_groups(frame(spark, rows), keep=keep, hot_rows=hot_rows)
     assert Counter(map(tuple, got.drop("kept").collect())) == expected
     kept = Counter(r["text_sha256"] for r in got.filter("kept").collect())
     assert kept == Counter({hashlib.sha256(t.encode()).hexdigest(): 1 for t in groups})
 
 
+def test_copies_are_settled_as_neighbours(spark):
+    """A text within the bound is one run; a hot text has a run for each part, and only those carry it on."""
+    rows = [(i, f"text {i % 40}") for i in range(400)] + [(1000 + i, "hot") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    runs = exact_dedup.sorted_runs(docs, hot_rows=50).collect()
+    firsts = Counter(r["digest"].hex() for r in runs if r["first"])
+    hot = hashlib.sha256(b"hot").hexdigest()
+    assert {d: n for d, n in firsts.items() if d != hot} == {
+        hashlib.sha256(f"text {i}".encode()).hexdigest(): 1 for i in range(40)
+    }
+    assert 2 <= firsts[hot] <= 6
+    assert sum(r["part_text"] == "hot" for r in runs) == firsts[hot] == sum(r["part_text"] is not None for r in runs)
+
+
 def test_drop_copies_leaves_one_row_a_text(spark):
     docs = frame(spark)
     kept = exact_dedup.drop_copies(docs)
