@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -63,11 +63,11 @@ def load(path: str = MODEL_PATH) -> Vocabulary:
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> DataFrame:
     """`row` (the input row) and `ids`, the pieces of its text."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast(astuple(vocabulary))
     rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(Vocabulary(*shared.value))
         for batch in batches:
             parts = [encoder.encode(t.as_py() or "") for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("row"), _lists(parts)], names=["row", "ids"])
@@ -80,11 +80,11 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> D
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids") -> DataFrame:
     """`row` (the input row) and `decoded`, the text of its pieces; null ids give the empty text."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = encoded.sparkSession.sparkContext.broadcast(astuple(vocabulary))
     rows = encoded.select(F.struct("*").alias("row"), F.col(ids_col).alias("ids"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(shared.value)
+        decoder = Decoder(Vocabulary(*shared.value))
         for batch in batches:
             texts = [decoder.decode(i.values.to_numpy() if i.is_valid else ()) for i in batch.column("ids")]
             yield pa.RecordBatch.from_arrays(
