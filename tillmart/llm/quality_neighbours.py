@@ -67,6 +67,11 @@ class Model:
     labels: np.ndarray | None = None
 
 
+def plain(model: Model) -> tuple:
+    """The model's parts; executors would need the package to read a broadcast `Model`."""
+    return model.prior, model.idf, model.directions, model.vectors, model.labels
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -101,14 +106,15 @@ def score(
     """id and score (0 to 1, higher is better) per row."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(plain(model))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*shared.value)
         for batch in batches:
             scores = []
             for at in range(0, batch.num_rows, BLOCK):
                 texts = text_bytes(batch.column("text").slice(at, BLOCK))
-                scores.append(vote(shared.value, np.array([features(t) for t in texts])))
+                scores.append(vote(model, np.array([features(t) for t in texts])))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(np.concatenate(scores) if scores else np.empty(0))],
                 names=["id", "score"],
@@ -130,15 +136,16 @@ def keep_good(
     The model learns from `learn_from`, by default `docs` themselves.
     """
     model = train(docs if learn_from is None else learn_from, labels, text_col=text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(plain(model))
     rows = docs.select(F.struct("*").alias("row"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK):
                 part = batch.column("row").slice(at, BLOCK)
                 texts = text_bytes(part.field(text_col))
-                scores = vote(shared.value, np.array([features(t) for t in texts]))
+                scores = vote(model, np.array([features(t) for t in texts]))
                 good = part.filter(pa.array(scores >= threshold))
                 yield pa.RecordBatch.from_arrays([good], names=["row"])
 
