@@ -71,10 +71,13 @@ def test_mixing_targets_and_limits(spark):
         sizes[source] = sizes.get(source, 0) + len(words_of(text))
     wanted = brute_targets(sizes)
     got = mixing.mix_sources(frame(spark, rows), block=8, shard_words=64)
-    taken = got.join(frame(spark, rows).select("doc_id", "source").distinct(), "doc_id")
-    by = {r["source"]: r for r in taken.groupBy("source").agg(F.max("target").alias("t"), F.sum("taken").alias("k")).collect()}
+    assert len(set(sizes.values())) == len(sizes)
+    by = got.groupBy("source_size").agg(F.max("target").alias("t"), F.sum("taken").alias("k")).collect()
+    by = {r["source_size"]: r for r in by}
     for source, target in wanted.items():
-        assert by[source]["t"] == pytest.approx(target)
+        found = by[sizes[source]]
+        assert found["t"] == pytest.approx(target)
+        assert abs(found["k"] - target) <= 8
     assert got.filter("taken > 2 * size or taken < 0").isEmpty()
     assert got.count() == len(rows)
     assert Counter(map(tuple, got.collect())) == Counter(
@@ -82,6 +85,24 @@ def test_mixing_targets_and_limits(spark):
     )
 
 
+def test_each_source_comes_near_its_target(spark):
+    """Within a block; blocks that many small sources round off may go to a large one."""
+    rows = [(i, prose(i, 200), f"s{i:02}") for i in range(9)]
+    rows += [(100 + i, prose(100 + i, 30 + 7 * i), "large") for i in range(60)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), shard_words=2000)
+    sources = got.groupBy("source_size", "target").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+    for r in sources.collect():
+        many = r["size"] // r["source_size"]  # sources of one size and target
+        assert abs(r["taken"] - many * r["target"]) <= max(many * mixing.BLOCK, 0.01 * r["target"])
+
+
+def test_rows_of_one_id_keep_their_own_words(spark):
+    rows = [(7, prose(1, 300), "a"), (7, "seven words of a text are here", "a"), (7, "", "a"), (7, None, "b"), (8, "x y", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    texts = Counter(r["text"] for r in mixing.mixed_documents(docs, limit=1, share=1.0, block=1).collect())
+    assert texts == Counter(t for _, t, _ in rows if t)
+
+
 def test_mixed_documents_hold_the_words_taken(spark):
     rows = [r for r in documents()[:21]]
     docs = frame(spark, rows)

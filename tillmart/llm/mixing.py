@@ -7,10 +7,11 @@
    apportionment (highest quotients w / (2k - 1)) gives each source an integer
    number of blocks. Inside a source the same rule hands its blocks down a tree
    of shards, `FAN` children a node, to shards of about `shard_words` words.
-3. Selection: documents of a shard lie in seeded random order, its words are cut
-   into equal blocks, and the quota is taken: whole passes over the shard, and
-   for the rest a circular run of blocks from a seeded start. What a document
-   gives is the overlap of its words with the chosen blocks.
+3. Selection: documents of a shard lie in seeded random order, and the quota's
+   blocks of `block` words are taken one behind the other from a seeded start, going on at
+   the front behind the last word, so each block has its full size and a source
+   comes within a block of its target, but for blocks that the others round off. What a document gives is the overlap of its words
+   with the chosen blocks. A shard is passed `limit` times at most.
 
 No step ranks more than a bounded number of rows together: a shard is bounded by
 its words, a tree node by its children. Only the table of sources, one row for
@@ -21,8 +22,8 @@ method's multiplier lies between S - n/2 and S + n/2 divided by the sum of the
 weights, so all but about 4 n quotients are decided beforehand.
 
 Defined results: a null text and a text without words have size 0 and nothing is
-taken; a null source is a source of its own, last in order; rows repeated are
-separate documents; with no words at all every target is 0; an empty table gives
+taken; a null source is a source of its own, last in order; rows repeated, under one id
+too, are separate documents; with no words at all every target is 0; an empty table gives
 an empty result. Other columns are ignored by `mix_sources` and kept by
 `mixed_documents`.
 """
@@ -58,35 +59,43 @@ def mixed_documents(
     """The mix itself, with the columns of the input: a row for each whole pass over a document and
     one for each part of it, whose words are joined by one space.
 
-    Rows repeated with one id get the allocation of one of them.
+    Rows are numbered as they are written first, so rows of one id keep their own allocation.
     """
-    given = (
-        allocate(docs, id_col, source_col, text_col, **options)
-        .filter("taken > 0")
-        .select(F.col("id").alias("_id"), "size", "passes", "skip1", "take1", "skip2", "take2")
-        .dropDuplicates(["_id"])
+    numbered = written(
+        docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("number")),
+        "mix-rows",
     )
-    given = given.select("_id", F.struct(*given.columns[1:]).alias("_given"))
-    words = word_array(text_col)
+    given = allocate(
+        numbered.select("number", *(F.col("row")[c].alias(c) for c in (id_col, source_col, text_col))),
+        id_col,
+        source_col,
+        text_col,
+        number_col="number",
+        **options,
+    ).filter("taken > 0")
+    given = given.select("number", F.struct("size", "passes", "skip1", "take1", "skip2", "take2").alias("given"))
+    text = F.col("row")[text_col]
+    words = word_array(text)
 
     def part(skip: str, take: str) -> Column:
-        skip, take = F.col(f"_given.{skip}"), F.col(f"_given.{take}")
+        skip, take = F.col(f"given.{skip}"), F.col(f"given.{take}")
         return F.when(take <= 0, F.array().cast("array<string>")).otherwise(
             F.array(
-                F.when(take == F.col("_given.size"), F.col(text_col)).otherwise(
+                F.when(take == F.col("given.size"), text).otherwise(
                     F.array_join(F.slice(words, (skip + 1).cast("int"), take.cast("int")), " ")
                 )
             )
         )
 
     copies = F.concat(
-        F.array_repeat(F.col(text_col), F.col("_given.passes").cast("int")),
+        F.array_repeat(text, F.col("given.passes").cast("int")),
         part("skip1", "take1"),
         part("skip2", "take2"),
     )
-    joined = docs.join(given.hint("merge"), docs[id_col].eqNullSafe(F.col("_id")))
-    others = [F.explode(copies).alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    return joined.select(*others)
+    joined = numbered.join(given.hint("merge"), "number").select("row", F.explode(copies).alias("taken_text"))
+    return joined.select(
+        *(F.col("taken_text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns)
+    )
 
 
 def allocate(
@@ -100,12 +109,14 @@ def allocate(
     block: int = BLOCK,
     shard_words: int = SHARD_WORDS,
     seed: int = SEED,
+    number_col: str | None = None,
 ) -> DataFrame:
-    """id, size, source_size, target, taken, and what is taken of each row: `passes` over it, and
-    two parts of `take` words behind `skip` words."""
+    """id, number, size, source_size, target, taken, and what is taken of each row: `passes` over it, and
+    two parts of `take` words behind `skip` words. `number_col` may tell rows of one id apart."""
     sized = written(
         docs.select(
             F.col(id_col).alias("id"),
+            (F.lit(0).cast("long") if number_col is None else F.col(number_col)).alias("number"),
             F.col(source_col).alias("source"),
             source_key(F.col(source_col)).alias("key"),
             word_count(text_col).alias("size"),
@@ -126,21 +137,23 @@ def allocate(
         "key",
     ).withColumn("shard", F.pmod(_number("draw"), F.col("shards")))
     quotas = _shard_quotas(dealt, sources, block)
-    order = Window.partitionBy("key", "shard").orderBy("draw", F.col("id").asc_nulls_first(), "size")
+    order = Window.partitionBy("key", "shard").orderBy(
+        "draw", F.col("id").asc_nulls_first(), "size", "number"
+    )
     placed = dealt.withColumn(
         "begin",
         F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"),
     )
+    toss = F.pmod(_number(F.md5(F.concat_ws(":", F.lit(seed), "key", "shard"))), F.col("blocks"))
     chosen = (
-        quotas.withColumn("blocks", F.expr(f"(words + {block - 1}) div {block}"))
-        .withColumn("quota", F.least("seats", limit * F.col("blocks")))
-        .withColumn("cut", F.greatest("blocks", F.lit(1)))
+        quotas.withColumn("blocks", F.greatest(F.expr(f"(words + {block - 1}) div {block}"), F.lit(1)))
+        .withColumn("quota", F.least(F.col("seats") * block, F.col("words") * limit))
+        .withColumn("cut", F.greatest("words", F.lit(1)))
         .withColumn("passes", F.expr("quota div cut"))
         .withColumn("rest", F.expr("quota % cut"))
-        .withColumn("start", F.pmod(_number(F.md5(F.concat_ws(":", F.lit(seed), "key", "shard"))), F.col("cut")))
-        .withColumn("from1", F.expr("start * words div cut"))
-        .withColumn("to1", F.expr("least(start + rest, cut) * words div cut"))
-        .withColumn("to2", F.expr("greatest(start + rest - cut, 0) * words div cut"))
+        .withColumn("from1", toss * block)
+        .withColumn("to1", F.least(F.col("from1") + F.col("rest"), F.col("words")))
+        .withColumn("to2", F.greatest(F.col("from1") + F.col("rest") - F.col("words"), F.lit(0)))
         .select("key", "shard", "passes", "from1", "to1", "to2")
     )
     end = F.col("begin") + F.col("size")
@@ -158,7 +171,7 @@ def allocate(
         .withColumn("skip2", F.lit(0))
         .withColumn("taken", (F.col("passes") * F.col("size") + F.col("take1") + F.col("take2")).cast("long"))
         .select(
-            "id", "size", "source_size", "target", "taken", "passes", "skip1", "take1", "skip2", "take2"
+            "id", "number", "size", "source_size", "target", "taken", "passes", "skip1", "take1", "skip2", "take2"
         )
     )
 

@@ -127,12 +127,14 @@ with d as (
   )
   where place <= all_seats group by key, shard
 ), c as (
-  select key, shard, words, greatest((words + {_BLOCK - 1}) // {_BLOCK}, 1) as cut,
-    least(coalesce(seats, 0), {_LIMIT} * ((words + {_BLOCK - 1}) // {_BLOCK})) as quota,
+  select key, shard, words, greatest(words, 1) as cut,
+    least(coalesce(seats, 0) * {_BLOCK}, {_LIMIT} * words) as quota,
     {_number(f"md5('{_SEED}:' || key || ':' || shard)")} as toss
   from h left join hp using (key, shard)
 ), k as (
-  select *, quota // cut as passes, quota % cut as rest, toss % cut as start from c
+  select *, quota // cut as passes, quota % cut as rest,
+    toss % greatest((words + {_BLOCK - 1}) // {_BLOCK}, 1) * {_BLOCK} as start
+  from c
 ), a as (
   select *,
     sum(size) over (partition by key, shard order by draw, doc_id nulls first, size
@@ -141,9 +143,8 @@ with d as (
 )
 select doc_id, size, source_size, target, (
     passes * size
-    + greatest(least(upto, least(start + rest, cut) * words // cut)
-      - greatest(upto - size, start * words // cut), 0)
-    + greatest(least(upto, greatest(start + rest - cut, 0) * words // cut) - (upto - size), 0)
+    + greatest(least(upto, start + rest, words) - greatest(upto - size, start), 0)
+    + greatest(least(upto, greatest(start + rest - words, 0)) - (upto - size), 0)
   )::bigint as taken
 from a join k using (key, shard)
 """
