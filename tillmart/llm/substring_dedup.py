@@ -24,7 +24,7 @@ up before the shuffle.
 
 Defined results: a null or empty text has no words; a text shorter than a window loses
 nothing; a document repeated within itself is no duplicate; rows repeated with the same id are
-not smaller than each other; of exact copies all but those with the smallest id lose every word
+not smaller than each other, and each is judged by its own text; of exact copies all but those with the smallest id lose every word
 if they have a window; a null id loses nothing and counts for nobody; an empty table gives an
 empty result. Other columns are ignored.
 """
@@ -46,7 +46,7 @@ SHARD_WORDS = 20_000
 CROWD = 1_000
 
 _RUNS = "id long, text_key long, anchor long, start int, windows int"
-_PIECES = "id long, anchor long, start int, piece binary"
+_PIECES = "id long, text_key long, anchor long, start int, piece binary"
 _OWNERS = "anchor long, piece_key binary, owners array<long>"
 
 
@@ -59,6 +59,8 @@ def remove_repeats(
 ) -> DataFrame:
     """One row per input row: id, n_words, n_removed, kept_text, spans (first word, end) removed."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    # An id may come with several texts: each has its own runs and spans.
+    texts = texts.withColumn("text_key", F.xxhash64("text"))
     runs = written(texts.mapInArrow(_runs(window, gram), _RUNS), "anchor-runs")
     firsts = written(
         runs.groupBy("text_key").agg(F.min("id").alias("first_id")), "first-texts"
@@ -75,11 +77,11 @@ def remove_repeats(
         runs.join(shared.hint("merge"), "anchor")
         .join(firsts.hint("merge"), "text_key")
         .filter("id = first_id")
-        .groupBy("id")
+        .groupBy("id", "text_key")
         .agg(F.collect_set(F.struct("start", "windows", "anchor")).alias("runs")),
         "wanted-runs",
     )
-    pieces = texts.join(wanted.hint("merge"), "id").select("id", "text", "runs")
+    pieces = texts.join(wanted.hint("merge"), ["id", "text_key"]).select("id", "text_key", "text", "runs")
     pieces = written(
         pieces.mapInArrow(_pieces(window), _PIECES).withColumn(
             "piece_key", F.unhex(F.md5("piece"))
@@ -93,11 +95,11 @@ def remove_repeats(
     )
     owners = _owners(reference, window)
     covered = (
-        pieces.select("id", "anchor", "start", "piece_key")
+        pieces.select("id", "text_key", "anchor", "start", "piece_key")
         .join(owners.hint("merge"), ["anchor", "piece_key"])
-        .select("id", "start", F.transform("owners", lambda o: o < F.col("id")).alias("taken"))
+        .select("id", "text_key", "start", F.transform("owners", lambda o: o < F.col("id")).alias("taken"))
         .filter(F.exists("taken", lambda t: t))
-        .groupBy("id")
+        .groupBy("id", "text_key")
         .agg(F.collect_list(F.struct("start", "taken")).alias("taken"))
     )
     copies = (
@@ -105,16 +107,16 @@ def remove_repeats(
         .distinct()
         .join(firsts.hint("merge"), "text_key")
         .filter("id > first_id")
-        .select("id", F.lit(True).alias("copy"))
+        .select("id", "text_key", F.lit(True).alias("copy"))
         .distinct()
     )
     found = written(
-        covered.join(copies.hint("merge"), "id", "full").select(
-            "id", "taken", F.coalesce("copy", F.lit(False)).alias("copy")
+        covered.join(copies.hint("merge"), ["id", "text_key"], "full").select(
+            "id", "text_key", "taken", F.coalesce("copy", F.lit(False)).alias("copy")
         ),
         "covered",
     )
-    out = texts.join(found.hint("merge"), "id", "left").mapInArrow(
+    out = texts.join(found.hint("merge"), ["id", "text_key"], "left").mapInArrow(
         _cut(window), "id long, n_words long, n_removed long, kept_text string, spans array<struct<start:int,end:int>>"
     )
     return out.withColumnRenamed("id", id_col)
@@ -174,18 +176,15 @@ def _runs(window: int, gram: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in _RUNS.split(", ")]
         for batch in batches:
-            ids = batch.column("id").to_pylist()
+            ids, keys = batch.column("id").to_pylist(), batch.column("text_key").to_pylist()
             parts: list[tuple] = []
-            for number, text in zip(ids, text_bytes(batch.column("text")), strict=True):
+            for number, key, text in zip(ids, keys, text_bytes(batch.column("text")), strict=True):
                 if number is None:
                     continue
                 found, starts, sizes = anchors(text, window, gram)
                 if len(starts):
-                    key = int(gram_hashes(words := word_hashes(text), len(words))[0]) ^ len(words)
                     many = len(starts)
-                    parts.append(
-                        (np.full(many, number), np.full(many, key, dtype=np.uint64), found, starts, sizes)
-                    )
+                    parts.append((np.full(many, number), np.full(many, key), found, starts, sizes))
                 if len(parts) >= 500:
                     yield _columns(parts, names)
                     parts = []
@@ -215,12 +214,13 @@ def _pieces(window: int):
         for batch in batches:
             rows, size = [], 0
             texts = text_bytes(batch.column("text"))
-            for number, text, runs in zip(batch.column("id"), texts, batch.column("runs"), strict=True):
+            columns = (batch.column("id"), batch.column("text_key"), texts, batch.column("runs"))
+            for number, key, text, runs in zip(*columns, strict=True):
                 words = text.split()
                 for found in runs.as_py():
                     start = found["start"]
                     piece = b" ".join(words[start : start + found["windows"] + window - 1])
-                    rows.append((number.as_py(), found["anchor"], start, piece))
+                    rows.append((number.as_py(), key.as_py(), found["anchor"], start, piece))
                     size += len(piece)
                 if size > 4 << 20:
                     yield _piece_batch(rows, names)
@@ -232,7 +232,7 @@ def _pieces(window: int):
 
 
 def _piece_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    types = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
     columns = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names
