@@ -8,9 +8,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tillmart import schemas
-from tillmart.operators import dims, facts, quality, runlog, staging
+from tillmart.operators import dims, facts, quality, runlog, staging, summary
 from tillmart.plans import jobs
-from tillmart.sources import jdbc, tables
+from tillmart.sources import jdbc
 
 from tests import golden
 
@@ -49,20 +49,21 @@ def test_emptied_date_loses_its_summary_and_keeps_its_rejects(spark, root):
 
 
 def test_load_checks_see_what_is_wrong(spark, root):
-    """Facts without parent, a stale summary, a missing one, and a row too many."""
+    """Facts without parent, a stale summary, a missing one, a row too many, a missing key."""
     source, at = golden.source(spark), datetime(2025, 1, 1, tzinfo=timezone.utc)
     jobs.run_range(spark, source, root, "2025-12-01", golden.TODAY, at)
     mart = jobs.Mart(spark, root)
-    loaded, stored = mart.fact_sales, mart.sales_summary_daily
+    sums, stored = mart.daily_sums, mart.sales_summary_daily
     parents = {
         "customer_key": mart.dim_customers.where("customer_key > 1"),
         "product_key": mart.dim_products,
     }
     day_off = stored.selectExpr("* except (summary_date)", "date_add(summary_date, 1) summary_date")
+    dates = [str(r[0]) for r in mart.fact_sales.select("sale_date").distinct().collect()]
 
     def actual(**given):
-        args = {"loaded": loaded, "summary": stored, "parents": parents, "accepted": 20} | given
-        checks = quality.check_load(day="2025-12-01", as_of=at, **args).collect()
+        args = {"sums": sums, "dates": dates, "summary": stored, "parents": parents, "accepted": 20} | given
+        checks = quality.check_load(day="2025-12-01", **args).collect()
         return {c.check_name: (c.actual, c.passed) for c in checks}
 
     assert actual() == {
@@ -75,8 +76,8 @@ def test_load_checks_see_what_is_wrong(spark, root):
     wrong = actual(summary=day_off, accepted=19)
     assert wrong["missing_summaries"] == wrong["stale_summaries"] == (1, False)
     assert wrong["fact_count"] == (20, False)
-    no_key = loaded.withColumn("product_key", F.lit(None).cast("bigint"))
-    assert actual(loaded=no_key)["null_keys"] == (20, False)
+    no_key = summary.daily_sums(mart.fact_sales.withColumn("product_key", F.lit(None).cast("bigint")))
+    assert actual(sums=no_key)["null_keys"] == (20, False)
 
 
 def test_constraints_of_an_empty_and_a_skewed_table(spark):
@@ -173,19 +174,6 @@ def test_not_null(spark):
         schemas.enforce(nameless, schemas.CUSTOMERS).collect()
 
 
-def test_unfinished_snapshot_is_ignored(spark, root):
-    path = f"{root}/dim"
-    frame = dims.refresh_dim(golden.customers(spark), "customer_id", "customer_key", "2024-01-01")
-    tables.write_snapshot(frame, path, schemas.DIM_CUSTOMERS)
-    torn = f"{path}/{tables.SNAPSHOT}2"
-    frame.limit(1).write.option(
-        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
-    ).parquet(torn)
-    assert tables.read_snapshot(spark, path, schemas.DIM_CUSTOMERS).count() == 5
-    tables.write_snapshot(frame.limit(2), path, schemas.DIM_CUSTOMERS)
-    assert tables.read_snapshot(spark, path, schemas.DIM_CUSTOMERS).count() == 2
-
-
 def test_checks(spark):
     sales = golden.sales(spark)
     assert quality.check_loaded(sales, golden.TODAY).first().passed

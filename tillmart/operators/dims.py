@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmart.session import scratch_dir
@@ -117,6 +117,25 @@ def refresh_dim(
     )
 
 
+def bucket_of(natural: str, buckets: int) -> Column:
+    """Bucket of a natural key."""
+    return F.pmod(F.hash(F.col(natural)), F.lit(buckets))
+
+
+def fingerprints(source: DataFrame, natural: str, buckets: int) -> DataFrame:
+    """bucket, rows, print: a text that changes with any row of the bucket, but not with their order.
+
+    The print adds up two hashes of each row, so equal prints mean equal rows but for a
+    chance of 2**-128. Sums are made before the shuffle; the result has a row per bucket.
+    """
+    hashes = [F.xxhash64(F.lit(seed), *source.columns).cast("decimal(38,0)") for seed in (1, 2)]
+    return (
+        source.groupBy(bucket_of(natural, buckets).alias("bucket"))
+        .agg(F.count(F.lit(1)).alias("rows"), *(F.sum(h).alias(f"_{i}") for i, h in enumerate(hashes)))
+        .select("bucket", "rows", F.concat_ws(":", "rows", "_0", "_1").alias("print"))
+    )
+
+
 def key_map(dim: DataFrame, natural: str, key: str) -> DataFrame:
     """Natural key to surrogate key; the highest key wins when a natural key repeats."""
     return dim.groupBy(natural).agg(F.max(key).alias(key))

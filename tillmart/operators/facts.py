@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillmart import schemas
+
 FACT_COLUMNS = [
     "sale_id",
     "customer_key",
@@ -48,17 +50,37 @@ def fact_rejects(
     more: Sequence[str] = (),
 ) -> DataFrame:
     """Sales the fact load leaves out, with the dimension that has no row for them."""
+    return (
+        lookup_keys(sales, customer_map, product_map)
+        .withColumn("reason", reject_reason())
+        .where("reason is not null")
+        .select("sale_id", "customer_id", "product_id", "reason", *more)
+    )
+
+
+def reject_reason() -> Column:
+    """The dimension that has no row for a sale after the lookup; null for an accepted one."""
     no_customer, no_product = F.col("customer_key").isNull(), F.col("product_key").isNull()
-    reason = (
+    return (
         F.when(no_customer & no_product, "both")
         .when(no_customer, "customer")
         .when(no_product, "product")
     )
-    return (
-        lookup_keys(sales, customer_map, product_map)
-        .where(no_customer | no_product)
-        .select("sale_id", "customer_id", "product_id", reason.alias("reason"), *more)
-    )
+
+
+def loaded_rows(keyed: DataFrame, as_of: datetime | str) -> DataFrame:
+    """Accepted and rejected sales as one frame (`schemas.LOADED_SALES`), for a single write.
+
+    A rejected sale keeps its ids and the reason; its other columns are null, so that
+    nothing that is wrong with them can fail the load.
+    """
+    reason = reject_reason()
+    marked = keyed.withColumns({"reason": reason, "rejected": reason.isNotNull()})
+    rows = with_fact_columns(marked, as_of)
+    fact_only = [f.name for f in schemas.FACT_SALES if f.name not in ("sale_id", "sale_date", "loaded_at")]
+    blank = {name: F.when(~F.col("rejected"), F.col(name)) for name in fact_only}
+    natural = {name: F.when(F.col("rejected"), F.col(name)) for name in ("customer_id", "product_id")}
+    return schemas.enforce(rows.withColumns(blank | natural), schemas.LOADED_SALES, "not rejected")
 
 
 def replace_by_date(

@@ -118,10 +118,7 @@ def update_run(
     rows_extracted: int | None = None,
 ) -> None:
     """Append a new version of one run."""
-    entries = spark.read.parquet(path).where(F.col("log_id") == log_id)
-    version = entries.agg(F.max("version")).first()[0]
-    if version is None:
-        raise ValueError(f"no run {log_id} in the log")
+    latest, version = _latest(spark, path, log_id)
     change = spark.range(1).select(
         F.lit(log_id).cast("bigint").alias("log_id"),
         F.lit(status).alias("status"),
@@ -129,7 +126,6 @@ def update_run(
         F.lit(error_message).cast("string").alias("error_message"),
         F.lit(at).cast("timestamp").alias("end_time"),
     )
-    latest = entries.where(F.col("version") == version).drop("version")
     updated = update_runs(latest, change).withColumn(
         "rows_extracted",
         F.coalesce(F.lit(rows_extracted).cast("bigint"), F.col("rows_extracted")),
@@ -137,6 +133,29 @@ def update_run(
     _append(updated, path, version + 1)
 
 
+def complete_run(
+    spark: SparkSession, path: str, log_id: int, rows_loaded: int, rows_extracted: int, at: datetime
+) -> None:
+    """Append the version of a run that succeeded."""
+    latest, version = _latest(spark, path, log_id)
+    done = spark.range(1).select(
+        F.lit(log_id).cast("bigint").alias("log_id"),
+        F.lit(rows_loaded).cast("bigint").alias("rows_loaded"),
+    )
+    completed = complete_runs(latest, done, F.lit(at).cast("timestamp"))
+    rows = completed.withColumn("rows_extracted", F.lit(rows_extracted).cast("bigint"))
+    _append(rows, path, version + 1)
+
+
+def _latest(spark: SparkSession, path: str, log_id: int) -> tuple[DataFrame, int]:
+    """Newest entry of a run and its version."""
+    entries = spark.read.parquet(path).where(F.col("log_id") == log_id)
+    version = entries.agg(F.max("version")).first()[0]
+    if version is None:
+        raise ValueError(f"no run {log_id} in the log")
+    return entries.where(F.col("version") == version).drop("version"), version
+
+
 def _append(rows: DataFrame, path: str, version: int) -> None:
     (
         schemas.enforce(rows, schemas.ETL_LOG)

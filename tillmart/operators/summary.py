@@ -101,9 +101,18 @@ def _with_top_product(days: DataFrame, dim_products: DataFrame) -> DataFrame:
 
 def top_product_per_day(fact: DataFrame, dim_products: DataFrame) -> DataFrame:
     """Top product of every day in one pass."""
+    revenue = fact.groupBy("sale_date", "product_key").agg(cents_sum("total_amount").alias("cents"))
+    return _top_of_days(revenue, dim_products)
+
+
+def top_product_of_sums(sums: DataFrame, dim_products: DataFrame) -> DataFrame:
+    """Top product of every day from kept `daily_sums`."""
+    return _top_of_days(sums.where("not by_customer"), dim_products)
+
+
+def _top_of_days(revenue: DataFrame, dim_products: DataFrame) -> DataFrame:
     days = (
-        fact.groupBy("sale_date", "product_key")
-        .agg(cents_sum("total_amount").alias("_cents"))
+        revenue.withColumn("_cents", F.col("cents"))
         .join(dim_products.select("product_key", "product_id"), "product_key")
         .groupBy(F.col("sale_date").alias("summary_date"))
         .agg(_winner().alias("_top"))
@@ -113,47 +122,61 @@ def top_product_per_day(fact: DataFrame, dim_products: DataFrame) -> DataFrame:
     )
 
 
-def daily_summary(
-    fact: DataFrame, dim_products: DataFrame, day: date | str | None = None
-) -> DataFrame:
-    """Seven measures and the top product of one day, or of all days.
+def daily_sums(fact: DataFrame) -> DataFrame:
+    """Sums of the facts by (date, product) and, in rows of their own, by (date, customer).
 
-    The facts are read once: grouping sets sum them by (date, product), which
-    gives the totals and the top product, and by (date, customer), which gives
-    the distinct customers. No shuffle of the facts is keyed by the date alone,
-    so a hot date is spread. A day on which no fact has a product row gets no
-    summary. ``dim_products`` holds one row per product, as the load writes it.
+    The facts are read once, by grouping sets. No shuffle of the facts is keyed by the
+    date alone, so a hot date is spread. All figures by date, product or customer can be
+    had from these rows; a load keeps them (`schemas.DAILY_SUMS`).
     """
-    facts = fact if day is None else fact.where(F.col("sale_date") == as_date(day))
-    grouped = facts.groupingSets(
+    grouped = fact.groupingSets(
         [["sale_date", "product_key"], ["sale_date", "customer_key"]],
         "sale_date",
         "product_key",
         "customer_key",
     ).agg(
-        (F.grouping("product_key") == 1).alias("_by_customer"),
-        row_count().alias("_orders"),
-        F.sum("quantity").alias("_items"),
-        cents_sum("total_amount").alias("_cents"),
-        F.min("total_amount").alias("_min"),
-        F.max("total_amount").alias("_max"),
+        (F.grouping("product_key") == 1).alias("by_customer"),
+        row_count().alias("orders"),
+        whole_sum("quantity").alias("items"),
+        cents_sum("total_amount").alias("cents"),
+        F.min("total_amount").alias("least"),
+        F.max("total_amount").alias("most"),
     )
-    by_customer = F.col("_by_customer")
+    return grouped
+
+
+def daily_summary(
+    fact: DataFrame, dim_products: DataFrame, day: date | str | None = None
+) -> DataFrame:
+    """Seven measures and the top product of one day, or of all days."""
+    facts = fact if day is None else fact.where(F.col("sale_date") == as_date(day))
+    return summary_of_sums(daily_sums(facts), dim_products)
+
+
+def summary_of_sums(sums: DataFrame, dim_products: DataFrame) -> DataFrame:
+    """The daily summary of `daily_sums`, fresh or kept.
+
+    Rows by product give the totals and the top product, rows by customer the distinct
+    customers. A day on which no fact has a product row gets no summary.
+    ``dim_products`` holds one row per product, as the load writes it.
+    """
+    by_customer = F.col("by_customer")
     # Rows by customer have no product; each gets a negative number, which no key
     # equals, so that a shuffled join does not send all of them to one task.
     no_key = -1 - F.pmod(F.xxhash64("sale_date", "customer_key"), F.lit(1 << 40))
     products = dim_products.select(F.col("product_key").alias("_key"), "product_id")
     days = (
-        grouped.withColumn("_lookup", F.when(by_customer, no_key).otherwise(F.col("product_key")))
+        sums.withColumn("_cents", F.col("cents"))
+        .withColumn("_lookup", F.when(by_customer, no_key).otherwise(F.col("product_key")))
         .join(products, F.col("_lookup") == F.col("_key"), "left")
         .groupBy("sale_date")
         .agg(
             F.count_if(by_customer & F.col("customer_key").isNotNull()).alias("unique_customers"),
-            whole_sum(F.when(~by_customer, F.col("_orders"))).alias("total_orders"),
-            whole_sum(F.when(~by_customer, F.col("_items"))).alias("total_items_sold"),
-            F.sum(F.when(~by_customer, F.col("_cents"))).alias("_total"),
-            F.min("_min").alias("min_order_value"),
-            F.max("_max").alias("max_order_value"),
+            whole_sum(F.when(~by_customer, F.col("orders"))).alias("total_orders"),
+            whole_sum(F.when(~by_customer, F.col("items"))).alias("total_items_sold"),
+            F.sum(F.when(~by_customer, F.col("cents"))).alias("_total"),
+            F.min("least").alias("min_order_value"),
+            F.max("most").alias("max_order_value"),
             _winner().alias("_top"),
         )
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillmart.functions.money import (
     average_cents,
+    cents,
     cents_sum,
     from_cents,
     row_count,
@@ -52,19 +53,30 @@ def top_products(
     ``by=["product_id", …]`` to keep them apart. Facts are summed by key before
     the dimension joins, so the join sees one row per product.
     """
+    sums = fact.groupBy("product_key").agg(
+        row_count().alias("orders"), F.sum("quantity").alias("items"), cents_sum("total_amount").alias("cents")
+    )
+    return _products_by(sums, dim_products, by)
+
+
+def top_products_of_sums(
+    sums: DataFrame,
+    dim_products: DataFrame,
+    by: Sequence[str] = ("product_name", "category"),
+) -> DataFrame:
+    """`top_products` from kept daily sums."""
+    by_key = sums.where("not by_customer").groupBy("product_key")
+    return _products_by(by_key.agg(*(F.sum(c).alias(c) for c in ("orders", "items", "cents"))), dim_products, by)
+
+
+def _products_by(sums: DataFrame, dim_products: DataFrame, by: Sequence[str]) -> DataFrame:
     return (
-        fact.groupBy("product_key")
-        .agg(
-            row_count().alias("_orders"),
-            F.sum("quantity").alias("_items"),
-            cents_sum("total_amount").alias("_cents"),
-        )
-        .join(dim_products.select("product_key", *by), "product_key")
+        sums.join(dim_products.select("product_key", *by), "product_key")
         .groupBy(*by)
         .agg(
-            whole_sum("_orders").alias("total_orders"),
-            whole_sum("_items").alias("total_quantity_sold"),
-            F.sum("_cents").alias("_cents"),
+            whole_sum("orders").alias("total_orders"),
+            whole_sum("items").alias("total_quantity_sold"),
+            F.sum("cents").alias("_cents"),
         )
         .select(
             *by,
@@ -84,30 +96,55 @@ def customer_value(
     """Lifetime value per customer name, city and country.
 
     Customers equal in all three are merged, so their purchase days are a union
-    and cannot be added up per key. The facts are therefore grouped by a number
-    that stands for the merged customer, which keeps the three texts out of the
-    large shuffles; the texts join at the end. They are first summed by customer and
-    day, so the join with the customers sees a row per customer and day.
+    and cannot be added up per key. A number stands for the merged customer, which
+    keeps the three texts out of the large shuffle; they join at the end.
+
+    Days are kept as a set that can be merged: the bits of a word stand for 64 days, so
+    rows are grouped by customer and word, with an OR of bits, and the bits are counted.
+    Such sets add up over parts, loads and customers alike.
     """
+    rows = fact.select(
+        "customer_key",
+        "sale_date",
+        F.lit(1).alias("orders"),
+        F.col("quantity").alias("items"),
+        cents("total_amount").alias("cents"),
+    )
+    return _value_by(rows, dim_customers, by)
+
+
+def customer_value_of_sums(
+    sums: DataFrame,
+    dim_customers: DataFrame,
+    by: Sequence[str] = ("customer_name", "city", "country"),
+) -> DataFrame:
+    """`customer_value` from kept daily sums, which have a row per customer and day."""
+    return _value_by(sums.where("by_customer"), dim_customers, by)
+
+
+def _value_by(rows: DataFrame, dim_customers: DataFrame, by: Sequence[str]) -> DataFrame:
     groups = dim_customers.groupBy(*by).agg(F.min("customer_key").alias("_group"))
     members = dim_customers.alias("d").join(
         groups.alias("g"),
         [F.col(f"d.{name}").eqNullSafe(F.col(f"g.{name}")) for name in by],
     )
-    days = fact.groupBy("customer_key", "sale_date").agg(
-        row_count().alias("_orders"),
-        F.sum("quantity").alias("_items"),
-        cents_sum("total_amount").alias("_cents"),
-    )
     valued = (
-        days.join(members.select("customer_key", "_group"), "customer_key")
+        rows.join(members.select("customer_key", "_group"), "customer_key")
+        .groupBy("_group", F.shiftright(F.unix_date("sale_date"), 6).alias("_word"))
+        .agg(
+            F.bit_or(F.expr("shiftleft(1L, unix_date(sale_date) & 63)")).alias("_days"),
+            F.sum("orders").alias("_orders"),
+            F.sum("items").alias("_items"),
+            F.sum("cents").alias("_cents"),
+            F.max("sale_date").alias("_last"),
+        )
         .groupBy("_group")
         .agg(
-            F.countDistinct("sale_date").alias("purchase_days"),
+            whole_sum(F.bit_count("_days")).alias("purchase_days"),
             whole_sum("_orders").alias("total_orders"),
             whole_sum("_items").alias("total_items_purchased"),
             F.sum("_cents").alias("_cents"),
-            F.max("sale_date").alias("last_purchase_date"),
+            F.max("_last").alias("last_purchase_date"),
         )
     )
     return valued.join(groups, "_group").select(

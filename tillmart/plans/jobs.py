@@ -13,13 +13,18 @@ from pyspark.sql import functions as F
 from tillmart import schemas
 from tillmart.functions.money import row_count
 from tillmart.operators import dims, facts, joblog, quality, runlog, staging, summary
-from tillmart.sources import adapters, extracts, tables
+from tillmart.session import scratch_dir
+from tillmart.sources import adapters, extracts, tables, versions
+from tillmart.sources.versions import Version
 
 log = logging.getLogger("tillmart")
 
 # Names under which a load appears in the run log.
 JOB_NAME, TASK_NAME = "sales_mart", "load"
 
+# Buckets of a dimension's first load; later loads keep the number they find.
+DIM_BUCKETS = 16
+
 
 @dataclass(frozen=True)
 class Source:
@@ -40,54 +45,116 @@ class Source:
 
 @dataclass(frozen=True)
 class Mart:
-    """A stored mart below one folder."""
+    """A stored mart below one folder: as its newest version has it, or a given one."""
 
     spark: SparkSession
     root: str
+    version: Version | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    @property
+    def state(self) -> Version:
+        return versions.read(self.spark, self.root) if self.version is None else self.version
+
+    def pinned(self) -> Mart:
+        """The mart as it is now; loads that commit later do not show."""
+        return Mart(self.spark, self.root, self.state)
+
+    def _read(self, name: str, schema, low=None, high=None) -> DataFrame:
+        return tables.read_table(self.spark, self.root, name, self.state, schema, low, high)
+
     @property
     def dim_customers(self) -> DataFrame:
-        return self._small("dim_customers", schemas.DIM_CUSTOMERS)
+        return self._read("dim_customers", schemas.DIM_CUSTOMERS)
 
     @property
     def dim_products(self) -> DataFrame:
-        return self._small("dim_products", schemas.DIM_PRODUCTS)
+        return self._read("dim_products", schemas.DIM_PRODUCTS)
 
     @property
     def fact_sales(self) -> DataFrame:
-        return tables.read_facts(self.spark, self.path("fact_sales"))
+        return self._read("fact_sales", schemas.FACT_SALES)
 
     def facts_between(self, start: date | str, end: date | str) -> DataFrame:
-        if str(start) == str(end):
-            return tables.read_facts(self.spark, self.path("fact_sales"), start)
-        return extracts.sales_between(self.fact_sales, start, end)
+        """The facts of a range of dates, from their own folders."""
+        return self._read("fact_sales", schemas.FACT_SALES, start, end)
 
     @property
     def fact_rejects(self) -> DataFrame:
-        return tables.read_rows(self.spark, self.path("fact_rejects"), schemas.FACT_REJECTS)
+        return self._read("fact_rejects", schemas.FACT_REJECTS)
+
+    @property
+    def daily_sums(self) -> DataFrame:
+        return tables.read_sums(self.spark, self.root, self.state)
+
+    def sums_between(self, start: date | str, end: date | str) -> DataFrame:
+        return tables.read_sums(self.spark, self.root, self.state, start, end)
 
     @property
     def sales_summary_daily(self) -> DataFrame:
-        return self._small("sales_summary_daily", schemas.SALES_SUMMARY_DAILY)
+        return self._read("sales_summary_daily", schemas.SALES_SUMMARY_DAILY)
 
     @property
     def key_highs(self) -> DataFrame:
-        return self._small("key_highs", schemas.KEY_HIGHS)
+        return self._read("key_highs", schemas.KEY_HIGHS)
 
     @property
     def stage_sales(self) -> DataFrame:
-        return tables.read_rows(self.spark, self.path("stage_sales"), schemas.STAGE_SALES)
+        return self._read("stage_sales", schemas.STAGE_SALES)
+
+    @property
+    def stage_customers(self) -> DataFrame:
+        return self._read("stage_customers", schemas.STAGE_CUSTOMERS)
+
+    @property
+    def stage_products(self) -> DataFrame:
+        return self._read("stage_products", schemas.STAGE_PRODUCTS)
 
     @property
     def etl_log(self) -> DataFrame:
         return runlog.read_log(self.spark, self.path("etl_log"))
 
-    def _small(self, name: str, schema) -> DataFrame:
-        stored = tables.read_snapshot(self.spark, self.path(name), schema)
-        return tables.empty_frame(self.spark, schema) if stored is None else stored
+
+class Load:
+    """A load on top of the newest version: it writes aside, and readers see it once it commits.
+
+    A load that is never committed changes nothing; doing it again, with the same stamp too, ends in
+    the state of one load.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        self.version = versions.read(spark, root)
+        self.name = versions.new_load(self.version)
+
+    @property
+    def mart(self) -> Mart:
+        """The mart as this load leaves it so far."""
+        return Mart(self.spark, self.root, self.version)
+
+    def whole(self, table: str, df: DataFrame, schema) -> None:
+        """Replace a small table."""
+        tables.write_load(schemas.enforce(df, schema), self.root, table, self.name)
+        self.version = self.version.replacing(table, self.name, [versions.WHOLE], [versions.WHOLE])
+
+    def more(self, table: str, df: DataFrame, schema) -> None:
+        """Add rows to a table that only grows."""
+        tables.write_load(schemas.conform(df, schema), self.root, table, self.name)
+        self.version = self.version.replacing(table, self.name, [self.name], [])
+
+    def divided(self, table: str, df: DataFrame, column: str, instead: Collection[str]) -> None:
+        """Replace parts of a table: those in ``instead`` by those that are written."""
+        tables.write_load(df, self.root, table, self.name, column)
+        path = tables.load_path(self.root, table, self.name)
+        parts = versions.part_names(self.spark, path, column)
+        self.version = self.version.replacing(table, self.name, parts, instead)
+
+    def commit(self) -> None:
+        self.version = self.version.next()
+        versions.commit(self.spark, self.root, self.version)
+        versions.clean(self.spark, self.root, tables.FOLDERS)
 
 
 def now() -> datetime:
@@ -95,16 +162,20 @@ def now() -> datetime:
 
 
 def load_dims(
-    source: Source, mart: Mart, as_of: datetime, cascade: bool = False
+    source: Source, load: Load, as_of: datetime, cascade: bool = False
 ) -> dict[str, int]:
-    """Type-1 refresh of both dimensions; keys of known rows stay. Returns the rows written.
+    """Type-1 refresh of both dimensions; keys of known rows stay. Returns the rows of each.
 
-    A key is never given twice, even after its row left: the largest ones are kept.
+    A dimension lies in buckets of its natural key, and the version keeps a fingerprint of the source
+    rows of each. Only buckets whose fingerprint changed are read, joined and written again; the
+    files of all others stay. A key is never given twice, even after its row left: the largest
+    ones are kept.
 
     ``cascade`` also empties the fact table, as a cascading truncate would.
     """
-    written = {}
-    highs = {row["dimension"]: row["highest"] for row in mart.key_highs.collect()}
+    rows = {}
+    highs = {row["dimension"]: row["highest"] for row in load.mart.key_highs.collect()}
+    before = dict(highs)
     for name, schema, frame, natural, key in (
         (
             "dim_customers",
@@ -121,114 +192,150 @@ def load_dims(
             "product_key",
         ),
     ):
-        if not quality.duplicate_keys(frame, [natural]).isEmpty():
-            raise quality.CheckFailed(f"{natural} repeats in the source of {name}")
-        existing = tables.read_snapshot(mart.spark, mart.path(name), schema)
-        highs[name] = max(highs.get(name, 0), dims.highest_key(existing, key))
-        refreshed = dims.refresh_dim(frame, natural, key, as_of, existing, highs[name])
-        seen = Observation()
-        counted = refreshed.observe(
-            seen, row_count().alias("rows"), F.max(key).alias("highest")
+        rows[name], highs[name] = _load_dim(
+            load, name, schema, frame, natural, key, as_of, highs.get(name, 0)
         )
-        tables.write_snapshot(counted, mart.path(name), schema)
-        written[name] = seen.get["rows"]
-        highs[name] = max(highs[name], seen.get["highest"] or 0)
-    tables.write_snapshot(
-        mart.spark.createDataFrame(list(highs.items()), schemas.frame_schema(schemas.KEY_HIGHS)),
-        mart.path("key_highs"),
-        schemas.KEY_HIGHS,
-    )
+    if highs != before:
+        high_rows = mart_frame(load.spark, list(highs.items()), schemas.KEY_HIGHS)
+        load.whole("key_highs", high_rows, schemas.KEY_HIGHS)
     if cascade:
-        tables.truncate_facts(mart.spark, mart.path("fact_sales"))
-    return written
+        for table in ("fact_sales", "daily_sums"):
+            load.version = load.version.emptied(table)
+    return rows
+
+
+def mart_frame(spark: SparkSession, rows: list, schema) -> DataFrame:
+    return spark.createDataFrame(rows, schemas.frame_schema(schema))
+
+
+def _load_dim(
+    load: Load,
+    name: str,
+    schema,
+    frame: DataFrame,
+    natural: str,
+    key: str,
+    as_of: datetime,
+    highest: int,
+) -> tuple[int, int]:
+    """Rows of the dimension, and the largest key ever given."""
+    spark = load.spark
+    known = load.version.prints.get(name, {})
+    buckets = len(known) or DIM_BUCKETS
+
+    def prints(rows: DataFrame) -> dict[str, str]:
+        # A row per bucket.
+        found = dims.fingerprints(rows, natural, buckets).collect()
+        return {str(row["bucket"]): row["print"] for row in found}
+
+    empty = {str(b): "" for b in range(buckets)}
+    seen = empty | prints(frame)
+    touched = [b for b in seen if seen[b] != known.get(b)]
+    if touched:
+        bucket = dims.bucket_of(natural, buckets)
+        # Everything below comes from rows written once, so a source that changes meanwhile
+        # cannot give a row twice or a key to two rows.
+        path = scratch_dir(spark, "dim-source")
+        frame.where(bucket.isin([int(b) for b in touched])).write.parquet(path)
+        rows = spark.read.schema(frame.schema).parquet(path)
+        if not quality.duplicate_keys(rows, [natural]).isEmpty():
+            raise quality.CheckFailed(f"{natural} repeats in the source of {name}")
+        seen |= {b: "" for b in touched}
+        seen |= prints(rows)
+        existing = None
+        if known:
+            held = load.version.parts(name)
+            old = {k: [b for b in bs if b in touched] for k, bs in held.items()}
+            part = Version(0, {name: {k: bs for k, bs in old.items() if bs}}, {name: load.version.sizes[name]})
+            existing = tables.read_table(spark, load.root, name, part, schema)
+        refreshed = dims.refresh_dim(rows, natural, key, as_of, existing, highest)
+        counted = Observation()
+        written = schemas.enforce(refreshed, schema).observe(counted, F.max(key).alias("highest"))
+        load.divided(name, written.withColumn("bucket", bucket).hint("rebalance", "bucket"), "bucket", touched)
+        highest = max(highest, counted.get["highest"] or 0)
+        load.version = load.version.with_prints(name, seen)
+    return sum(int(p.split(":")[0]) for p in seen.values() if p), highest
 
 
 def load_facts(
-    source: Source, mart: Mart, start: date | str, end: date | str, as_of: datetime
+    source: Source, load: Load, start: date | str, end: date | str, as_of: datetime
 ) -> dict:
-    """Replace the facts of all dates in the range that have sales.
+    """Replace the facts and the rejects of all dates in the range that have sales.
 
-    The rows are counted as the last stage writes them, where a task that runs
-    again counts once. Only when some were rejected is the source read again, to
-    store them in ``fact_rejects``; a date left with rejects alone loses its facts.
+    One pass over the source writes both, so they cannot disagree; rows are counted as the
+    last stage writes them, where a task that runs again counts once. A date left with rejects
+    alone loses its facts.
     """
-    accepted = F.col("customer_key").isNotNull() & F.col("product_key").isNotNull()
+    mart = load.mart
     seen = Observation()
     sales = extracts.sales_between(source.sales, start, end)
     keyed = facts.lookup_keys(sales, mart.dim_customers, mart.dim_products)
+    accepted = F.col("customer_key").isNotNull() & F.col("product_key").isNotNull()
     # Files of about equal size per date; AQE splits a date far larger than the rest.
     spread = keyed.hint("rebalance", "sale_date").observe(
         seen, row_count().alias("extracted"), F.count_if(accepted).alias("accepted")
     )
-    rows = facts.with_fact_columns(spread.where(accepted), as_of)
-    path = mart.path("fact_sales")
-    tables.write_fact_dates(schemas.enforce(rows, schemas.FACT_SALES), path)
+    tables.write_load(
+        facts.loaded_rows(spread, as_of), load.root, "fact_sales", load.name, "rejected", "sale_date"
+    )
     counts = seen.get
-    rejected = counts["extracted"] - counts["accepted"]
-    emptied: list[date] = []
-    if rejected:
-        emptied = _store_rejects(mart, sales, start, end, as_of, rejected)
-        tables.drop_fact_dates(mart.spark, path, emptied)
-    return {"extracted": counts["extracted"], "accepted": counts["accepted"], "emptied": emptied}
+    path = tables.load_path(load.root, "fact_sales", load.name)
+    loaded, rejected = (
+        versions.part_names(load.spark, f"{path}/rejected={flag}", "sale_date") for flag in ("false", "true")
+    )
+    dates = {*loaded, *rejected}
+    load.version = load.version.replacing("fact_sales", load.name, loaded, dates)
+    load.version = load.version.replacing("fact_rejects", load.name, rejected, dates)
+    return {
+        "extracted": counts["extracted"],
+        "accepted": counts["accepted"],
+        "loaded": loaded,
+        "emptied": sorted({*rejected} - {*loaded}),
+    }
 
 
-def _store_rejects(
-    mart: Mart,
-    sales: DataFrame,
-    start: date | str,
-    end: date | str,
-    as_of: datetime,
-    rejected: int,
-) -> list[date]:
-    """Append the rejects of this load and return the dates that have nothing else."""
-    stamp = F.lit(str(as_of)).cast("timestamp")
-    rows = facts.fact_rejects(sales, mart.dim_customers, mart.dim_products, ["sale_date"])
-    tables.append_rows(
-        rows.withColumn("loaded_at", stamp), mart.path("fact_rejects"), schemas.FACT_REJECTS
+def load_sums(load: Load, start: date | str, end: date | str, counts: dict) -> None:
+    """Replace the kept daily sums of the dates this load brought, from its facts as they are stored."""
+    fresh = Version(
+        0,
+        {"fact_sales": {load.name: counts["loaded"]}} if counts["loaded"] else {},
+        {"fact_sales": {load.name: len(counts["loaded"])}},
     )
-    stored = mart.fact_rejects.where(F.col("loaded_at") == stamp)
-    if stored.count() != rejected:
-        raise quality.CheckFailed("the sales changed while they were loaded")
-    written = mart.facts_between(start, end).where(F.col("loaded_at") == stamp)
-    # At most one row per day of the range.
-    alone = stored.select("sale_date").distinct().join(written, "sale_date", "left_anti")
-    return [row["sale_date"] for row in alone.collect()]
+    stored = Mart(load.spark, load.root, fresh).fact_sales
+    sums = schemas.enforce(summary.daily_sums(stored), schemas.DAILY_SUMS)
+    tables.write_load(sums, load.root, "daily_sums", load.name)
+    dates = [*counts["loaded"], *counts["emptied"]]
+    load.version = load.version.replacing("daily_sums", load.name, counts["loaded"], dates)
 
 
-def load_summary(
-    mart: Mart, loaded: DataFrame, as_of: datetime, emptied: Collection[date] = ()
-) -> None:
-    """Recompute and upsert the summaries of the dates of the given facts.
+def load_summary(load: Load, start: date | str, end: date | str, as_of: datetime, emptied: Collection[str] = ()) -> None:
+    """Recompute and upsert the summaries of the range from its kept sums.
 
     The summaries of ``emptied`` dates, whose facts this load took away, go.
     """
+    mart = load.mart
     stamp = F.lit(str(as_of)).cast("timestamp")
-    incoming = summary.daily_summary(loaded, mart.dim_products).withColumns(
+    incoming = summary.summary_of_sums(mart.sums_between(start, end), mart.dim_products).withColumns(
         {"loaded_at": stamp, "updated_at": stamp}
     )
     existing = mart.sales_summary_daily
     if emptied:
-        existing = existing.where(~F.col("summary_date").isin(list(emptied)))
+        existing = existing.where(~F.col("summary_date").cast("string").isin(list(emptied)))
     merged = summary.upsert(existing, incoming, ["summary_date"], keep=["loaded_at"])
-    tables.write_snapshot(merged, mart.path("sales_summary_daily"), schemas.SALES_SUMMARY_DAILY)
+    load.whole("sales_summary_daily", merged, schemas.SALES_SUMMARY_DAILY)
 
 
-def load_checks(
-    mart: Mart,
-    loaded: DataFrame,
-    start: date | str,
-    end: date | str,
-    as_of: datetime,
-    accepted: int,
-) -> DataFrame:
+def load_checks(load: Load, start: date | str, end: date | str, counts: dict) -> DataFrame:
     """Checks of the range this load replaced, and a warning when it brought nothing."""
+    mart = load.mart
     parents = {
         "customer_key": mart.dim_customers.select("customer_key"),
         "product_key": mart.dim_products.select("product_key"),
     }
     summaries = extracts.sales_between(mart.sales_summary_daily, start, end, "summary_date")
-    checks = quality.check_load(loaded, summaries, parents, start, as_of, accepted)
-    return checks.unionByName(quality.check_any_rows(mart.spark, start, accepted))
+    sums = mart.sums_between(start, end)
+    checks = quality.check_load(sums, counts["loaded"], summaries, parents, start, counts["accepted"])
+    return checks.unionByName(quality.check_any_rows(load.spark, start, counts["accepted"]))
 
 
 def run_range(
@@ -242,40 +349,32 @@ def run_range(
 ) -> dict:
     """Load an inclusive range of dates in one go, without a loop over days.
 
-    Running it again leaves the same state. A failure is written to the run log
-    with its text and raised again. ``as_of`` stamps the rows of this load and
-    tells them from older ones, so every run needs its own.
+    The load shows as a whole once its checks have passed, or not at all. Running it again, with
+    the same ``as_of`` or another, leaves the same state. A failure is written to the run log with
+    its text and raised again.
     """
     mart, at = Mart(spark, root), as_of or now()
     log_path = mart.path("etl_log")
     log_id = runlog.start_run(spark, log_path, JOB_NAME, TASK_NAME, start, now())
     try:
-        dim_rows = load_dims(source, mart, at, cascade)
-        counts = load_facts(source, mart, start, end, at)
+        load = Load(spark, root)
+        dim_rows = load_dims(source, load, at, cascade)
+        counts = load_facts(source, load, start, end, at)
         if counts["extracted"] == 0:
             log.warning("no sales from %s to %s", start, end)
         rejected = counts["extracted"] - counts["accepted"]
         if rejected:
             log.warning("%d sales without a dimension row are in fact_rejects", rejected)
-        loaded = mart.facts_between(start, end)
-        load_summary(mart, loaded, at, counts["emptied"])
-        checks = quality.raise_on_failure(
-            load_checks(mart, loaded, start, end, at, counts["accepted"])
-        )
+        load_sums(load, start, end, counts)
+        load_summary(load, start, end, at, counts["emptied"])
+        checks = quality.raise_on_failure(load_checks(load, start, end, counts))
+        load.commit()
     except Exception as error:
         runlog.update_run(
             spark, log_path, log_id, runlog.FAILED, now(), error_message=str(error)
         )
         raise
-    runlog.update_run(
-        spark,
-        log_path,
-        log_id,
-        runlog.SUCCESS,
-        now(),
-        rows_loaded=counts["accepted"],
-        rows_extracted=counts["extracted"],
-    )
+    runlog.complete_run(spark, log_path, log_id, counts["accepted"], counts["extracted"], now())
     return {
         "log_id": log_id,
         "rows_extracted": counts["extracted"],
@@ -320,21 +419,24 @@ def run_staging(
     rows = staging.to_stage_sales(audited, strict_reference).observe(
         seen, row_count().alias("rows")
     )
-    tables.append_rows(rows, Mart(spark, root).path("stage_sales"), schemas.STAGE_SALES)
+    load = Load(spark, root)
+    load.more("stage_sales", rows, schemas.STAGE_SALES)
+    load.commit()
     return seen.get["rows"]
 
 
 def run_stage_dims(
     spark: SparkSession, source: Source, root: str, as_of: datetime | None = None
 ) -> None:
-    """Append customers and products to their staging tables with status New."""
+    """Append customers and products to their staging tables with status New, in one commit."""
+    load = Load(spark, root)
     for name, schema, frame, build in (
         ("stage_customers", schemas.STAGE_CUSTOMERS, source.customers, staging.to_stage_customers),
         ("stage_products", schemas.STAGE_PRODUCTS, source.products, staging.to_stage_products),
     ):
-        path = f"{root}/{name}"
-        last = tables.read_rows(spark, path, schema).agg(F.max("stage_id")).first()[0] or 0
-        tables.append_rows(build(frame, as_of, last + 1), path, schema)
+        last = getattr(load.mart, name).agg(F.max("stage_id")).first()[0] or 0
+        load.more(name, build(frame, as_of, last + 1), schema)
+    load.commit()
 
 
 @dataclass(frozen=True)
@@ -378,6 +480,7 @@ def run_audit(
         "failures": failures,
         "message_type_counts": joblog.message_type_counts(messages),
         "stage_rows": quality.warn_if_empty(stage, day),
+        "rows_loaded": quality.check_loaded(stage, day),
         "component_stats": joblog.component_stats(messages),
         "latest_messages": joblog.latest_messages(messages),
         "run_report": joblog.run_report(logs.executions, logs.messages, stage),

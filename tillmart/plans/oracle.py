@@ -226,6 +226,24 @@ def _violations(name: str, table: str, pk: str, required: list[str]) -> str:
     return " union all ".join(parts)
 
 
+_VALUE = f"""select customer_name, city, country, count(distinct sale_date) purchase_days,
+                   count(*) total_orders, cast(sum(quantity) as bigint) total_items_purchased,
+                   cast(sum(total_amount) as decimal(38,2)) lifetime_value, {_AVG},
+                   max(sale_date) last_purchase_date
+            from {{fact}} join dimc using (customer_key) group by customer_name, city, country"""
+
+_MATCHED_SUMMARY = f"""with ranked as (
+              select *, row_number() over (partition by sale_date
+                                           order by revenue desc, product_id) rn
+              from (select sale_date, product_id, product_name, sum(total_amount) revenue
+                    from matched join dimp using (product_key)
+                    group by sale_date, product_id, product_name))
+            select a.*, product_id top_product_id, product_name top_product_name,
+                   cast(revenue as decimal(38,2)) top_product_revenue
+            from (select sale_date summary_date, {_measures('customer_key')}
+                  from matched group by sale_date) a
+            join ranked r on r.sale_date = a.summary_date and rn = 1"""
+
 ORACLE: dict[str, str] = {
     "src_customers": _sql("customers", "select * from customers"),
     "src_products": _sql(
@@ -321,14 +339,7 @@ ORACLE: dict[str, str] = {
     "top_products_10": _sql(
         "fact dimp", _TOP + " order by total_revenue desc, product_name, category limit 10"
     ),
-    "vw_customer_ltv": _sql(
-        "fact dimc",
-        f"""select customer_name, city, country, count(distinct sale_date) purchase_days,
-                   count(*) total_orders, cast(sum(quantity) as bigint) total_items_purchased,
-                   cast(sum(total_amount) as decimal(38,2)) lifetime_value, {_AVG},
-                   max(sale_date) last_purchase_date
-            from fact join dimc using (customer_key) group by customer_name, city, country""",
-    ),
+    "vw_customer_ltv": _sql("fact dimc", _VALUE.format(fact="fact")),
     "derived_audit_columns": _sql(
         "sales", "select sale_id, 'Airflow_Production' loaded_by, cast(1 as int) batch_id from sales"
     ),
@@ -404,32 +415,30 @@ ORACLE: dict[str, str] = {
     ),
     "mart_summary": _sql(
         "matched dimp",
-        f"""with ranked as (
-              select *, row_number() over (partition by sale_date
-                                           order by revenue desc, product_id) rn
-              from (select sale_date, product_id, product_name, sum(total_amount) revenue
-                    from matched join dimp using (product_key)
-                    group by sale_date, product_id, product_name))
-            select a.*, product_id top_product_id, product_name top_product_name,
-                   cast(revenue as decimal(38,2)) top_product_revenue,
-                   '2024-05-01 00:00:00' loaded_at,
+        f"""select *, '2024-05-01 00:00:00' loaded_at,
                    {_LOADED.format(day='summary_date')} updated_at
-            from (select sale_date summary_date, {_measures('customer_key')}
-                  from matched group by sale_date) a
-            join ranked r on r.sale_date = a.summary_date and rn = 1""",
+            from ({_MATCHED_SUMMARY})""",
     ),
     "mart_rejects": _sql(
         "rejected",
-        f"""with loads as (
-              select r.*, date '1990-01-01' execution_date, '2024-05-01 00:00:00' loaded_at
-              from rejected r where {_NO_KEY}
-              union all
-              select r.*, date '1997-06-01', '2024-05-02 00:00:00'
-              from rejected r where ({_NO_KEY})
-                and sale_date between date '1997-06-01' and date '1997-06-30')
-            select sale_id, customer_id, product_id, reason, sale_date, execution_date, loaded_at,
-                   'SUCCESS' status, count(*) over (partition by execution_date) rows_rejected
-            from loads""",
+        f"""with rejects as (
+              select r.*, sale_date between date '1997-06-01' and date '1997-06-30' again
+              from rejected r where {_NO_KEY})
+            select sale_id, customer_id, product_id, reason, sale_date,
+                   case when again then date '1997-06-01'
+                        else (select min(sale_date) from rejected) end execution_date,
+                   case when again then '2024-05-02 00:00:00' else '2024-05-01 00:00:00' end loaded_at,
+                   'SUCCESS' status,
+                   (select count(*) from rejects x where x.again or not r.again) rows_rejected
+            from rejects r""",
+    ),
+    "mart_top_products": _sql("matched dimp", _TOP.replace("fact", "matched")),
+    "mart_customer_ltv": _sql("matched dimc", _VALUE.format(fact="matched")),
+    "mart_daily_summary": _sql("matched dimp", _MATCHED_SUMMARY),
+    "mart_top_product_per_day": _sql(
+        "matched dimp",
+        f"""select summary_date, top_product_id, top_product_name, top_product_revenue
+            from ({_MATCHED_SUMMARY})""",
     ),
     "mart_stage": _sql(
         "sales",

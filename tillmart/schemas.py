@@ -120,6 +120,30 @@ FACT_REJECTS = _table(
     ("loaded_at", T.TimestampType()),
 )
 
+# What a load writes: facts and rejects in one pass, the latter without fact columns.
+LOADED_SALES = T.StructType(
+    [
+        *(f for f in FACT_SALES.fields if f.name != "sale_date"),
+        *(f for f in FACT_REJECTS.fields if f.name in ("customer_id", "product_id")),
+        T.StructField("reason", T.StringType()),
+        T.StructField("rejected", T.BooleanType()),
+        T.StructField("sale_date", T.DateType()),
+    ]
+)
+
+# Sums per (date, product) and, in rows of their own, per (date, customer).
+DAILY_SUMS = _table(
+    ("sale_date", T.DateType(), "required"),
+    ("product_key", ID),
+    ("customer_key", ID),
+    ("by_customer", T.BooleanType(), "required"),
+    ("orders", T.LongType()),
+    ("items", T.LongType()),
+    ("cents", T.LongType()),
+    ("least", MONEY),
+    ("most", MONEY),
+)
+
 SALES_SUMMARY_DAILY = _table(
     ("summary_date", T.DateType(), "required"),
     ("unique_customers", T.LongType()),
@@ -182,17 +206,20 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.selectExpr(*[_fit(f, have[f.name]) for f in schema])
 
 
-def enforce(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """`conform` plus the NOT NULL constraints of the table."""
+def enforce(df: DataFrame, schema: T.StructType, where: str | None = None) -> DataFrame:
+    """`conform` plus the NOT NULL constraints of the table, on all rows or those of a condition."""
     have = {f.name: f.dataType for f in df.schema}
-    return df.selectExpr(*[_fit(f, have[f.name], not f.nullable) for f in schema])
+    return df.selectExpr(*[_fit(f, have[f.name], not f.nullable, where) for f in schema])
 
 
-def _fit(field: T.StructField, have: T.DataType, required: bool = False) -> str:
+def _fit(
+    field: T.StructField, have: T.DataType, required: bool = False, where: str | None = None
+) -> str:
     """SQL expression for one column of a checked row."""
     name, branches = field.name, []
     if required:
-        branches.append((f"{name} is null", f"{name} must not be null"))
+        missing = f"{name} is null" if where is None else f"{where} and {name} is null"
+        branches.append((missing, f"{name} must not be null"))
     if isinstance(field.dataType, T.VarcharType):
         value, limit = f"cast({name} as string)", field.dataType.length
         branches.append((f"length({value}) > {limit}", f"{name} is longer than {limit} characters"))

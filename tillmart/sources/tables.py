@@ -1,23 +1,36 @@
 """Stored mart tables.
 
-Facts lie in one folder per sale date and are replaced by dynamic partition
-overwrite. The small tables (dimensions, summary) are rewritten whole: every
-write goes to a new folder, and readers take the newest folder whose write was
-committed, so a job that dies leaves the last good state. One writer at a time.
+Every load writes its parts into folders of its own, `<table>/load=<load>/...`, and a version
+(`versions`) says which loads and parts make up a table. Facts and rejects are divided by sale
+date and written together; kept daily sums lie in one folder a load and are told apart by row;
+dimensions are divided by bucket of the natural key; the summary is whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmart import schemas
-
-SNAPSHOT = "snapshot-"
-KEPT_SNAPSHOTS = 2
+from tillmart.sources import versions
+from tillmart.sources.versions import Version
+
+# Folder of a table, and where a part lies in the folder of a load.
+FOLDERS = {
+    "fact_sales": ("sales", "rejected=false/sale_date={}"),
+    "fact_rejects": ("sales", "rejected=true/sale_date={}"),
+    "daily_sums": ("daily_sums", ""),
+    "dim_customers": ("dim_customers", "bucket={}"),
+    "dim_products": ("dim_products", "bucket={}"),
+    "key_highs": ("key_highs", ""),
+    "sales_summary_daily": ("sales_summary_daily", ""),
+    "stage_sales": ("stage_sales", ""),
+    "stage_customers": ("stage_customers", ""),
+    "stage_products": ("stage_products", ""),
+}
 
 
 def _folder(spark: SparkSession, path: str):
@@ -34,78 +47,75 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schemas.frame_schema(schema))
 
 
-def _snapshots(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the committed snapshots, oldest first."""
-    fs, folder = _folder(spark, path)
-    if not fs.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(folder)]
-    numbers = [int(n[len(SNAPSHOT) :]) for n in names if n.startswith(SNAPSHOT)]
-    return sorted(n for n in numbers if exists(spark, f"{path}/{SNAPSHOT}{n}/_SUCCESS"))
+def load_path(root: str, table: str, load: str) -> str:
+    return f"{root}/{FOLDERS[table][0]}/load={load}"
+
 
+def read_table(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    version: Version,
+    schema: T.StructType,
+    low: date | str | None = None,
+    high: date | str | None = None,
+) -> DataFrame:
+    """A table as a version has it, or its parts from `low` to `high`.
 
-def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """Current state of a small table, None before its first write."""
-    done = _snapshots(spark, path)
-    if not done:
-        return None
-    return spark.read.schema(schemas.frame_schema(schema)).parquet(f"{path}/{SNAPSHOT}{done[-1]}")
+    Only folders that the version names are listed and read. A load that still holds all it wrote
+    is read as one folder.
+    """
+    folder, inner = FOLDERS[table]
+    paths = []
+    for load, parts in version.parts(table).items():
+        base = f"{root}/{folder}/load={load}"
+        wanted = parts if low is None else versions.covers(parts, str(low), str(high))
+        if not inner or (len(wanted) == len(parts) and version.is_whole(table, load)):
+            paths += [f"{base}/{inner}".rpartition("/")[0]] if wanted else []
+        else:
+            paths += [f"{base}/{inner.format(part)}" for part in wanted]
+    if not paths:
+        return empty_frame(spark, schema)
+    reader = spark.read.schema(schemas.frame_schema(schema)).option("basePath", f"{root}/{folder}")
+    return reader.parquet(*paths).select(*schema.fieldNames(), *_load_column(table, version))
 
 
-def write_snapshot(df: DataFrame, path: str, schema: T.StructType) -> None:
-    spark = df.sparkSession
-    done = _snapshots(spark, path)
-    number = done[-1] + 1 if done else 1
-    schemas.enforce(df, schema).write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}{number}")
-    fs, _ = _folder(spark, path)
-    for old in done[: len(done) + 1 - KEPT_SNAPSHOTS]:
-        fs.delete(_folder(spark, f"{path}/{SNAPSHOT}{old}")[1], True)
+def _load_column(table: str, version: Version) -> list[str]:
+    return ["load"] if table == "daily_sums" else []
 
 
-def read_facts(spark: SparkSession, path: str, day: date | str | None = None) -> DataFrame:
-    """All facts, or those of one day.
+def read_sums(
+    spark: SparkSession,
+    root: str,
+    version: Version,
+    low: date | str | None = None,
+    high: date | str | None = None,
+) -> DataFrame:
+    """The kept daily sums of all dates, or of those from `low` to `high`.
 
-    One day is read from its own folder, so a daily load does not list the
-    folders of all the days before it.
+    A load's sums of dates that were loaded again since are passed over by a join with the
+    dates each load holds: a row per date.
     """
-    folder = path if day is None else f"{path}/sale_date={day}"
-    if not exists(spark, folder):
-        return empty_frame(spark, schemas.FACT_SALES)
-    schema = schemas.frame_schema(schemas.FACT_SALES)
-    return spark.read.schema(schema).option("basePath", path).parquet(folder)
-
-
-def write_fact_dates(facts: DataFrame, path: str) -> None:
-    """Replace the dates that occur in ``facts``; all other dates stay."""
-    (
-        facts.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("sale_date")
-        .parquet(path)
-    )
-
-
-def drop_fact_dates(spark: SparkSession, path: str, dates: Iterable) -> None:
-    """Empty dates that a load replaced with nothing."""
-    for day in dates:
-        fs, folder = _folder(spark, f"{path}/sale_date={day}")
-        if fs.exists(folder):
-            fs.delete(folder, True)
-
-
-def truncate_facts(spark: SparkSession, path: str) -> None:
-    """Remove all facts, as a cascading truncate of a dimension does."""
-    (
-        empty_frame(spark, schemas.FACT_SALES)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("sale_date")
-        .parquet(path)
-    )
-
-
-def append_rows(df: DataFrame, path: str, schema: T.StructType) -> None:
-    schemas.conform(df, schema).write.mode("append").parquet(path)
+    sums = read_table(spark, root, "daily_sums", version, schemas.DAILY_SUMS, low, high)
+    if "load" not in sums.columns:
+        return sums
+    held = version.parts("daily_sums")
+    if low is not None:
+        sums = sums.where(F.col("sale_date").between(F.lit(str(low)).cast("date"), F.lit(str(high)).cast("date")))
+    if not all(version.is_whole("daily_sums", load) for load in held):
+        owners = spark.createDataFrame(
+            [(load, date.fromisoformat(day)) for load, days in held.items() for day in days],
+            "load string, sale_date date",
+        )
+        sums = sums.join(F.broadcast(owners), ["load", "sale_date"], "left_semi")
+    return sums.select(*schemas.DAILY_SUMS.fieldNames())
+
+
+def write_load(
+    df: DataFrame, root: str, table: str, load: str, *by: str
+) -> None:
+    """Write the rows of a load into its folder, divided by the columns given."""
+    df.write.partitionBy(*by).parquet(load_path(root, table, load))
 
 
 def read_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
