@@ -2,34 +2,41 @@
 
 A text is the first layer. Each layer is scanned for secrets and unwrapped: percent
 escapes, Unicode and character escapes, base64 runs (also wrapped ones, and those behind
-other characters of the alphabet), and gzip or zlib streams inside base64. What an unwrapping yields is a new layer on the worklist, with the place in the
+other characters of the alphabet), UTF-16 text, and gzip or zlib streams that begin anywhere inside
+base64 or percent escapes. What an unwrapping yields is a new layer on the worklist, with the place in the
 text each of its characters comes from, until nothing new turns up; a layer seen before
-(the same kind of content from the same place) is not taken again, which ends cycles. A span
-found in a layer is reported where its characters stand in the text.
+(the same content from the same place) is not taken again, which ends cycles. A span
+found in a layer is reported where its characters stand in the text. Bytes that are no UTF-8
+and lone surrogates become U+FFFD; what stands around them is kept.
+
+A stream is unpacked in windows of `WINDOW` bytes that overlap by `OVERLAP`, whatever it holds in
+all; its place is one range, the stream's, so a window needs no place for each character.
 
 Spans of the text itself are the base spans; those of deeper layers are added to them.
 A secret's kind is `assign`, `access` or `hex`.
 
 Defined results: a null text counts as empty and has no spans; every row is scanned by
-itself, so repeated rows give equal results; texts are scanned whole. A stream that would
-unpack to more than `MAX_UNPACKED` bytes (a decompression bomb) is scanned up to there.
+itself, so repeated rows give equal results; texts and streams are scanned whole. A stream
+inside a stream that crosses a window's end is read as far as the overlap shows it.
 Other columns of the input are kept by `scan`.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
+import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
+from urllib.parse import unquote_to_bytes
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
-MAX_UNPACKED = 64 << 20
+WINDOW, OVERLAP = 1 << 20, 1 << 16
 
 # Fixed: the kinds and their patterns, with the least length of group `part`.
 KINDS = ("assign", "access", "hex")
@@ -44,14 +51,22 @@ _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # Long runs: the only places of hex secrets and of base64. 18 characters of base64 hold 13 bytes,
 # one less than the shortest secret.
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{18,}={0,2}")
-# Fixed: the first bytes of gzip and of zlib with a 32 KB window.
-_MAGIC = (b"\x1f\x8b\x08", b"x\x01", b"x\x5e", b"x\x9c", b"x\xda")
+# Fixed: the first bytes of gzip, and those a zlib header may have (method 8, window of up to
+# 32 KB, no dictionary); the two together must be a multiple of 31.
+_GZIP = b"\x1f\x8b\x08"
+_MAGIC = re.compile(
+    rb"\x1f\x8b\x08|[\x08\x18\x28\x38\x48\x58\x68\x78](?=[\x00-\x1f\x40-\x5f\x80-\x9f\xc0-\xdf])", re.DOTALL
+)
+# Letters with zero bytes between them.
+_WIDE = re.compile(rb"(?:[\x20-\x7e]\x00){8}")
 # Adjacent lines of base64: all but the first are whole lines.
 _WRAPPED = re.compile(
     r"[A-Za-z0-9+/_-]++(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++(?![\x20\t]+[^\s]))+={0,2}"
 )
 # What a decoded text must have for a secret or a further layer to be in it.
 _WORTH = re.compile(rb"(?i:passw|secret|token|api_?key)|AKIA|%[0-9A-Fa-f]{2}|\\|&#|[A-Za-z0-9+/_-]{18}|[A-Za-z0-9+/_-]\s+[A-Za-z0-9+/_-]")
+# What percent escapes of arbitrary bytes look like, with the characters that need none.
+_ESCAPED_BYTES = re.compile(r"[!-$&-~]*(?:%[0-9A-Fa-f]{2}[!-$&-~]*){4,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(
     r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};"
@@ -69,7 +84,9 @@ SPANS = ArrayType(
     False,
 )
 
-Places = tuple[list[int], list[int]] | None
+# Where the characters of a layer come from: the text itself (None), one range for all of them, or
+# the first and the last place of each.
+Places = tuple[int, int] | tuple[array, array] | None
 
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -109,18 +126,23 @@ def find_spans(text: str) -> list[tuple[int, int, int, bool]]:
     """(start, kind number, end, whether a base span) in order, without repeats."""
     base = set(_matches(text))
     found = {span: True for span in base}
-    work: list[tuple[str, Places]] = [(text, None)]
+    work = [_unwrap(text, None)]
     seen: set = set()
     while work:
-        layer, places = work.pop()
-        for inner, where in _unwrap(layer, places):
-            mark = (inner, where[0][0], where[1][-1])
-            if mark in seen:
-                continue
-            seen.add(mark)
-            work.append((inner, where))
-            for start, kind, end in _matches(inner):
-                found.setdefault((where[0][start], kind, where[1][end - 1]), False)
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        inner, where = layer
+        whole = _place(where, 0, len(inner))
+        mark = (hashlib.blake2b(inner.encode(), digest_size=16).digest(), whole)
+        if mark in seen:
+            continue
+        seen.add(mark)
+        work.append(_unwrap(inner, where))
+        for start, kind, end in _matches(inner):
+            first, last = _place(where, start, end)
+            found.setdefault((first, kind, last), False)
     return [(*span, found[span]) for span in sorted(found)]
 
 
@@ -142,9 +164,11 @@ def _matches(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def _unwrap(text: str, places: Places) -> Iterator[tuple[str, tuple[list[int], list[int]]]]:
+def _unwrap(text: str, places: Places) -> Iterator[tuple[str, Places]]:
     if "%" in text and _PERCENT.search(text):
         yield from _rewritten(text, places, _PERCENT, _percent)
+        for run in _ESCAPED_BYTES.finditer(text):
+            yield from _streams(unquote_to_bytes(run.group()), lambda _: run.start(), run.end(), places)
     if ("\\" in text or "&#" in text) and _ESCAPE.search(text):
         yield from _rewritten(text, places, _ESCAPE, _escape)
     for run in _RUN.finditer(text):
@@ -156,110 +180,110 @@ def _unwrap(text: str, places: Places) -> Iterator[tuple[str, tuple[list[int], l
 
 
 def _place(places: Places, start: int, end: int) -> tuple[int, int]:
-    return (start, end) if places is None else (places[0][start], places[1][end - 1])
+    if places is None:
+        return start, end
+    if isinstance(places[0], int):
+        return places
+    return places[0][start], places[1][end - 1]
 
 
 def _rewritten(text, places, pattern, decode):
-    """The whole layer with every match of `pattern` decoded, unless nothing could be."""
-    parts, starts, ends = [], [], []
-    at, changed = 0, False
+    """The whole layer with every match of `pattern` decoded."""
+    parts, starts, ends = [], array("i"), array("i")
+    one = places is not None and isinstance(places[0], int)
+    at = 0
 
     def plain(begin: int, end: int) -> None:
         parts.append(text[begin:end])
         if places is None:
             starts.extend(range(begin, end))
             ends.extend(range(begin + 1, end + 1))
-        else:
+        elif not one:
             starts.extend(places[0][begin:end])
             ends.extend(places[1][begin:end])
 
     for match in pattern.finditer(text):
-        chars = decode(match.group())
-        if chars is None:
-            continue
-        changed = True
         plain(at, match.start())
-        for char, begin, end in chars:
-            first, last = _place(places, match.start() + begin, match.start() + end)
+        for char, begin, end in decode(match.group()):
             parts.append(char)
-            starts.extend([first] * len(char))
-            ends.extend([last] * len(char))
+            if not one:
+                first, last = _place(places, match.start() + begin, match.start() + end)
+                starts.append(first)
+                ends.append(last)
         at = match.end()
-    if changed:
-        plain(at, len(text))
-        if starts:
-            yield "".join(parts), (starts, ends)
+    plain(at, len(text))
+    inner = "".join(parts)
+    if inner:
+        yield inner, places if one else (starts, ends)
 
 
 def _percent(escapes: str):
-    """(character, begin, end) of a run of percent escapes; None if it is no UTF-8."""
-    try:
-        text = bytes.fromhex(escapes.replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
-    out, at = [], 0
-    for char in text:
-        size = 3 * len(char.encode())
-        out.append((char, at, at + size))
-        at += size
-    return out
+    """(character, begin, end) of a run of percent escapes."""
+    data = bytes.fromhex(escapes.replace("%", ""))
+    at = 0
+    for char, size in _sizes(data, data.decode("utf-8", "replace")):
+        yield char, at, at + 3 * size
+        at += 3 * size
 
 
 def _escape(escape: str):
     if escape.startswith("\\u") and not escape.startswith("\\u{"):
         units = [int(escape[i + 2 : i + 6], 16) for i in range(0, len(escape), 6)]
-        out, i = [], 0
+        i = 0
         while i < len(units):
             pair = i + 1 < len(units) and 0xD800 <= units[i] < 0xDC00 <= units[i + 1] < 0xE000
             code = 0x10000 + ((units[i] - 0xD800) << 10) + units[i + 1] - 0xDC00 if pair else units[i]
-            if not pair and 0xD800 <= code < 0xE000:
-                return None
-            out.append((chr(code), 6 * i, 6 * (i + 1 + pair)))
+            yield _char(code), 6 * i, 6 * (i + 1 + pair)
             i += 1 + pair
-        return out
+        return
     digits = escape.strip("\\{}&#;uUxX")
     code = int(digits, 10 if escape.startswith("&#") and escape[2] not in "xX" else 16)
-    if code > 0x10FFFF or 0xD800 <= code < 0xE000:
-        return None
-    return [(chr(code), 0, len(escape))]
+    yield _char(code), 0, len(escape)
 
 
-def _base64(run: str, at: int, places: Places):
-    """What a run holds, read from each of its first four characters: base64 may begin within it.
+def _char(code: int) -> str:
+    return chr(code) if code <= 0x10FFFF and not 0xD800 <= code < 0xE000 else "\ufffd"
+
 
-    A stream may begin with the run, behind a separator or on a new line.
-    """
-    chars, spots, begins = [], [], {0}
+def _base64(run: str, at: int, places: Places):
+    """What a run holds, read from each of its first four characters: base64 may begin within it."""
+    chars, spots = [], array("i")
     for piece in re.finditer(r"[^\s=]+", run):
-        begins.add(len(spots))
-        begins.update(len(spots) + m.end() for m in re.finditer("[/_-]", piece.group()))
         chars.append(piece.group())
         spots.extend(range(at + piece.start(), at + piece.end()))
     body = "".join(chars).replace("-", "+").replace("_", "/")
+    one = places is not None and isinstance(places[0], int)
     for phase in range(4):
         part = body[phase:]
         if len(part) % 4 == 1:
             part = part[:-1]
         data = base64.b64decode(part + "=" * (-len(part) % 4))
-        for begin in sorted(b for b in begins if b % 4 == phase):
-            byte = (begin - phase) // 4 * 3
-            packed = _unpacked(data[byte:]) if data.startswith(_MAGIC, byte) else None
-            if packed is not None:
-                first, last = _place(places, spots[begin], at + len(run))
-                text = packed.decode("utf-8", "replace")
-                yield text, ([first] * len(text), [last] * len(text))
-        if not _WORTH.search(data):
-            continue
-        text = data.decode("utf-8", "replace")
-        starts, ends, byte = [], [], 0
-        for char, size in _sizes(data, text):
-            low, high = phase + byte * 4 // 3, phase + -(-(byte + size) * 4 // 3)
-            starts.append(spots[low])
-            ends.append(spots[high - 1] + 1)
-            byte += size
-        if places is not None:
-            starts, ends = [places[0][x] for x in starts], [places[1][x - 1] for x in ends]
-        yield text, (starts, ends)
+        yield from _streams(data, lambda byte, phase=phase: spots[phase + byte * 4 // 3], at + len(run), places)
+        if wide := _WIDE.search(data):
+            # Read as letters only, from the first such run on.
+            kept = [i for i in range(wide.start(), len(data)) if data[i]]
+            letters = bytes(data[i] for i in kept)
+            yield from _decoded(letters, kept, len(letters), phase, spots, places, one)
+        if _WORTH.search(data):
+            yield from _decoded(data, range(len(data)), len(data), phase, spots, places, one)
+
+
+def _decoded(data, at, size, phase, spots, places, one):
+    """Bytes of a base64 run as text; `at` tells where each stands in the run's bytes."""
+    text = data.decode("utf-8", "replace")
+    if one:
+        yield text, places
+        return
+    starts, ends, byte = array("i"), array("i"), 0
+    for _, many in _sizes(data, text):
+        first, last = at[byte], at[byte + many - 1]
+        begin, end = _place(
+            places, spots[phase + first * 4 // 3], spots[phase + -(-(last + 1) * 4 // 3) - 1] + 1
+        )
+        starts.append(begin)
+        ends.append(end)
+        byte += many
+    yield text, (starts, ends)
 
 
 def _sizes(data: bytes, text: str) -> Iterator[tuple[str, int]]:
@@ -275,16 +299,39 @@ def _sizes(data: bytes, text: str) -> Iterator[tuple[str, int]]:
         at += size
 
 
-def _unpacked(data: bytes) -> bytes | None:
-    """What a zlib stream or the members of a gzip stream hold, as far as they are whole; None if there are none."""
-    out = []
-    left = MAX_UNPACKED
-    while left > 0 and (data[:3] == _MAGIC[0] or not out):
+def _streams(data: bytes, spot, end: int, places: Places) -> Iterator[tuple[str, Places]]:
+    """Windows of the streams that begin in `data`; `spot` gives the place of a byte, `end` is theirs."""
+    view = memoryview(data)
+    behind = 0
+    for magic in _MAGIC.finditer(data):
+        begin = magic.start()
+        if begin < behind or magic.group() != _GZIP and (data[begin] << 8 | data[begin + 1]) % 31:
+            continue
+        tail = b""
+        for chunk, used in _unpacked(view[begin:]):
+            window = tail + chunk
+            yield window.decode("utf-8", "replace"), _place(places, spot(begin), end)
+            tail = window[-OVERLAP:]
+            # Bytes of a stream that came out are not tried again as beginnings.
+            behind = begin + used
+
+
+def _unpacked(data: memoryview) -> Iterator[tuple[bytes, int]]:
+    """What a zlib stream or the members of a gzip stream hold, in chunks, with the bytes read so far."""
+    at = 0
+    while True:
         stream = zlib.decompressobj(zlib.MAX_WBITS | 32)
-        try:
-            out.append(stream.decompress(data, left))
-        except zlib.error:
-            break
-        left -= len(out[-1])
-        data = stream.unused_data
-    return b"".join(out) or None
+        while not stream.eof and at < len(data):
+            fed = data[at : at + OVERLAP]
+            try:
+                out = stream.decompress(fed, WINDOW)
+            except zlib.error:
+                return
+            at += len(fed) - len(stream.unconsumed_tail) - len(stream.unused_data)
+            if out:
+                yield out, at
+        # The rest of what a stream holds back once its input is read.
+        while not stream.eof and (out := stream.decompress(b"", WINDOW)):
+            yield out, at
+        if not stream.eof or bytes(data[at : at + 3]) != _GZIP:
+            return
