@@ -3,6 +3,7 @@
 import base64
 import gzip
 import re
+import tracemalloc
 import urllib.parse
 import zlib
 
@@ -160,6 +161,41 @@ def test_layers_within_runs_and_lines(layer):
         assert 7 <= start < end <= 7 + len(layer)
 
 
+def odd_bytes():
+    raw = SECRET.encode()
+    small_window = zlib.compressobj(9, zlib.DEFLATED, 10)
+    return [
+        "M%FCller%20" + urllib.parse.quote(SECRET, safe=""),
+        "\\ud800\\u0020" + "".join(f"\\u{b:04x}" for b in raw),
+        urllib.parse.quote_from_bytes(gzip.compress(b"words " * 20 + raw)),
+        *(base64.b64encode(f"einige Worte {SECRET} danach".encode(code)).decode() for code in ("utf-16", "utf-16-be")),
+        "abc" + base64.b64encode(small_window.compress(b"words " * 20 + raw) + small_window.flush()).decode(),
+        base64.b64encode(b"name.txt:" + gzip.compress(b"words " * 20 + raw)).decode(),
+    ]
+
+
+@pytest.mark.parametrize("layer", odd_bytes())
+def test_layers_of_odd_bytes(layer):
+    text = f"before {layer} after"
+    spans = secrets.find_spans(text)
+    assert any(k == 0 and not base for _, k, _, base in spans)
+    for start, _, end, _ in spans:
+        assert 7 <= start < end <= 7 + len(layer)
+
+
+def test_a_large_stream_is_scanned_to_its_end():
+    """In windows: all of it, in memory that does not grow with what it holds."""
+    inner = b"".join(b"row %07d of filler\n" % i for i in range(150_000)) + SECRET.encode()
+    assert len(inner) > 2 * secrets.WINDOW
+    packed = base64.b64encode(zlib.compress(inner, 9)).decode()
+    tracemalloc.start()
+    spans = secrets.find_spans("x " + packed)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(k, s, e) for s, k, e, _ in spans] == [(0, 2, 2 + len(packed))]
+    assert peak < 60 << 20
+
+
 def test_scan_keeps_rows(spark):
     rows = secrets.scan(frame(spark)).select("row.doc_id", "row.row", "spans").collect()
     assert len(rows) == len(documents()) and all(r["spans"] == [] and r["row"] == "r" for r in rows)

@@ -1,9 +1,11 @@
 """Operators 2, 4 and 10: edge cases; the SQL forms are compared in test_queries."""
 
 import base64
+import gzip
 import hashlib
 import re
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -186,3 +188,36 @@ def test_warc_segments_stay_in_one_file(spark):
 
 def test_warc_empty_table(spark):
     assert warc.archive_round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_warc_records_are_valid(spark, root):
+    """What the standard asks of each record, read without the operator's own parser."""
+    rows = [(1, "u1", "same"), (2, "u2", "same"), (2, "u3", "same"), (3, None, "x" * 900), (None, "u", None), (4, "u4", "\r\n\r\n")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write_archives(pages, f"{root}/w", chunk_bytes=400, captured="2020-02-02T02:02:02Z")
+    records = []
+    for path in sorted(Path(f"{root}/w").glob("*.gz")):
+        data = gzip.decompress(path.read_bytes())
+        while data:
+            head, _, data = data.partition(b"\r\n\r\n")
+            version, *lines = head.decode().split("\r\n")
+            headers = dict(line.split(": ", 1) for line in lines)
+            length = int(headers["Content-Length"])
+            block, end, data = data[:length], data[length : length + 4], data[length + 4 :]
+            assert version == "WARC/1.1" and end == b"\r\n\r\n" and headers["WARC-Date"] == "2020-02-02T02:02:02Z"
+            records.append((headers, block))
+    ids = [h["WARC-Record-ID"] for h, _ in records]
+    assert len(ids) == len(set(ids)) == 8
+    kinds = Counter(h["WARC-Type"] for h, _ in records)
+    assert kinds == {"response": 5, "revisit": 1, "continuation": 2}
+    for headers, block in records:
+        if headers["WARC-Type"] == "revisit":
+            assert headers["WARC-Profile"] == warc.PROFILE and headers["WARC-Refers-To"] in ids and not block
+        elif headers["WARC-Type"] == "response":
+            assert block.startswith(b"HTTP/1.1 200 OK\r\n") and b"\r\n\r\n" in block
+            assert headers["Content-Type"] == "application/http; msgtype=response"
+        else:
+            assert headers["WARC-Segment-Origin-ID"] in ids
+    segments = [(int(h["WARC-Segment-Number"]), h, b) for h, b in records if "WARC-Segment-Number" in h]
+    total = [h["WARC-Segment-Total-Length"] for _, h, _ in segments if "WARC-Segment-Total-Length" in h]
+    assert total == [str(sum(len(b) for _, _, b in segments))]

@@ -11,12 +11,16 @@ puts the pieces together by Content-Length, one chunk at a time, with a digest
 that is carried from chunk to chunk. Files are compressed as a whole, which keeps
 them unsplit and their rows in order.
 
+Records carry what WARC 1.1 asks for: type, date, an id of their own, length, and for
+revisits the profile and the record they refer to. A response is an HTTP message, whose
+head stands in front of the payload. The date is a parameter, so that reruns agree.
+
 Of records with equal payloads of at least `revisit_from` bytes the one with the
 largest id is the response and the others revisit it; smaller ones are all
 responses. Groups are found from 20-byte digests with map-side aggregation.
 
 Defined results: a null payload is an empty one; a null id is written as an empty
-one and comes back null; pages repeated with one id are separate records, which are
+one and comes back null; pages repeated with one id are separate records with ids of their own, which are
 all responses if theirs is the largest id; an empty table gives an empty archive and an empty
 result. Columns other than those named are not archived; a url's line ends are
 dropped.
@@ -38,6 +42,9 @@ from tillmart.session import scratch_dir
 CHUNK_BYTES = 64 << 10
 REVISIT_FROM = 0
 END = "\r\n\r\n"
+CAPTURED = "2024-01-01T00:00:00Z"
+# Fixed: the name the standard gives to revisits of an identical payload.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # Fixed: SHA-1 digests in WARC headers use the base32 alphabet.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -64,16 +71,21 @@ def with_roles(
     url_col: str = "url",
     revisit_from: int = REVISIT_FROM,
 ) -> DataFrame:
-    """page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to."""
+    """page_id, number, url, payload, payload_bytes, payload_digest, record_type, refers_to, refers_to_number.
+
+    Rows are numbered by their place in the input, which tells records of one page id apart.
+    """
     rows = pages.select(
         F.col(id_col).cast("long").alias("page_id"),
+        F.monotonically_increasing_id().alias("number"),
         F.translate(F.coalesce(F.col(url_col), F.lit("")), "\r\n", "").alias("url"),
         F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"),
     ).withColumn("digest", F.unhex(F.sha1("payload")))
     groups = (
         rows.filter(F.octet_length("payload") >= revisit_from)
         .groupBy("digest")
-        .agg(F.max("page_id").alias("response_id"))
+        .agg(F.max(F.struct("page_id", "number")).alias("response"))
+        .select("digest", F.col("response.page_id").alias("response_id"), F.col("response.number").alias("response_number"))
     )
     # As a table of its own, the join can split the partition of a payload with many copies.
     groups = written(groups, "payload-groups")
@@ -89,6 +101,8 @@ def with_roles(
         .alias("record_type"),
         F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("response_id")), F.col("response_id"))
         .alias("refers_to"),
+        "number",
+        F.col("response_number").alias("refers_to_number"),
     )
 
 
@@ -110,48 +124,76 @@ def chunk_rows(roles: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     )
 
 
-def record_text(row_id: str = "page_id") -> Column:
+def record_text(captured: str = CAPTURED) -> Column:
     """A chunk row as one WARC record without the final separator."""
-    first = F.col("chunk_no") == 1
-    name = F.coalesce(F.col(row_id).cast("string"), F.lit(""))
+    first, revisit = F.col("chunk_no") == 1, F.col("record_type") == "revisit"
     several = F.col("chunks") > 1
-    line = lambda key, value: F.concat(F.lit(f"\r\n{key}: "), value.cast("string"))
     none = F.lit("")
+    line = lambda key, value: F.concat(F.lit(f"\r\n{key}: "), value.cast("string"))
+
+    def urn(page: str, number: str, chunk: Column) -> Column:
+        name = F.coalesce(F.col(page).cast("string"), F.lit(""))
+        parts = (F.lit("<urn:page:"), name, F.lit(":"), F.col(number), F.lit(":"), chunk, F.lit(">"))
+        return F.concat(*(p.cast("string") for p in parts))
+
+    head = F.when(
+        first & ~revisit,
+        F.concat(
+            F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
+            F.col("payload_bytes").cast("string"),
+            F.lit(END),
+        ),
+    ).otherwise(none)
+    whole = F.octet_length(head) + F.octet_length("chunk")
     return F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "),
         F.when(first, F.col("record_type")).otherwise("continuation"),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), name, F.lit(":"), F.col("chunk_no"), F.lit(">"))),
+        line("WARC-Record-ID", urn("page_id", "number", F.col("chunk_no"))),
+        F.lit(f"\r\nWARC-Date: {captured}"),
         F.when(F.col("url") != "", line("WARC-Target-URI", F.col("url"))).otherwise(none),
-        F.lit("\r\nContent-Type: text/html"),
+        F.when(first, F.lit("\r\nContent-Type: application/http; msgtype=response")).otherwise(none),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         line("X-Payload-Length", F.col("payload_bytes")),
         F.when(
-            F.col("refers_to").isNotNull(),
-            line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to"), F.lit(":1>"))),
+            revisit,
+            F.concat(
+                F.lit(f"\r\nWARC-Profile: {PROFILE}"),
+                line("WARC-Refers-To", urn("refers_to", "refers_to_number", F.lit(1))),
+            ),
         ).otherwise(none),
         F.when(
             several,
             F.concat(
                 line("WARC-Segment-Number", F.col("chunk_no")),
                 F.when(
-                    ~first, line("WARC-Segment-Origin-ID", F.concat(F.lit("<urn:page:"), name, F.lit(":1>")))
+                    ~first, line("WARC-Segment-Origin-ID", urn("page_id", "number", F.lit(1)))
                 ).otherwise(none),
                 F.when(
-                    F.col("chunk_no") == F.col("chunks"), line("WARC-Segment-Total-Length", F.col("payload_bytes"))
+                    F.col("chunk_no") == F.col("chunks"),
+                    # Of all segments' blocks, so with the HTTP head of the first.
+                    line("WARC-Segment-Total-Length", F.col("payload_bytes") + _head_length()),
                 ).otherwise(none),
             ),
         ).otherwise(none),
-        line("Content-Length", F.octet_length("chunk")),
+        line("Content-Length", whole),
         F.lit(END),
+        head,
         F.col("chunk").cast("string"),
     )
 
 
+def _head_length() -> Column:
+    """Bytes of a response's HTTP head."""
+    fixed = len("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: " + END)
+    return F.length(F.col("payload_bytes").cast("string")) + fixed
+
+
 def write_archives(
     pages: DataFrame,
     path: str,
     chunk_bytes: int = CHUNK_BYTES,
     revisit_from: int = REVISIT_FROM,
+    captured: str = CAPTURED,
     **columns: str,
 ) -> None:
     """Write one gzip WARC file per task; `columns` name id_col, payload_col and url_col.
@@ -160,7 +202,7 @@ def write_archives(
     """
     chunks = chunk_rows(with_roles(pages, revisit_from=revisit_from, **columns), chunk_bytes)
     (
-        chunks.select(record_text().alias("value"))
+        chunks.select(record_text(captured).alias("value"))
         .write.option("lineSep", END)
         .option("compression", "gzip")
         .option("maxRecordsPerFile", 0)  # also where the session sets one
@@ -271,6 +313,8 @@ def _rows(records: Iterator[tuple[dict[str, str], bytes]], chunk_bytes: int) ->
     for headers, block in records:
         if headers["WARC-Type"] != "continuation":
             digest, length, origin = hashlib.sha1(), 0, headers
+            if headers.get("Content-Type", "").startswith("application/http"):
+                block = block.partition(END.encode())[2]
         page = _number(headers["WARC-Record-ID"])
         segment = int(headers.get("WARC-Segment-Number", 1))
         revisit = origin["WARC-Type"] == "revisit"
