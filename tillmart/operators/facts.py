@@ -71,16 +71,18 @@ def reject_reason() -> Column:
 def loaded_rows(keyed: DataFrame, as_of: datetime | str) -> DataFrame:
     """Accepted and rejected sales as one frame (`schemas.LOADED_SALES`), for a single write.
 
-    A rejected sale keeps its ids and the reason; its other columns are null, so that
-    nothing that is wrong with them can fail the load.
+    A rejected sale keeps its ids, its date as ``reject_date`` and the reason; its other columns
+    are null, so that nothing that is wrong with them can fail the load, and it lies apart from
+    all dates.
     """
     reason = reject_reason()
-    marked = keyed.withColumns({"reason": reason, "rejected": reason.isNotNull()})
-    rows = with_fact_columns(marked, as_of)
-    fact_only = [f.name for f in schemas.FACT_SALES if f.name not in ("sale_id", "sale_date", "loaded_at")]
-    blank = {name: F.when(~F.col("rejected"), F.col(name)) for name in fact_only}
-    natural = {name: F.when(F.col("rejected"), F.col(name)) for name in ("customer_id", "product_id")}
-    return schemas.enforce(rows.withColumns(blank | natural), schemas.LOADED_SALES, "not rejected")
+    rows = with_fact_columns(keyed.withColumn("reason", reason), as_of)
+    accepted = F.col("reason").isNull()
+    fact_only = [f.name for f in schemas.FACT_SALES if f.name not in ("sale_id", "loaded_at")]
+    blank = {name: F.when(accepted, F.col(name)) for name in fact_only}
+    natural = {name: F.when(~accepted, F.col(name)) for name in ("customer_id", "product_id")}
+    apart = rows.withColumn("reject_date", F.when(~accepted, F.col("sale_date")))
+    return schemas.enforce(apart.withColumns(blank | natural), schemas.LOADED_SALES, "reason is null")
 
 
 def replace_by_date(

@@ -83,14 +83,25 @@ class Mart:
 
     @property
     def fact_rejects(self) -> DataFrame:
-        return self._read("fact_rejects", schemas.FACT_REJECTS)
+        rows = tables.read_by_row(
+            self.spark,
+            self.root,
+            "fact_rejects",
+            self.state,
+            schemas.STORED_REJECTS,
+            inner=f"sale_date={tables.NO_DATE}",
+            column="reject_date",
+        )
+        return rows.withColumnRenamed("reject_date", "sale_date")
 
     @property
     def daily_sums(self) -> DataFrame:
-        return tables.read_sums(self.spark, self.root, self.state)
+        return self.sums_between(None, None)
 
-    def sums_between(self, start: date | str, end: date | str) -> DataFrame:
-        return tables.read_sums(self.spark, self.root, self.state, start, end)
+    def sums_between(self, start: date | str | None, end: date | str | None) -> DataFrame:
+        return tables.read_by_row(
+            self.spark, self.root, "daily_sums", self.state, schemas.DAILY_SUMS, start, end
+        )
 
     @property
     def sales_summary_daily(self) -> DataFrame:
@@ -275,14 +286,15 @@ def load_facts(
     spread = keyed.hint("rebalance", "sale_date").observe(
         seen, row_count().alias("extracted"), F.count_if(accepted).alias("accepted")
     )
-    tables.write_load(
-        facts.loaded_rows(spread, as_of), load.root, "fact_sales", load.name, "rejected", "sale_date"
-    )
+    tables.write_load(facts.loaded_rows(spread, as_of), load.root, "fact_sales", load.name, "sale_date")
     counts = seen.get
     path = tables.load_path(load.root, "fact_sales", load.name)
-    loaded, rejected = (
-        versions.part_names(load.spark, f"{path}/rejected={flag}", "sale_date") for flag in ("false", "true")
-    )
+    loaded = [p for p in versions.part_names(load.spark, path, "sale_date") if p != tables.NO_DATE]
+    rejected: list[str] = []
+    if counts["extracted"] > counts["accepted"]:
+        stored = load.spark.read.parquet(f"{path}/sale_date={tables.NO_DATE}")
+        # A row per date of the range.
+        rejected = [str(row[0]) for row in stored.select("reject_date").distinct().collect()]
     dates = {*loaded, *rejected}
     load.version = load.version.replacing("fact_sales", load.name, loaded, dates)
     load.version = load.version.replacing("fact_rejects", load.name, rejected, dates)

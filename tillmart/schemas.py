@@ -120,14 +120,23 @@ FACT_REJECTS = _table(
     ("loaded_at", T.TimestampType()),
 )
 
-# What a load writes: facts and rejects in one pass, the latter without fact columns.
+# Rejects as they lie beside the facts of their load, whose partition column is `sale_date`.
+STORED_REJECTS = T.StructType(
+    [
+        T.StructField("reject_date" if f.name == "sale_date" else f.name, f.dataType, f.nullable)
+        for f in FACT_REJECTS
+    ]
+)
+
+# What a load writes: facts and rejects in one pass, each without the other's columns.
 LOADED_SALES = T.StructType(
     [
-        *(f for f in FACT_SALES.fields if f.name != "sale_date"),
-        *(f for f in FACT_REJECTS.fields if f.name in ("customer_id", "product_id")),
-        T.StructField("reason", T.StringType()),
-        T.StructField("rejected", T.BooleanType()),
-        T.StructField("sale_date", T.DateType()),
+        *FACT_SALES.fields,
+        *(
+            T.StructField(f.name, f.dataType)
+            for f in STORED_REJECTS
+            if f.name not in FACT_SALES.fieldNames()
+        ),
     ]
 )
 

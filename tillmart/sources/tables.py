@@ -2,7 +2,7 @@
 
 Every load writes its parts into folders of its own, `<table>/load=<load>/...`, and a version
 (`versions`) says which loads and parts make up a table. Facts and rejects are divided by sale
-date and written together; kept daily sums lie in one folder a load and are told apart by row;
+date and written together, the rejects of a load into the folder of rows without a partition date; kept daily sums lie in one folder a load and are told apart by row;
 dimensions are divided by bucket of the natural key; the summary is whole.
 """
 
@@ -20,8 +20,8 @@ from tillmart.sources.versions import Version
 
 # Folder of a table, and where a part lies in the folder of a load.
 FOLDERS = {
-    "fact_sales": ("sales", "rejected=false/sale_date={}"),
-    "fact_rejects": ("sales", "rejected=true/sale_date={}"),
+    "fact_sales": ("sales", "sale_date={}"),
+    "fact_rejects": ("sales", ""),
     "daily_sums": ("daily_sums", ""),
     "dim_customers": ("dim_customers", "bucket={}"),
     "dim_products": ("dim_products", "bucket={}"),
@@ -47,6 +47,10 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schemas.frame_schema(schema))
 
 
+# Where Spark puts rows whose partition column is null.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def load_path(root: str, table: str, load: str) -> str:
     return f"{root}/{FOLDERS[table][0]}/load={load}"
 
@@ -77,45 +81,63 @@ def read_table(
     if not paths:
         return empty_frame(spark, schema)
     reader = spark.read.schema(schemas.frame_schema(schema)).option("basePath", f"{root}/{folder}")
-    return reader.parquet(*paths).select(*schema.fieldNames(), *_load_column(table, version))
-
+    rows = reader.parquet(*paths)
+    if table == "fact_sales":
+        rows = rows.where("sale_date is not null")  # the folder of rejects, which is not listed further
+    return rows.select(*schema.fieldNames())
 
-def _load_column(table: str, version: Version) -> list[str]:
-    return ["load"] if table == "daily_sums" else []
 
-
-def read_sums(
+def read_by_row(
     spark: SparkSession,
     root: str,
+    table: str,
     version: Version,
+    schema: T.StructType,
     low: date | str | None = None,
     high: date | str | None = None,
+    inner: str = "",
+    column: str = "sale_date",
 ) -> DataFrame:
-    """The kept daily sums of all dates, or of those from `low` to `high`.
+    """A table whose loads have one folder each and whose rows tell their date by ``column``.
 
-    A load's sums of dates that were loaded again since are passed over by a join with the
-    dates each load holds: a row per date.
+    Dates that were loaded again since are passed over by a join with the dates each load
+    holds: a row per date, and none at all if every load still holds what it wrote.
     """
-    sums = read_table(spark, root, "daily_sums", version, schemas.DAILY_SUMS, low, high)
-    if "load" not in sums.columns:
-        return sums
-    held = version.parts("daily_sums")
+    folder = FOLDERS[table][0]
+    held = {
+        load: dates if low is None else versions.covers(dates, str(low), str(high))
+        for load, dates in version.parts(table).items()
+    }
+    paths = [f"{root}/{folder}/load={load}/{inner}".rstrip("/") for load, dates in held.items() if dates]
+    if not paths:
+        return empty_frame(spark, schema)
+    reader = spark.read.schema(schemas.frame_schema(schema)).option("basePath", f"{root}/{folder}")
+    rows = reader.parquet(*paths)
     if low is not None:
-        sums = sums.where(F.col("sale_date").between(F.lit(str(low)).cast("date"), F.lit(str(high)).cast("date")))
-    if not all(version.is_whole("daily_sums", load) for load in held):
+        rows = rows.where(F.col(column).between(F.lit(str(low)).cast("date"), F.lit(str(high)).cast("date")))
+    if not all(version.is_whole(table, load) for load in held):
         owners = spark.createDataFrame(
             [(load, date.fromisoformat(day)) for load, days in held.items() for day in days],
-            "load string, sale_date date",
+            f"load string, {column} date",
         )
-        sums = sums.join(F.broadcast(owners), ["load", "sale_date"], "left_semi")
-    return sums.select(*schemas.DAILY_SUMS.fieldNames())
+        rows = rows.join(F.broadcast(owners), ["load", column], "left_semi")
+    return rows.select(*schema.fieldNames())
 
 
 def write_load(
     df: DataFrame, root: str, table: str, load: str, *by: str
 ) -> None:
-    """Write the rows of a load into its folder, divided by the columns given."""
-    df.write.partitionBy(*by).parquet(load_path(root, table, load))
+    """Write the rows of a load into its folder, divided by the columns given.
+
+    Nobody reads the folder before the load commits, so tasks may move their files into place
+    themselves; the driver would move thousands of dates one by one. A task that runs again
+    replaces its own files.
+    """
+    (
+        df.write.partitionBy(*by)
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        .parquet(load_path(root, table, load))
+    )
 
 
 def read_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
