@@ -192,8 +192,9 @@ def crowd_links(members: DataFrame, texts: DataFrame, percent: int = PERCENT) ->
     crowd = members.select("rep", "n", "component").distinct()
     sets = written(
         texts.join(crowd.hint("merge"), texts["id"] == crowd["rep"])
-        .mapInArrow(_crowd_sets, "row long, rep long, n long, component long, shingles binary")
-        .dropDuplicates(["rep", "row"]),
+        .mapInArrow(_crowd_sets, "key long, rep long, n long, component long, shingles binary")
+        .dropDuplicates(["rep", "key"])
+        .withColumn("row", F.monotonically_increasing_id()),
         "crowd-sets",
     )
     common = written(
@@ -204,15 +205,19 @@ def crowd_links(members: DataFrame, texts: DataFrame, percent: int = PERCENT) ->
         "common-shingles",
     )
     least = F.ceil(F.col("n") * percent / 100)
-    rare = (
-        sets.mapInArrow(_exploded, "row long, rep long, n long, component long, shingle long")
+    # Narrow rows, one for each shingle of a set that others have, too.
+    shared = (
+        sets.mapInArrow(_exploded, "row long, shingle long")
         .join(common, "shingle")
-        .groupBy("row", "rep", "n", "component")
+        .groupBy("row")
         .agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("common"))
+    )
+    rare = (
+        shared.join(sets.select("row", "n", "component"), "row")
         .withColumn("alone", F.col("n") - F.size("common"))
         .withColumn("many", (F.col("n") - least + 1 - F.col("alone")).cast("int"))
         .filter("many > 0")
-        .select("row", "rep", "component", "alone", F.slice("common.shingle", F.lit(1), F.col("many")).alias("rare"))
+        .select("row", "component", "alone", F.slice("common.shingle", F.lit(1), F.col("many")).alias("rare"))
     )
     rare = written(rare, "rare-shingles")
     cells = rare.select("component", F.explode("rare").alias("cell"))
@@ -224,13 +229,12 @@ def crowd_links(members: DataFrame, texts: DataFrame, percent: int = PERCENT) ->
         "shingle-cells",
     )
     dealt = (
-        rare.select("row", "rep", "alone", "rare", F.posexplode("rare").alias("place", "cell"))
+        rare.select("row", "alone", "rare", F.posexplode("rare").alias("place", "cell"))
         .join(cells, "cell")
         .select(
             "cell",
             "size",
             "row",
-            "rep",
             (F.col("alone") + F.col("place")).alias("before"),
             F.slice("rare", F.lit(1), F.col("place")).alias("early"),
         )
@@ -240,8 +244,8 @@ def crowd_links(members: DataFrame, texts: DataFrame, percent: int = PERCENT) ->
     )
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    rows = dealt.select("cell", "low", "high", "block", "row", "rep", "before", "early").join(
-        sets.hint("merge"), ["rep", "row"]
+    rows = dealt.select("cell", "low", "high", "block", "row", "before", "early").join(
+        sets.drop("key").hint("merge"), "row"
     )
     met = (
         rows.repartition("cell", "low", "high")
@@ -406,23 +410,23 @@ def _typical(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _crowd_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The full set of each row, sorted; `row` tells the sets of an id apart."""
+    """The full set of each row, sorted; `key` tells the sets of an id apart."""
     for batch in batches:
-        rows, sets = [], []
+        keys, sets = [], []
         for text in text_bytes(batch.column("text")):
             found = shingle_set(text)
-            rows.append(int(np.bitwise_xor.reduce(mix(found))) if len(found) else 0)
+            keys.append(int(np.bitwise_xor.reduce(mix(found))) if len(found) else 0)
             sets.append(found)
         kept = pa.array([len(s) > 0 for s in sets], pa.bool_())
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.array(rows, dtype=np.uint64).view(np.int64)),
+                pa.array(np.array(keys, dtype=np.uint64).view(np.int64)),
                 batch.column("rep"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 batch.column("component"),
                 pa.array([s.tobytes() for s in sets], pa.binary()),
             ],
-            names=["row", "rep", "n", "component", "shingles"],
+            names=["key", "rep", "n", "component", "shingles"],
         ).filter(kept)
 
 
@@ -441,10 +445,8 @@ def _shingle_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def _exploded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         shingles, sizes = _flat(batch.column("shingles"))
-        places = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
-        kept = ["row", "rep", "n", "component"]
-        columns = [batch.column(c).take(places) for c in kept]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(shingles)], names=[*kept, "shingle"])
+        rows = np.repeat(batch.column("row").to_numpy(), sizes)
+        yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(shingles)], names=["row", "shingle"])
 
 
 def _cell_links(percent: int):
