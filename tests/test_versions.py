@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from tillmart.operators import summary, views
+from tillmart.operators import runlog, summary, views
 from tillmart.plans import jobs
 from tillmart.sources import versions
 from tillmart.sources.versions import Version
@@ -171,3 +171,25 @@ def test_staging_is_one_commit(spark, root, monkeypatch):
     jobs.run_stage_dims(spark, source, root, AT)
     assert sorted(r[0] for r in mart.stage_products.select("stage_id").collect()) == list(range(1, 21))
     assert mart.stage_sales.count() == 70
+
+
+def test_the_run_log_is_compacted(spark, root, monkeypatch):
+    """However many updates, a few files; the answers are those of the whole history."""
+    monkeypatch.setattr(runlog, "COMPACT_AT", 4)
+    path, wanted = f"{root}/log", {}
+    assert runlog.read_log(spark, path).count() == 0
+    for i in range(7):
+        at = datetime(2025, 1, 1, i, tzinfo=timezone.utc)
+        log_id = runlog.start_run(spark, path, "job", "task", "2025-01-01", at, rows_loaded=i)
+        wanted[log_id] = ("STARTED", i)
+        if i % 2:
+            runlog.update_run(spark, path, log_id, "FAILED", at, error_message="broke")
+            runlog.complete_run(spark, path, log_id, 100 + i, 200 + i, at)
+            wanted[log_id] = ("SUCCESS", 100 + i)
+    rows = runlog.read_log(spark, path).collect()
+    assert {r["log_id"]: (r["status"], r["rows_loaded"]) for r in rows} == wanted
+    assert len([f for f in os.listdir(f"{path}/entries") if f.startswith("part-")]) <= 2 * 4
+    assert len(os.listdir(f"{path}/snapshot")) <= versions.KEPT + 1
+    first = min(wanted)
+    runlog.update_run(spark, path, first, "FAILED", LATER)
+    assert {r["log_id"]: r["status"] for r in runlog.read_log(spark, path).collect()}[first] == "FAILED"

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmart import schemas
+from tillmart.sources import versions
 
 STARTED, SUCCESS, FAILED = "STARTED", "SUCCESS", "FAILED"
 
@@ -73,7 +74,13 @@ def complete_runs(
 
 # --- the stored log --------------------------------------------------------
 # A file table has no row update. Each call appends one entry with a version
-# number; the log is the newest entry of every run.
+# number; the log is the newest entry of every run. Once there are `COMPACT_AT` new
+# entries they are merged with the last snapshot into a new one, sorted by run, whose version
+# file names the entries it holds. Entries merged before that are deleted, so a reader
+# that has just looked up the older version still finds its files.
+
+COMPACT_AT = 64
+_FOLDERS = {"snapshot": ("snapshot", "")}
 
 
 def start_run(
@@ -149,7 +156,7 @@ def complete_run(
 
 def _latest(spark: SparkSession, path: str, log_id: int) -> tuple[DataFrame, int]:
     """Newest entry of a run and its version."""
-    entries = spark.read.parquet(path).where(F.col("log_id") == log_id)
+    entries = _entries(spark, path).where(F.col("log_id") == log_id)
     version = entries.agg(F.max("version")).first()[0]
     if version is None:
         raise ValueError(f"no run {log_id} in the log")
@@ -162,16 +169,58 @@ def _append(rows: DataFrame, path: str, version: int) -> None:
         .withColumn("version", F.lit(version))
         .coalesce(1)
         .write.mode("append")
-        .parquet(path)
+        .parquet(f"{path}/entries")
     )
+    if len(_new_entries(rows.sparkSession, path, versions.read(rows.sparkSession, path))) >= COMPACT_AT:
+        compact(rows.sparkSession, path)
+
+
+def _new_entries(spark: SparkSession, path: str, state: versions.Version) -> list[str]:
+    merged = {name for names in state.parts("snapshot").values() for name in names}
+    return [n for n in versions.names(spark, f"{path}/entries") if n.startswith("part-") and n not in merged]
+
+
+def _entries(spark: SparkSession, path: str, state: versions.Version | None = None, more=None) -> DataFrame:
+    """Snapshot and newer entries, with their versions."""
+    state = versions.read(spark, path) if state is None else state
+    more = _new_entries(spark, path, state) if more is None else more
+    paths = [f"{path}/snapshot/load={load}" for load in state.parts("snapshot")]
+    paths += [f"{path}/entries/{name}" for name in more]
+    schema = schemas.frame_schema(schemas.ETL_LOG).add("version", "integer")
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def compact(spark: SparkSession, path: str) -> None:
+    """Merge new entries into the snapshot; another one that does so meanwhile wins."""
+    state = versions.read(spark, path)
+    more = _new_entries(spark, path, state)
+    if not more:
+        return
+    load = versions.new_load(state)
+    newest = _newest(_entries(spark, path, state, more))
+    ordered = newest.repartitionByRange("log_id").sortWithinPartitions("log_id")
+    ordered.write.parquet(f"{path}/snapshot/load={load}")
+    done = versions.Version(state.number, {"snapshot": {load: more}}, {"snapshot": {load: len(more)}})
+    try:
+        versions.commit(spark, path, done.next())
+    except versions.LoadConflict:
+        return
+    for names in state.parts("snapshot").values():
+        for name in names:
+            versions.delete(spark, f"{path}/entries/{name}")
+    versions.clean(spark, path, _FOLDERS)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """Newest entry of every run."""
-    entries = spark.read.parquet(path)
-    columns = [c for c in entries.columns if c != "version"]
+    return _newest(_entries(spark, path)).drop("version")
+
+
+def _newest(entries: DataFrame) -> DataFrame:
     return (
         entries.groupBy("log_id")
-        .agg(F.max_by(F.struct(*columns), "version").alias("_row"))
+        .agg(F.max_by(F.struct(*entries.columns), "version").alias("_row"))
         .select("_row.*")
     )

@@ -144,17 +144,17 @@ def clean(spark: SparkSession, root: str, folders: dict[str, tuple[str, str]], k
             for load, parts in old.parts(table).items() if inner else ():
                 live = {p for v in current for p in v.parts(table).get(load, ())}
                 for part in set(parts) - live:
-                    _delete(spark, f"{root}/{folder}/load={load}/{inner.format(part)}")
-        _delete(spark, _file(root, number))
+                    delete(spark, f"{root}/{folder}/load={load}/{inner.format(part)}")
+        delete(spark, _file(root, number))
     for folder in {folder for folder, _ in folders.values()}:
         tables = [t for t, (f, _) in folders.items() if f == folder]
         live = {f"load={load}" for v in current for t in tables for load in v.parts(t)}
         for name in names(spark, f"{root}/{folder}"):
             if name.startswith("load=") and name not in live:
-                _delete(spark, f"{root}/{folder}/{name}")
+                delete(spark, f"{root}/{folder}/{name}")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
     fs, folder = _path(spark, path)
     if fs.exists(folder):
         fs.delete(folder, True)
