@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from tillmart.llm import exact_dedup, mixing, near_dedup, pieces, quality_neighbours
 from tillmart.session import scratch_dir
 
+# Five-word shingles, linked from this similarity on, in percent.
+NEAR = 80
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from the labels of all documents."""
@@ -27,7 +30,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, percent=NEAR)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
