@@ -7,6 +7,7 @@ import tracemalloc
 import urllib.parse
 import zlib
 
+import numpy as np
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -104,6 +105,26 @@ def test_quality_scores_and_filter(spark):
     assert len(every) == len(documents()) and all(0 <= r["score"] <= 1 for r in every)
 
 
+def test_votes_are_those_of_all_exact_cosines(spark):
+    """Scores against plain cosines with every labelled vector, ties among the nearest included."""
+    docs = [(i, prose(i, 30 + i)) for i in range(40)] + [(100 + i, "buy $$$ now !!! " * (3 + i % 4)) for i in range(20)]
+    labels = [(i, 1) for i in range(40)] + [(100 + i, 0) for i in range(20)]
+    frame_, known = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    model = quality_neighbours.train(frame_, known)
+    asked = docs + [(500, None), (501, ""), (502, docs[3][1]), (503, "x" * 5000)]
+    got = quality_neighbours.score(spark.createDataFrame(asked, "doc_id long, text string"), model).collect()
+    assert len(got) == len(asked)
+    for (number, text), row in zip(sorted(asked), sorted(got), strict=True):
+        x = quality_neighbours.features((text or "").encode())
+        v = quality_neighbours.weighted(x[None, :], model.idf)[0] @ model.directions
+        length = np.sqrt((v**2).sum())
+        near = sorted(((float(v @ w) / length if length else 0.0, y) for w, y in zip(model.vectors, model.labels, strict=True)), reverse=True)
+        # Texts at one distance are the same text here, so which of them are taken does not matter.
+        near = [(max(c, 0.0) ** 8, y) for c, y in near[: quality_neighbours.NEIGHBOURS]]
+        expected = (sum(c * y for c, y in near) + 0.05 * model.prior) / (sum(c for c, _ in near) + 0.05)
+        assert row["score"] == pytest.approx(expected, abs=1e-3), number
+
+
 SECRET = "token=abcdefgh1234"
 
 
