@@ -261,26 +261,38 @@ def constraint_violations(
 
     A primary key counts its repeated values, NOT NULL its rows, a foreign key the
     rows without a parent; keys are whole numbers. The table is read once: every row
-    gives one (column, value) pair per constrained column, and the pairs are summed up
+    gives one (column, value) pair per key column, and the pairs are summed up
     before the shuffle and before the parents join, so a value on a third of all rows
-    is a single row there. Of a column that is only required, the value is left out.
+    is a single row there. Nulls of other columns need no groups: they are counted along with
+    the pairs of the first key column.
     """
     parents = dict(foreign_keys or {})
-    keys = dict.fromkeys([*([primary_key] if primary_key else []), *parents])
+    keys = list(dict.fromkeys([*([primary_key] if primary_key else []), *parents]))
+    plain = [c for c in dict.fromkeys(required) if c not in keys]
+    if not keys:
+        nulls = {f"{name}_not_null_{c}": F.count_if(F.col(c).isNull()) for c in plain}
+        return _unpivoted(df.agg(*[count.alias(label) for label, count in nulls.items()]), nulls)
     pairs = F.array(
         *[
             F.struct(
-                F.lit(column).alias("column"),
-                (
-                    F.col(column).cast("bigint")
-                    if column in keys
-                    else F.when(F.col(column).isNotNull(), F.lit(0).cast("bigint"))
-                ).alias("value"),
+                F.lit(key).alias("column"),
+                F.col(key).cast("bigint").alias("value"),
+                *(
+                    (F.col(c).isNull() if key == keys[0] else F.lit(False)).alias(f"_null_{i}")
+                    for i, c in enumerate(plain)
+                ),
             )
-            for column in dict.fromkeys([*keys, *required])
+            for key in keys
         ]
     )
-    counts = df.select(F.inline(pairs)).groupBy("column", "value").agg(row_count().alias("rows"))
+    counts = (
+        df.select(F.inline(pairs))
+        .groupBy("column", "value")
+        .agg(
+            row_count().alias("rows"),
+            *(F.count_if(f"_null_{i}").alias(f"_nulls_{i}") for i in range(len(plain))),
+        )
+    )
     known = F.lit(True)
     if parents:
         given = None
@@ -301,12 +313,19 @@ def constraint_violations(
         repeated = (F.col("column") == primary_key) & (F.col("rows") > 1)
         found[f"{name}_pk_{primary_key}"] = F.count_if(repeated)
     for column in required:
-        found[f"{name}_not_null_{column}"] = rows_where(column, F.col("value").isNull())
+        found[f"{name}_not_null_{column}"] = (
+            F.coalesce(F.sum(f"_nulls_{plain.index(column)}"), F.lit(0))
+            if column in plain
+            else rows_where(column, F.col("value").isNull())
+        )
     for column in parents:
         orphan = F.col("value").isNotNull() & known.isNull()
         found[f"{name}_fk_{column}"] = rows_where(column, orphan)
-    figures = counts.agg(*[count.alias(label) for label, count in found.items()])
-    return figures.unpivot([], list(found), "constraint_name", "violations")
+    return _unpivoted(counts.agg(*[count.alias(label) for label, count in found.items()]), found)
+
+
+def _unpivoted(figures: DataFrame, labels: Collection[str]) -> DataFrame:
+    return figures.unpivot([], list(labels), "constraint_name", "violations")
 
 
 def report(*checks: DataFrame) -> DataFrame:
