@@ -193,3 +193,41 @@ def test_the_run_log_is_compacted(spark, root, monkeypatch):
     first = min(wanted)
     runlog.update_run(spark, path, first, "FAILED", LATER)
     assert {r["log_id"]: r["status"] for r in runlog.read_log(spark, path).collect()}[first] == "FAILED"
+
+
+def executions(spark, rows):
+    kinds = "execution_id long, operation_id long, folder_name string, project_name string, package_name string, status int, start_time timestamp_ntz, end_time timestamp_ntz"
+    return spark.createDataFrame(rows, kinds)
+
+
+def test_logs_are_read_by_increment_and_dropped_by_day(spark, root):
+    rows = [
+        (i, i % 4, f"f{i % 2}", "p", f"k{i % 3}", 7, None if i == 40 else datetime(2025, 1, 1 + i // 6, i % 24), None)
+        for i in range(61)
+    ]
+    source = executions(spark, rows)
+    assert jobs.run_log_increment(spark, source.where("execution_id <= 20"), root) == 21
+    assert jobs.run_log_increment(spark, source.where("execution_id <= 41"), root) == 21
+    assert jobs.run_log_increment(spark, source, root) == 19
+    assert jobs.run_log_increment(spark, source, root) == 0
+    mart = jobs.Mart(spark, root)
+    assert sorted(r["execution_id"] for r in mart.executions_between(None, None).collect()) == list(range(61))
+    for day in range(1, 12):
+        mine = [r for r in rows if r[6] and r[6].day == day]
+        newest = {(r[2], r[4]): r[0] for r in mine}
+        got = mart.latest_executions(f"2025-01-{day:02}").collect()
+        assert {(r["folder_name"], r["package_name"]): r["execution_id"] for r in got} == newest
+    as_of = "2025-01-06 10:00:00"
+    old = {r[0] for r in rows if r[6] and r[6] < datetime(2025, 1, 5, 10)}
+    assert jobs.run_log_retention(spark, root, as_of, 1) == len(old)
+    assert mart.executions_between(None, None).count() == 61
+    assert jobs.run_log_retention(spark, root, as_of, 1, dry_run=False) == len(old)
+    left = {r["execution_id"] for r in mart.executions_between(None, None).collect()}
+    assert left == set(range(61)) - old and len(left) + len(old) == 61
+    assert jobs.run_log_retention(spark, root, as_of, 1, dry_run=False) == 0
+    # The folders of whole days go with the last version that names them.
+    assert jobs.run_log_increment(spark, source.where("1 = 0"), root) == 0
+    for i in (61, 62):
+        jobs.run_log_increment(spark, executions(spark, [(i, 1, "f", "p", "k", 7, datetime(2025, 1, 20), None)]), root)
+    days = {n for load in os.listdir(f"{root}/executions") if load.startswith("load=") for n in os.listdir(f"{root}/executions/{load}")}
+    assert not {f"log_date=2025-01-0{d}" for d in range(1, 5)} & days

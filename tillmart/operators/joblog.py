@@ -122,8 +122,7 @@ def latest_execution(
     ):
         if wanted is not None:
             picked = picked.where(F.col(column) == wanted)
-    newest = _newest(picked, ["folder_name", "project_name", "package_name"], "execution_id")
-    return newest.withColumns(
+    return newest_of_days(picked).withColumns(
         {
             "status_text": execution_status_text(F.col("status")),
             "duration_seconds": duration_seconds(),
@@ -131,6 +130,13 @@ def latest_execution(
     )
 
 
+def newest_of_days(executions: DataFrame) -> DataFrame:
+    """Newest execution of each day, folder, project and package."""
+    dated = executions.withColumn("_day", F.col("start_time").cast("date"))
+    by = ["_day", "folder_name", "project_name", "package_name"]
+    return _newest(dated, by, "execution_id").drop("_day")
+
+
 def in_folders(executions: DataFrame, folders: DataFrame) -> DataFrame:
     """Executions of the given folders, joined on the folder's name."""
     return executions.join(folders.select("folder_name"), "folder_name")

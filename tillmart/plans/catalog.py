@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmart.functions.money import row_count
 from tillmart.functions.timefmt import as_date, as_timestamp, plus_seconds
 from tillmart.operators import (
     dims,
@@ -570,6 +571,41 @@ def retention_candidates(spark: SparkSession, folder: str) -> DataFrame:
     return joblog.retention_candidates(adapters.executions(spark, folder), LOG_AS_OF)
 
 
+_LOGGED: dict[tuple[str, str], str] = {}
+
+
+def _logged(spark: SparkSession, folder: str) -> jobs.Mart:
+    """Executions stored in three increments, once per session and folder."""
+    known = (spark.sparkContext.applicationId, folder)
+    if known not in _LOGGED:
+        root = scratch_dir(spark, "logs")
+        executions = adapters.executions(spark, folder)
+        high = executions.agg(F.max("execution_id")).first()[0] or 0
+        for third in (1, 2, 3):
+            jobs.run_log_increment(spark, executions.where(F.col("execution_id") <= high * third // 3), root)
+        _LOGGED[known] = root
+    return jobs.Mart(spark, _LOGGED[known])
+
+
+@query
+def log_latest_execution(spark: SparkSession, folder: str) -> DataFrame:
+    """`latest_execution` from the rows kept for the day, after three increments."""
+    newest = _logged(spark, folder).latest_executions(LOG_DAY)
+    moments = {c: F.col(c).cast("timestamp_ntz") for c in ("start_time", "end_time")}
+    return newest.drop("operation_id").withColumns(moments)
+
+
+@query
+def log_retention(spark: SparkSession, folder: str) -> DataFrame:
+    """What a retention run would drop of the stored executions, and what would stay."""
+    mart = _logged(spark, folder)
+    dropped = jobs.run_log_retention(spark, mart.root, LOG_AS_OF)
+    stored = mart.executions_between(None, None).agg(row_count().alias("_rows"))
+    return stored.select(
+        F.lit(dropped).cast("bigint").alias("dropped"), (F.col("_rows") - dropped).alias("kept")
+    )
+
+
 @query
 def run_report(spark: SparkSession, folder: str) -> DataFrame:
     return joblog.run_report(

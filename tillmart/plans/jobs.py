@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Collection
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -123,6 +123,14 @@ class Mart:
     def stage_products(self) -> DataFrame:
         return self._read("stage_products", schemas.STAGE_PRODUCTS)
 
+    def executions_between(self, start: date | str | None, end: date | str | None) -> DataFrame:
+        """Stored executions that began on a range of days, or all of them."""
+        return self._read("executions", schemas.EXECUTIONS, start, end)
+
+    def latest_executions(self, day: date | str) -> DataFrame:
+        """The newest execution of each package on a day, from the rows kept for it."""
+        return joblog.latest_execution(self._read("latest_executions", schemas.EXECUTIONS, day, day), day)
+
     @property
     def etl_log(self) -> DataFrame:
         return runlog.read_log(self.spark, self.path("etl_log"))
@@ -451,6 +459,86 @@ def run_stage_dims(
     load.commit()
 
 
+HIGH = "execution_id"
+
+
+def run_log_increment(spark: SparkSession, executions: DataFrame, root: str) -> int:
+    """Store the executions that came since the last increment and return their number.
+
+    The version keeps the largest id stored, so a run reads newer rows only (ids rise with time, and
+    a logged execution is final). They lie by the day they began. Of each day the newest execution
+    per folder, project and package is kept; only the days of the increment are merged.
+    """
+    load = Load(spark, root)
+    high = load.version.prints.get("executions", {}).get(HIGH)
+    day = F.col("start_time").cast("date").alias("log_date")
+    newer = executions if high is None else executions.where(F.col(HIGH) > int(high))
+    fresh = schemas.conform(newer, schemas.EXECUTIONS)
+    seen = Observation()
+    rows = fresh.observe(seen, row_count().alias("rows"), F.max(HIGH).alias("high"))
+    tables.write_load(rows.select("*", day), root, "executions", load.name, "log_date")
+    counted = seen.get
+    if not counted["rows"]:
+        return 0
+    path = tables.load_path(root, "executions", load.name)
+    days = versions.part_names(spark, path, "log_date")
+    mine = Version(0, {"executions": {load.name: days}}, {"executions": {load.name: len(days)}})
+    new = tables.read_table(spark, root, "executions", mine, schemas.EXECUTIONS)
+    held = {k: [d for d in ds if d in days] for k, ds in load.version.parts("latest_executions").items()}
+    part = Version(
+        0,
+        {"latest_executions": {k: ds for k, ds in held.items() if ds}},
+        {"latest_executions": load.version.sizes.get("latest_executions", {})},
+    )
+    known = tables.read_table(spark, root, "latest_executions", part, schemas.EXECUTIONS)
+    newest = joblog.newest_of_days(known.unionByName(new)).select("*", day)
+    load.version = load.version.adding("executions", load.name, days)
+    load.divided("latest_executions", newest, "log_date", days)
+    load.version = load.version.with_prints("executions", {HIGH: str(counted["high"])})
+    load.commit()
+    return counted["rows"]
+
+
+def run_log_retention(
+    spark: SparkSession,
+    root: str,
+    as_of: datetime | str,
+    days: int = joblog.RETENTION_DAYS,
+    dry_run: bool = True,
+) -> int:
+    """Drop stored executions past retention, whole days at a time, and return their number.
+
+    Days before the cutoff's are counted without reading a column, and their folders go once no
+    kept version names them; only the cutoff's own day is written again. Nothing is dropped in a dry run.
+    """
+    load = Load(spark, root)
+    held = load.version.parts("executions")
+    cutoff = datetime.fromisoformat(str(as_of)) - timedelta(days=days)
+    edge = str(cutoff.date())
+    every = {d for ds in held.values() for d in ds if d != tables.NO_DATE}
+    gone = sorted(d for d in every if d < edge)
+
+    def stored(dates: Collection[str]) -> DataFrame:
+        parts = {k: [d for d in ds if d in dates] for k, ds in held.items()}
+        parts = {k: ds for k, ds in parts.items() if ds}
+        part = Version(0, {"executions": parts}, {"executions": load.version.sizes.get("executions", {})})
+        return tables.read_table(spark, root, "executions", part, schemas.EXECUTIONS)
+
+    last_day = stored([edge])
+    old = joblog.past_retention(last_day, as_of, days)
+    dropped = stored(gone).count() + last_day.where(old).count()
+    if dry_run or not dropped:
+        return dropped
+    if edge in every:
+        kept = last_day.where(~F.coalesce(old, F.lit(False)))
+        load.divided("executions", kept.select("*", F.lit(edge).alias("log_date")), "log_date", [*gone, edge])
+    else:
+        load.version = load.version.replacing("executions", load.name, [], gone)
+    load.version = load.version.replacing("latest_executions", load.name, [], gone)
+    load.commit()
+    return dropped
+
+
 @dataclass(frozen=True)
 class Logs:
     """Job log relations an audit reads."""

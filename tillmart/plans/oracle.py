@@ -574,6 +574,21 @@ ORACLE: dict[str, str] = {
         """select count(*) executions_to_cleanup from executions
            where start_time < timestamp '2024-02-15 00:00:00' - interval 30 day""",
     ),
+    "log_latest_execution": _sql(
+        "executions",
+        f"""select execution_id, folder_name, project_name, package_name, status,
+                   {_EXEC_STATUS} status_text, start_time, end_time,
+                   date_diff('second', start_time, end_time) duration_seconds
+            from (select *, {_LATEST.format(by='folder_name, project_name, package_name', order='execution_id')}
+                  from executions where cast(start_time as date) = date '2024-01-30')
+            where rn = 1""",
+    ),
+    "log_retention": _sql(
+        "executions",
+        """select count(*) filter (where old) dropped, count(*) filter (where not old) kept
+           from (select coalesce(start_time < timestamp '2024-02-15 00:00:00' - interval 30 day, false) old
+                 from executions)""",
+    ),
     "run_report": _sql(
         "executions messages",
         f"""select operation_id, execution_id, cast(start_time as date) execution_date, folder_name,

@@ -128,6 +128,17 @@ STORED_REJECTS = T.StructType(
     ]
 )
 
+EXECUTIONS = _table(
+    ("execution_id", ID, "required"),
+    ("operation_id", ID),
+    ("folder_name", T.StringType()),
+    ("project_name", T.StringType()),
+    ("package_name", T.StringType()),
+    ("status", T.IntegerType()),
+    ("start_time", T.TimestampType()),
+    ("end_time", T.TimestampType()),
+)
+
 # What a load writes: facts and rejects in one pass, each without the other's columns.
 LOADED_SALES = T.StructType(
     [

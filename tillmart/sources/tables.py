@@ -30,6 +30,8 @@ FOLDERS = {
     "stage_sales": ("stage_sales", ""),
     "stage_customers": ("stage_customers", ""),
     "stage_products": ("stage_products", ""),
+    "executions": ("executions", "log_date={}"),
+    "latest_executions": ("latest_executions", "log_date={}"),
 }
 
 

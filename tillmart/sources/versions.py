@@ -56,6 +56,15 @@ class Version:
             self.number, {**self.tables, table: left}, {**self.sizes, table: sizes}, self.prints
         )
 
+    def adding(self, table: str, load: str, parts: Iterable[str]) -> Version:
+        """With more rows of parts that other loads may hold, too."""
+        mine = sorted(parts)
+        if not mine:
+            return self
+        held = {**self.parts(table), load: mine}
+        sizes = {**self.sizes.get(table, {}), load: len(mine)}
+        return Version(self.number, {**self.tables, table: held}, {**self.sizes, table: sizes}, self.prints)
+
     def emptied(self, table: str) -> Version:
         return Version(self.number, {**self.tables, table: {}}, {**self.sizes, table: {}}, self.prints)
 
