@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tillmart import schemas
 from tillmart.operators import dims, facts, summary
 from tillmart.plans import jobs
-from tillmart.sources import adapters, extracts
+from tillmart.sources import adapters
 
 from tests import golden
 
@@ -157,7 +157,7 @@ def test_stored_dates_are_spread_over_files(spark, root):
         source = jobs.Source(
             golden.customers(spark),
             golden.products(spark),
-            extracts.sample_sales(template, golden.TODAY, 20_000, days=1),
+            golden.sample_sales(template, golden.TODAY, 20_000, days=1),
         )
         assert jobs.run_daily(spark, source, root, golden.TODAY)["rows_loaded"] == 20_000
         fact = jobs.Mart(spark, root).fact_sales

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmart import schemas
 from tillmart.functions.money import row_count
 from tillmart.functions.timefmt import as_date
 
+# Fixed: the columns of the listing, in its order.
 SALE_LISTING = [
     "sale_id",
     "sale_date",
@@ -64,21 +65,21 @@ def sales_by_date_range(
     return named.orderBy(F.desc("sale_date"), "sale_id") if ordered else named
 
 
-# The same listing for SQL users; it reads the views `sales`, `customers` and `products`.
-SALES_BY_DATE_RANGE_FUNCTION = """
-CREATE OR REPLACE TEMPORARY FUNCTION sales_by_date_range(start_date DATE, end_date DATE)
-RETURNS TABLE (
-    sale_id BIGINT, sale_date DATE, customer_name STRING, city STRING, product_name STRING,
-    category STRING, quantity INT, unit_price DECIMAL(10,2), total_amount DECIMAL(10,2)
-)
-RETURN
-    SELECT s.sale_id, s.sale_date, c.customer_name, c.city, p.product_name, p.category,
-           s.quantity, s.unit_price, s.total_amount
-    FROM sales s
-    JOIN customers c USING (customer_id)
-    JOIN products p USING (product_id)
-    WHERE s.sale_date BETWEEN sales_by_date_range.start_date AND sales_by_date_range.end_date
-"""
+def _listing_function() -> str:
+    """The same listing for SQL users; it reads the views `sales`, `customers` and `products`."""
+    tables = {"sales": schemas.SALES, "customers": schemas.CUSTOMERS, "products": schemas.PRODUCTS}
+    columns, types = [], []
+    for name in SALE_LISTING:
+        table = next(t for t, schema in tables.items() if name in schema.fieldNames())
+        kind = schemas.frame_schema(tables[table])[name].dataType.simpleString()
+        columns.append(f"{table}.{name}")
+        types.append(f"{name} {kind}")
+    return (
+        "create or replace temporary function sales_by_date_range(start_date date, end_date date) "
+        f"returns table ({', '.join(types)}) return select {', '.join(columns)} "
+        "from sales join customers using (customer_id) join products using (product_id) "
+        "where sales.sale_date between sales_by_date_range.start_date and sales_by_date_range.end_date"
+    )
 
 
 def register_sql_function(
@@ -87,53 +88,7 @@ def register_sql_function(
     sales.createOrReplaceTempView("sales")
     customers.createOrReplaceTempView("customers")
     products.createOrReplaceTempView("products")
-    spark.sql(SALES_BY_DATE_RANGE_FUNCTION)
-
-
-# --- sample data -----------------------------------------------------------
-
-# One day of sample sales, amounts in full units.
-SAMPLE_TEMPLATE = [
-    # n, customer_id, product_id, quantity, unit_price, total_amount
-    (1, 1, 1, 1, 25000000, 25000000),
-    (2, 2, 2, 2, 30000000, 60000000),
-    (3, 3, 4, 1, 8000000, 8000000),
-    (4, 4, 7, 3, 6000000, 18000000),
-    (5, 5, 9, 5, 2000000, 10000000),
-    (6, 1, 5, 1, 28000000, 28000000),
-    (7, 2, 3, 1, 22000000, 22000000),
-    (8, 3, 6, 1, 32000000, 32000000),
-    (9, 4, 8, 2, 7000000, 14000000),
-    (10, 5, 10, 1, 10000000, 10000000),
-]
-
-
-def sample_template(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        SAMPLE_TEMPLATE,
-        "n bigint, customer_id bigint, product_id bigint, quantity int, "
-        "unit_price bigint, total_amount bigint",
-    )
-
-
-def sample_sales(
-    template: DataFrame, today: date | str, stride: Column | int = 10, days: int = 7
-) -> DataFrame:
-    """Replay template rows for today and the days before it.
-
-    ``sale_id`` is ``day * stride + n``; it is unique when the template's ``n``
-    runs from 1 to ``stride``.
-    """
-    step = stride if isinstance(stride, Column) else F.lit(stride)
-    return template.withColumn("day", F.explode(F.sequence(F.lit(0), F.lit(days - 1)))).select(
-        (F.col("day") * step + F.col("n")).cast("bigint").alias("sale_id"),
-        F.col("customer_id").cast("bigint").alias("customer_id"),
-        F.col("product_id").cast("bigint").alias("product_id"),
-        F.col("quantity").cast("int").alias("quantity"),
-        F.col("unit_price").cast("decimal(10,2)").alias("unit_price"),
-        F.col("total_amount").cast("decimal(10,2)").alias("total_amount"),
-        F.date_sub(as_date(today), F.col("day")).alias("sale_date"),
-    )
+    spark.sql(_listing_function())
 
 
 # --- counts ----------------------------------------------------------------
