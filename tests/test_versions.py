@@ -148,6 +148,15 @@ def test_the_second_of_two_writers_fails(spark, root):
     assert versions.numbers(spark, root) == [1]
 
 
+def test_a_load_wants_checked_sums(spark, root):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(RuntimeError, match="ansi"):
+            jobs.Load(spark, root)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_parts_replace_parts():
     start = Version().replacing("t", "one", ["a", "b", "c"], [])
     assert start.is_whole("t", "one")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tillmart import schemas
 from tillmart.functions.money import row_count
 from tillmart.operators import dims, facts, joblog, quality, runlog, staging, summary
-from tillmart.session import scratch_dir
+from tillmart.session import require_checked_sums, scratch_dir
 from tillmart.sources import adapters, extracts, tables, versions
 from tillmart.sources.versions import Version
 
@@ -144,6 +144,7 @@ class Load:
     """
 
     def __init__(self, spark: SparkSession, root: str):
+        require_checked_sums(spark)
         self.spark, self.root = spark, root
         self.version = versions.read(spark, root)
         self.name = versions.new_load(self.version)

@@ -30,6 +30,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_checked_sums(spark: SparkSession) -> None:
+    """Sums of cents that overflow must end a load, which they do in ANSI mode only."""
+    if spark.conf.get("spark.sql.ansi.enabled", "true").lower() != "true":
+        raise RuntimeError("set spark.sql.ansi.enabled, or call tillmart.session.configure")
+
+
 def local_session(cores: str = "8", app: str = "tillmart") -> SparkSession:
     """Session for tests and the bench; a cluster brings its own."""
     builder = (
