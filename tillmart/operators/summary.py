@@ -86,16 +86,19 @@ def _winner() -> Column:
 
 
 def _with_top_product(days: DataFrame, dim_products: DataFrame) -> DataFrame:
-    """Take the winner apart and add its name; a day without a winner drops out."""
+    """Take the winner apart and add its name; a day without a winner drops out.
+
+    The days, a row each, go to the products, as a dimension may be too large for the driver.
+    """
     names = dim_products.select(
         F.col("product_id").alias("top_product_id"),
         F.col("product_name").alias("top_product_name"),
     )
-    return (
-        days.withColumn("top_product_id", F.bitwise_not("_top.turned"))
-        .withColumn("_top_cents", F.col("_top.cents"))
-        .join(names, "top_product_id")
-        .withColumn("top_product_revenue", from_cents("_top_cents"))
+    won = days.withColumn("top_product_id", F.bitwise_not("_top.turned")).withColumn(
+        "_top_cents", F.col("_top.cents")
+    )
+    return names.join(F.broadcast(won), "top_product_id").withColumn(
+        "top_product_revenue", from_cents("_top_cents")
     )
 
 
@@ -110,6 +113,15 @@ def top_product_of_sums(sums: DataFrame, dim_products: DataFrame) -> DataFrame:
     return _top_of_days(sums.where("not by_customer"), dim_products)
 
 
+def _shuffled(dim_products: DataFrame) -> DataFrame:
+    """A product lookup that no plan broadcasts.
+
+    Catalyst goes by the size of the compressed files, which says little about the rows
+    that would pass through the driver; kept sums have more rows than any dimension.
+    """
+    return dim_products.select("product_key", "product_id").hint("merge")
+
+
 def _top_of_days(revenue: DataFrame, dim_products: DataFrame) -> DataFrame:
     days = (
         revenue.withColumn("_cents", F.col("cents"))
@@ -164,7 +176,7 @@ def summary_of_sums(sums: DataFrame, dim_products: DataFrame) -> DataFrame:
     # Rows by customer have no product; each gets a negative number, which no key
     # equals, so that a shuffled join does not send all of them to one task.
     no_key = -1 - F.pmod(F.xxhash64("sale_date", "customer_key"), F.lit(1 << 40))
-    products = dim_products.select(F.col("product_key").alias("_key"), "product_id")
+    products = _shuffled(dim_products).withColumnRenamed("product_key", "_key")
     days = (
         sums.withColumn("_cents", F.col("cents"))
         .withColumn("_lookup", F.when(by_customer, no_key).otherwise(F.col("product_key")))
