@@ -15,7 +15,7 @@ def planned(frame) -> str:
     return frame._jdf.queryExecution().sparkPlan().toString()
 
 
-@pytest.mark.parametrize("build", [summary.summary_of_sums])
+@pytest.mark.parametrize("build", [summary.summary_of_sums, summary.top_product_of_sums])
 def test_no_dimension_is_broadcast(spark, root, build):
     """Only the days, a row each, go through the driver."""
     jobs.run_range(spark, golden.source(spark), root, "2025-11-26", golden.TODAY, AT)

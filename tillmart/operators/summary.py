@@ -125,7 +125,7 @@ def _shuffled(dim_products: DataFrame) -> DataFrame:
 def _top_of_days(revenue: DataFrame, dim_products: DataFrame) -> DataFrame:
     days = (
         revenue.withColumn("_cents", F.col("cents"))
-        .join(dim_products.select("product_key", "product_id"), "product_key")
+        .join(_shuffled(dim_products), "product_key")
         .groupBy(F.col("sale_date").alias("summary_date"))
         .agg(_winner().alias("_top"))
     )
