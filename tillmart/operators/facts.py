@@ -68,21 +68,28 @@ def reject_reason() -> Column:
     )
 
 
-def loaded_rows(keyed: DataFrame, as_of: datetime | str) -> DataFrame:
-    """Accepted and rejected sales as one frame (`schemas.LOADED_SALES`), for a single write.
+def told_apart(keyed: DataFrame) -> DataFrame:
+    """Accepted and rejected sales as one frame, each with the columns that it keeps.
 
-    A rejected sale keeps its ids, its date as ``reject_date`` and the reason; its other columns
-    are null, so that nothing that is wrong with them can fail the load, and it lies apart from
-    all dates.
+    A rejected sale keeps its ids, its date and the reason; its other columns are null, so that
+    nothing that is wrong with them can fail the load. An accepted one needs its natural keys
+    no more. This comes before the shuffle of the write, which then carries no column in vain.
     """
     reason = reject_reason()
-    rows = with_fact_columns(keyed.withColumn("reason", reason), as_of)
+    kept = {name: F.when(reason.isNull(), F.col(name)) for name in FACT_COLUMNS if name not in ("sale_id", "sale_date")}
+    natural = {name: F.when(reason.isNotNull(), F.col(name)) for name in ("customer_id", "product_id")}
+    return keyed.withColumns({"reason": reason} | kept | natural)
+
+
+def loaded_rows(apart: DataFrame, as_of: datetime | str) -> DataFrame:
+    """`told_apart` sales as they are written (`schemas.LOADED_SALES`), all in a single write.
+
+    The date of a rejected sale becomes its ``reject_date``, so it lies apart from all dates.
+    """
     accepted = F.col("reason").isNull()
-    fact_only = [f.name for f in schemas.FACT_SALES if f.name not in ("sale_id", "loaded_at")]
-    blank = {name: F.when(accepted, F.col(name)) for name in fact_only}
-    natural = {name: F.when(~accepted, F.col(name)) for name in ("customer_id", "product_id")}
-    apart = rows.withColumn("reject_date", F.when(~accepted, F.col("sale_date")))
-    return schemas.enforce(apart.withColumns(blank | natural), schemas.LOADED_SALES, "reason is null")
+    rows = with_fact_columns(apart, as_of).withColumn("reject_date", F.when(~accepted, F.col("sale_date")))
+    blank = {name: F.when(accepted, F.col(name)) for name in ("sale_key", "sale_date")}
+    return schemas.enforce(rows.withColumns(blank), schemas.LOADED_SALES, "reason is null")
 
 
 def replace_by_date(

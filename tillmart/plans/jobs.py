@@ -182,7 +182,7 @@ def now() -> datetime:
 
 
 def load_dims(
-    source: Source, load: Load, as_of: datetime, cascade: bool = False
+    source: Source, load: Load | Mart, as_of: datetime, cascade: bool = False
 ) -> dict[str, int]:
     """Type-1 refresh of both dimensions; keys of known rows stay. Returns the rows of each.
 
@@ -191,8 +191,14 @@ def load_dims(
     files of all others stay. A key is never given twice, even after its row left: the largest
     ones are kept.
 
-    ``cascade`` also empties the fact table, as a cascading truncate would.
+    ``cascade`` also empties the fact table, as a cascading truncate would. Given a mart, the refresh
+    is a load of its own and commits.
     """
+    if isinstance(load, Mart):
+        own = Load(load.spark, load.root)
+        rows = load_dims(source, own, as_of, cascade)
+        own.commit()
+        return rows
     rows = {}
     highs = {row["dimension"]: row["highest"] for row in load.mart.key_highs.collect()}
     before = dict(highs)
@@ -290,10 +296,9 @@ def load_facts(
     seen = Observation()
     sales = extracts.sales_between(source.sales, start, end)
     keyed = facts.lookup_keys(sales, mart.dim_customers, mart.dim_products)
-    accepted = F.col("customer_key").isNotNull() & F.col("product_key").isNotNull()
     # Files of about equal size per date; AQE splits a date far larger than the rest.
-    spread = keyed.hint("rebalance", "sale_date").observe(
-        seen, row_count().alias("extracted"), F.count_if(accepted).alias("accepted")
+    spread = facts.told_apart(keyed).hint("rebalance", "sale_date").observe(
+        seen, row_count().alias("extracted"), F.count_if(F.col("reason").isNull()).alias("accepted")
     )
     tables.write_load(facts.loaded_rows(spread, as_of), load.root, "fact_sales", load.name, "sale_date")
     counts = seen.get

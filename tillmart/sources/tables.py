@@ -34,6 +34,9 @@ FOLDERS = {
     "latest_executions": ("latest_executions", "log_date={}"),
 }
 
+# Tables that grow with the sales.
+PACKED = {"fact_sales", "daily_sums"}
+
 
 def _folder(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -138,6 +141,7 @@ def write_load(
     (
         df.write.partitionBy(*by)
         .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        .option("compression", "zstd" if table in PACKED else "snappy")
         .parquet(load_path(root, table, load))
     )
 
