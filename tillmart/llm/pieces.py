@@ -7,7 +7,7 @@ without a lattice in memory. Ties go to the longer piece.
 No piece of a model holds a space mark behind another character, so a best path always
 breaks in front of a run of space marks, and the text is cut there first (the model is checked for
 it; other models are run over whole texts). Equal segments have equal paths, so a task keeps
-those it has met, up to `KEEP` of them.
+those it has met, up to `KEEP` of them and as many older ones; a segment met again stays.
 
 Characters of no piece become byte pieces. The vocabulary file is read by the driver only and
 its pieces, as many as the vocabulary has, go to every task; the path is a parameter.
@@ -20,8 +20,9 @@ other text to itself. Other columns of the input are kept in `row`.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
-from dataclasses import astuple, dataclass
+from array import array
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import astuple, dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,7 @@ class Vocabulary:
     scores: tuple[float, ...]
     plain: frozenset[int]  # ids that stand for their text
     bytes_: tuple[int, ...]  # id of each byte value
+    idle: frozenset[int] = frozenset()  # plain ids that are on no best path
 
 
 def load(path: str = MODEL_PATH) -> Vocabulary:
@@ -61,9 +63,23 @@ def load(path: str = MODEL_PATH) -> Vocabulary:
     )
 
 
+def without_idle(vocabulary: Vocabulary) -> Vocabulary:
+    """The vocabulary with those pieces marked that are not the best path of their own text.
+
+    Other pieces then do better wherever such a piece fits, so the encoder need not look for it. Scores
+    must be whole numbers, whose sums are exact; for others nothing is marked.
+    """
+    if not all(vocabulary.scores[i].is_integer() for i in vocabulary.plain):
+        return vocabulary
+    encoder = Encoder(vocabulary)
+    alone = {i: array("i", [i]).tobytes() for i in vocabulary.plain}
+    idle = frozenset(i for i, path in alone.items() if encoder.path(vocabulary.pieces[i]) != path)
+    return replace(vocabulary, idle=idle)
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> DataFrame:
     """`row` (the input row) and `ids`, the pieces of its text."""
-    shared = docs.sparkSession.sparkContext.broadcast(astuple(vocabulary))
+    shared = docs.sparkSession.sparkContext.broadcast(astuple(without_idle(vocabulary)))
     rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,7 +120,8 @@ class Encoder:
         self.automaton = ahocorasick.Automaton()
         plain = [(i, vocabulary.pieces[i], vocabulary.scores[i]) for i in sorted(vocabulary.plain)]
         for number, piece, value in plain:
-            self.automaton.add_word(piece, (len(piece), value, number))
+            if number not in vocabulary.idle:
+                self.automaton.add_word(piece, (len(piece), value, number))
         self.automaton.make_automaton()
         self.unknown = min(value for _, _, value in plain) - UNKNOWN_PENALTY
         self.singles = {piece for _, piece, _ in plain if len(piece) == 1}
@@ -113,7 +130,7 @@ class Encoder:
         # A line end that is in no piece cuts every path as well.
         alone = "" if "\n" in alphabet else "\n"
         self.segments = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}+|{alone or MARK}")
-        self.known: dict[str, bytes] = {}
+        self.known = _Paths(self.path, KEEP)
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
@@ -122,64 +139,76 @@ class Encoder:
         if not self.cuts:
             return np.frombuffer(self.path(marked), dtype=np.int32)
         segments = self.segments.findall(marked)
-        known = self.known
-        new = [s for s in segments if s not in known]
-        if len(known) + len(new) > KEEP:
-            known.clear()
-            new = segments
-        for segment in new:
-            if segment not in known:
-                known[segment] = self.path(segment)
-        return np.frombuffer(b"".join(map(known.__getitem__, segments)), dtype=np.int32)
+        return np.frombuffer(b"".join(map(self.known.__getitem__, segments)), dtype=np.int32)
 
     def path(self, text: str) -> bytes:
         """Ids of the best path through a text, as 32-bit numbers."""
         size = len(text)
-        low = float("-inf")
-        best = [low] * (size + 1)
-        best[0] = 0.0
-        back: list[tuple[int, int]] = [(0, 0)] * (size + 1)
+        # By the last position; what ends in front of the text is the last entry, at -1.
+        best = [float("-inf")] * size
+        best.append(0.0)
+        back: list[tuple[int, float, int]] = [(0, 0.0, 0)] * size
         strange = [i for i, c in enumerate(text) if c not in self.singles]
         if not strange:
-            for end, (length, value, number) in self.automaton.iter(text):
-                end += 1
+            for end, piece in self.automaton.iter(text):
+                length, value, _ = piece
                 total = best[end - length] + value
                 if total > best[end] or total == best[end] and length > back[end][0]:
                     best[end] = total
-                    back[end] = (length, number)
+                    back[end] = piece
         else:
             # A position whose character is no piece can be left as an unknown one, too.
             at = 0
             strange.append(size)
+            unknown = (1, self.unknown, -1)
 
             def leave(upto: int) -> None:
                 nonlocal at
                 while strange[at] < upto:
                     place = strange[at]
                     at += 1
-                    if best[place] + self.unknown > best[place + 1]:
-                        best[place + 1] = best[place] + self.unknown
-                        back[place + 1] = (1, -1)
+                    if best[place - 1] + self.unknown > best[place]:
+                        best[place] = best[place - 1] + self.unknown
+                        back[place] = unknown
 
-            for end, (length, value, number) in self.automaton.iter(text):
+            for end, piece in self.automaton.iter(text):
                 leave(end)
-                end += 1
+                length, value, _ = piece
                 total = best[end - length] + value
                 if total > best[end] or total == best[end] and length > back[end][0]:
                     best[end] = total
-                    back[end] = (length, number)
+                    back[end] = piece
             leave(size)
-        out = []
-        place = size
-        while place:
-            length, number = back[place]
+        out = array("i")
+        place = size - 1
+        while place >= 0:
+            length, _, number = back[place]
             if number >= 0:
                 out.append(number)
             else:
-                out.extend(self.bytes[b] for b in reversed(text[place - 1].encode()))
+                out.extend([self.bytes[b] for b in reversed(text[place].encode())])
             place -= length
         out.reverse()
-        return np.array(out, dtype=np.int32).tobytes()
+        return out.tobytes()
+
+
+class _Paths(dict):
+    """Paths by segment, found at first use: the last `keep` of them, and those before that."""
+
+    def __init__(self, path: Callable[[str], bytes], keep: int):
+        super().__init__()
+        self.path, self.keep = path, keep
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, segment: str) -> bytes:
+        found = self.older.get(segment)
+        if found is None:
+            found = self.path(segment)
+        if len(self) >= self.keep:
+            self.older = dict(self)
+            self.clear()
+        self[segment] = found
+        return found
 
 
 class Decoder:
