@@ -138,12 +138,10 @@ def write_load(
     themselves; the driver would move thousands of dates one by one. A task that runs again
     replaces its own files.
     """
-    (
-        df.write.partitionBy(*by)
-        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-        .option("compression", "zstd" if table in PACKED else "snappy")
-        .parquet(load_path(root, table, load))
-    )
+    writer = df.write.partitionBy(*by).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    if table in PACKED:
+        writer = writer.option("compression", "zstd")
+    writer.parquet(load_path(root, table, load))
 
 
 def read_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
